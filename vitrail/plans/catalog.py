@@ -5,13 +5,18 @@ results compare across engines whatever the summation order."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrail.functions import text
 from vitrail.functions.numeric import round_sig, round_to
-from vitrail.operators import describe
+from vitrail.operators import cluster, describe, graph, metrics, models, split
+from vitrail.session import scratch_path
+from vitrail.sources import delimited, points
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,14 +63,485 @@ def q_describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
                     round_sig("q75").alias("q75"), "max")
 
 
+# --------------------------------------------------------------------------- ingest
+# The ingest queries parse text that Spark renders from the whole lineitem table:
+# one line per row, the header first and again at the end (two concatenated files), one
+# blank line, quoted fields (an empty quoted flag for 'N', a quoted pair holding the
+# separator), and rows spoiled on purpose -- a key divisible by 50 loses its last field,
+# one divisible by 51 gains one.  Every row is rendered and parsed.
+
+INGEST_NAMES = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                "flag", "status_pair", "ship_day"]
+INGEST_TYPES = ["bin", "bin", "number", "number", "number", "str", "str", "date"]
+SEP = ";"
+
+
+def _line_key() -> F.Column:
+    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
+
+
+def lineitem_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    q = F.lit('"')
+    fields = [
+        F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
+        F.col("l_quantity").cast("string"), F.col("l_extendedprice").cast("string"),
+        F.col("l_discount").cast("string"),
+        F.when(F.col("l_returnflag") == "N", F.lit('""'))
+         .otherwise(F.concat(q, F.col("l_returnflag"), q)),
+        F.concat(q, F.col("l_returnflag"), F.lit(SEP), F.col("l_linestatus"), q),
+        F.date_format("l_shipdate", "yyyy-MM-dd"),
+    ]
+    key = _line_key()
+    body = li.select(
+        F.when(key % 50 == 0, F.concat_ws(SEP, *fields[:-1]))
+         .when(key % 51 == 0, F.concat_ws(SEP, *fields, F.lit("extra")))
+         .otherwise(F.concat_ws(SEP, *fields)).alias("value"))
+    header = spark.createDataFrame([(SEP.join(INGEST_NAMES),)], "value string")
+    blank = spark.createDataFrame([("",)], "value string")
+    return header.unionAll(body).unionAll(header).unionAll(blank)
+
+
+def _typed_ingest(df: DataFrame) -> DataFrame:
+    return df.select(
+        F.col("l_orderkey").cast("bigint").alias("l_orderkey"),
+        F.col("l_linenumber").cast("int").alias("l_linenumber"),
+        F.col("l_quantity").cast("double").alias("l_quantity"),
+        F.col("l_extendedprice").cast("double").alias("l_extendedprice"),
+        F.col("l_discount").cast("double").alias("l_discount"),
+        "flag", "status_pair", "ship_day")
+
+
+def q_ingest_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = delimited.parse_lines(lineitem_lines(spark, sf_dir), SEP)
+    return _typed_ingest(delimited.good_rows(parsed))
+
+
+def q_ingest_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = delimited.header_of(lineitem_lines(spark, sf_dir), SEP)
+    names = delimited.column_names(tokens)
+    return spark.createDataFrame(list(enumerate(names)), "position int, name string")
+
+
+def q_ingest_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = delimited.parse_lines(lineitem_lines(spark, sf_dir), SEP)
+    parts = F.split(F.col("value"), SEP)
+    return delimited.malformed_rows(parsed).select(
+        F.get(parts, 0).try_cast("bigint").alias("l_orderkey"),
+        F.get(parts, 1).try_cast("int").alias("l_linenumber"))
+
+
+def q_ingest_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = delimited.parse_lines(lineitem_lines(spark, sf_dir), SEP)
+    return delimited.profile(parsed, "lineitem")
+
+
+def q_ingest_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delimited.load_lines_table(lineitem_lines(spark, sf_dir), SEP, types=INGEST_TYPES)
+
+
+def q_ingest_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loaded = delimited.load_lines_table(lineitem_lines(spark, sf_dir), SEP)
+    return loaded.groupBy("flag").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_ingest_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loaded = delimited.load_lines_table(lineitem_lines(spark, sf_dir), SEP, types=INGEST_TYPES)
+    view = f"ingested_{uuid.uuid4().hex[:12]}"
+    loaded.createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT flag, year(ship_day) AS ship_year, count(*) AS n,
+               sum(CAST(l_quantity AS DOUBLE)) AS sum_qty
+        FROM {view} GROUP BY flag, year(ship_day)""")
+
+
+def q_parse_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    lines = li.select(F.concat_ws(" ", *[F.col(c).cast("string") for c in
+                                         ["l_linenumber", "l_quantity", "l_discount", "l_tax"]])
+                      .alias("value"))
+    return points.parse_labeled_points(lines, " ", label_index=0, as_vector=False)
+
+
+def q_strip_accents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    folded = text.strip_accents("text")
+    return docs.select("doc_id", F.length(folded).cast("bigint").alias("n_chars"),
+                       F.md5(folded).alias("md5"))
+
+
+def _labelled_points(li: DataFrame) -> DataFrame:
+    return li.select(F.col("l_linenumber").cast("double").alias("label"),
+                     array_to_vector(F.array("l_quantity", "l_discount", "l_tax")).alias("features"))
+
+
+def q_libsvm_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "libsvm")
+    points.write_libsvm(_labelled_points(table(spark, sf_dir, "lineitem")), path)
+    back = points.read_libsvm(spark, path, num_features=3)
+    return back.select("label", vector_to_array("features").alias("features"))
+
+
+# --------------------------------------------------------------------------- splits
+
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select(*LINE_KEYS)
+    return split.hash_split_tag(li, LINE_KEYS, (0.6, 0.4))
+
+
+def q_random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select(*LINE_KEYS)
+    return split.random_split_tag(li, (0.6, 0.4), seed=0)
+
+
+def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, "l_quantity")
+    return split.sample_rows(li, 0.1, seed=0)
+
+
+# --------------------------------------------------------------------------- metrics
+# Model-free scoring so every metric has a closed form: the label is the line number
+# (1..7), the prediction a quantity band (1..5), so two classes are never predicted.
+
+def rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_linenumber").cast("int").alias("label"),
+                     (F.floor((F.col("l_quantity") - 1) / 10) + 1).cast("int").alias("prediction"))
+
+
+def q_confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.confusion_matrix(rule_scored(spark, sf_dir))
+
+
+def q_confusion_one_vs_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.one_vs_rest(metrics.confusion_matrix(rule_scored(spark, sf_dir)))
+
+
+def _round_metrics(df: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:
+    return df.select(*keep, *[round_to(c, 9).alias(c) for c in cols])
+
+
+def q_metrics_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pc = metrics.per_class_metrics(
+        metrics.one_vs_rest(metrics.confusion_matrix(rule_scored(spark, sf_dir))))
+    return _round_metrics(pc, ["precision", "recall", "f1"], ["class", "tp", "fp", "fn"])
+
+
+def q_metrics_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pc = metrics.per_class_metrics(
+        metrics.one_vs_rest(metrics.confusion_matrix(rule_scored(spark, sf_dir))))
+    return _round_metrics(metrics.macro_summary(pc, "quantity band"),
+                          ["precision", "recall", "f_measure"], ["method"])
+
+
+def q_accuracy_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    acc = metrics.accuracy(rule_scored(spark, sf_dir))
+    return _round_metrics(acc, ["accuracy", "error"], ["n", "n_correct"])
+
+
+def q_multilabel_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    sets = ev.groupBy("user_id").agg(
+        F.collect_set("event_type").alias("label"),
+        F.collect_set(F.when(F.col("value") > 50, F.col("event_type"))).alias("prediction"))
+    m = metrics.multilabel_metrics(sets)
+    return _round_metrics(m, ["precision", "recall", "f1", "accuracy"], ["n"])
+
+
+# --------------------------------------------------------------------------- models
+# Supervised queries on lineitem.  Its columns are independent, so labels are derived
+# with a signal: a quantity band (5 classes), a quantity tercile (3), quantity > 25 (2).
+# Splits hash the line key, so they are the same in Spark and in SQL.
+
+NB_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+TREE_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+SMALL_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+def banded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        *LINE_KEYS, "l_quantity", "l_discount", "l_tax", "l_extendedprice",
+        F.floor((F.col("l_quantity") - 1) / 10).cast("int").alias("band"),
+        F.floor((F.col("l_quantity") - 1) / 17).cast("int").alias("tercile"),
+        (F.col("l_quantity") > 25).cast("int").alias("big"))
+
+
+def _train_test(df: DataFrame, weights=(0.6, 0.4)) -> tuple[DataFrame, DataFrame]:
+    train, test = split.hash_split(df, LINE_KEYS, weights)
+    return train, test
+
+
+def _nb(spark: SparkSession, sf_dir: str):
+    data = banded(spark, sf_dir)
+    train, test = _train_test(data)
+    clf = models.fit_classifier(train, models.naive_bayes(1.0), "band", NB_FEATURES)
+    return clf, test
+
+
+def q_nb_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clf, _ = _nb(spark, sf_dir)
+    rows = models.naive_bayes_parameters(clf)
+    df = spark.createDataFrame(rows, "label string, feature int, log_prior double, "
+                                     "log_likelihood double")
+    return df.select(F.col("label").cast("int").alias("label"), "feature",
+                     round_sig("log_prior").alias("log_prior"),
+                     round_sig("log_likelihood").alias("log_likelihood"))
+
+
+def q_nb_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clf, test = _nb(spark, sf_dir)
+    return metrics.confusion_matrix(clf.transform(test), "band", "prediction")
+
+
+def q_index_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type")
+    indexer = models.index_labels(ev, "event_type", order="frequencyDesc", output="idx")
+    return indexer.transform(ev)
+
+
+def q_index_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = banded(spark, sf_dir)
+    model, _ = models.index_features(data, SMALL_FEATURES, max_categories=10)
+    return spark.createDataFrame(models.category_maps(model),
+                                 "feature int, value double, category int")
+
+
+def q_dt_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag").isin("A", "R"))
+    clf = models.fit_classifier(li, models.decision_tree("entropy", 1, 32), "l_returnflag",
+                                ["l_discount"])
+    return metrics.confusion_matrix(clf.transform(li), "l_returnflag", "prediction")
+
+
+def q_lr_saturated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_linestatus") == "F").cast("double").alias("is_f"),
+        (F.col("l_linestatus") == "O").cast("double").alias("is_o"),
+        (F.col("l_returnflag") == "R").cast("double").alias("y"))
+    clf = models.fit_classifier(li, models.logistic_lbfgs(), "y", ["is_f", "is_o"])
+    rows = [(j, c) for j, c, _ in models.linear_coefficients(clf)]
+    return spark.createDataFrame(rows, "feature int, coefficient double").select(
+        "feature", round_to("coefficient", 4).alias("coefficient"))
+
+
+def _predictions(clf, test: DataFrame, label: str) -> DataFrame:
+    return clf.transform(test).select(*LINE_KEYS, F.col(label).alias("label"), "prediction")
+
+
+def q_dt_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _train_test(banded(spark, sf_dir))
+    clf = models.fit_classifier(train, models.decision_tree("entropy", 10, 32), "band",
+                                TREE_FEATURES)
+    return _predictions(clf, test, "band")
+
+
+def q_gbt_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = banded(spark, sf_dir)
+    train, test = split.random_split(data, (0.7, 0.3), seed=11)
+    clf = models.fit_classifier(train, models.gradient_boosted_trees(10, seed=11), "big",
+                                SMALL_FEATURES, label_source=data, max_categories=4)
+    return _predictions(clf, test, "big")
+
+
+def q_rf_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = banded(spark, sf_dir)
+    train, test = split.random_split(data, (0.7, 0.3), seed=12)
+    clf = models.fit_classifier(train, models.random_forest(seed=12), "band",
+                                SMALL_FEATURES, label_source=data, max_categories=4)
+    return _predictions(clf, test, "band")
+
+
+def q_mlp_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = banded(spark, sf_dir)
+    train, test = split.random_split(data, (0.6, 0.4), seed=1234)
+    clf = models.fit_classifier(train, models.perceptron([4, 5, 4, 3], 100, 128, 1234),
+                                "tercile", SMALL_FEATURES, label_source=data)
+    return _predictions(clf, test, "tercile")
+
+
+def q_lr_elastic_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = banded(spark, sf_dir)
+    clf = models.fit_classifier(data, models.logistic_elastic_net(10, 0.3, 0.8), "big",
+                                SMALL_FEATURES)
+    return spark.createDataFrame(models.linear_coefficients(clf),
+                                 "feature int, coefficient double, intercept double")
+
+
+def q_svm_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = banded(spark, sf_dir)
+    # explicit feature list: three of the four columns, as the original SVM cell did
+    clf = models.fit_classifier(data, models.linear_svm(100, 0.01, False), "big",
+                                ["l_quantity", "l_discount", "l_tax"])
+    return _predictions(clf, data, "big")
+
+
+def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = banded(spark, sf_dir)
+    clf = models.fit_classifier(data, models.logistic_lbfgs(), "big", SMALL_FEATURES)
+    path = scratch_path(spark, "model")
+    clf.save(path)
+    loaded = models.Classifier.load(path, "big", SMALL_FEATURES, clf.label_type)
+    # score with both models in one pass: the line key is not unique, so no join
+    first = clf.transform(data).select(*data.columns, F.col("prediction").alias("p1"))
+    both = loaded.transform(first).withColumnRenamed("prediction", "p2")
+    return both.agg(F.count(F.lit(1)).alias("n"),
+                      F.count_if(F.col("p1") == F.col("p2")).alias("n_same"),
+                      F.avg((F.col("big") != F.col("p1")).cast("double")).alias("train_error"))
+
+
+# --------------------------------------------------------------------------- clustering
+
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = table(spark, sf_dir, "embeddings")
+    return cluster.to_vector(emb, "embedding")
+
+
+def _assigned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list]:
+    emb = _embeddings(spark, sf_dir)
+    centres = cluster.centres_by_label(emb, "label")
+    ids = [int(lab) for lab, _ in centres]
+    assigned = cluster.assign_nearest(emb, "embedding", [c for _, c in centres], ids)
+    return assigned, ids
+
+
+def q_assign_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, _ = _assigned(spark, sf_dir)
+    return assigned.select("vec_id", "label", "cluster", round_to("distance", 6).alias("distance"))
+
+
+def q_wssse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, _ = _assigned(spark, sf_dir)
+    s = cluster.distance_sums(assigned)
+    return s.select("n", round_sig("sum_distance").alias("sum_distance"),
+                    round_sig("sum_sq_distance").alias("sum_sq_distance"))
+
+
+def q_cluster_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, _ = _assigned(spark, sf_dir)
+    return cluster.cluster_label_counts(assigned, "cluster", "label")
+
+
+def q_cluster_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, ids = _assigned(spark, sf_dir)
+    return cluster.crosstab(assigned, "cluster", "label", ids, clusters=ids)
+
+
+def q_kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = _embeddings(spark, sf_dir)
+    model, cost = cluster.kmeans_best_of(emb, k=6, max_iter=10, runs=10, init_mode="random")
+    sizes = (model.transform(emb).groupBy(F.col("prediction").alias("cluster"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    return sizes.withColumn("training_cost", F.lit(float(cost)))
+
+
+GMM_DIMS = 4
+
+
+def _gmm_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = table(spark, sf_dir, "embeddings")
+    return emb.select(array_to_vector(
+        F.slice("embedding", 1, GMM_DIMS).cast("array<double>")).alias("features"))
+
+
+def q_gmm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = cluster.gaussian_mixture(_gmm_points(spark, sf_dir), k=6, seed=7)
+    rows = [(i, float(w), [float(x) for x in mu])
+            for i, w, mu, _ in cluster.mixture_components(model)]
+    return spark.createDataFrame(rows, "component int, weight double, mean array<double>")
+
+
+def q_gmm_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = cluster.gaussian_mixture(_gmm_points(spark, sf_dir), k=6, seed=7)
+    mean, cov = cluster.mixture_moments(model)
+    rows = [(i, j, float(mean[i]), float(cov[i][j]))
+            for i in range(GMM_DIMS) for j in range(GMM_DIMS)]
+    df = spark.createDataFrame(rows, "i int, j int, mean_i double, cov_ij double")
+    return df.select("i", "j", round_sig("mean_i", 5).alias("mean_i"),
+                     round_sig("cov_ij", 5).alias("cov_ij"))
+
+
+# --------------------------------------------------------------------------- graph
+# Similarity graph from lineitem: parts and suppliers are vertices (part p -> 2p,
+# supplier s -> 2s + 1), weighted by the number of lines between them.  Linear in the
+# table: one aggregate, no pairs within a group.
+
+def part_supplier_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return (li.groupBy((F.col("l_partkey") * 2).alias("src"),
+                       (F.col("l_suppkey") * 2 + 1).alias("dst"))
+              .agg(F.count(F.lit(1)).cast("double").alias("weight")))
+
+
+def q_pic_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = graph.edges_to_lines(part_supplier_edges(spark, sf_dir))
+    return graph.normalise_edges(points.parse_edges(lines, " "))
+
+
+def q_pic_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = graph.normalise_edges(part_supplier_edges(spark, sf_dir))
+    return graph.describe_assignments(graph.power_iteration_clusters(edges, k=2, max_iter=10))
+
+
+# --------------------------------------------------------------------------- registry
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """hash split -> Naive Bayes pipeline -> macro precision / recall / F-measure."""
+    clf, test = _nb(spark, sf_dir)
+    scored = clf.transform(test)
+    pc = metrics.per_class_metrics(
+        metrics.one_vs_rest(metrics.confusion_matrix(scored, "band", "prediction")))
+    return metrics.macro_summary(pc, "Naive Bayes")
+
+
 def registry() -> dict[str, Query]:
     return {
         "class_distribution": q_class_distribution,
         "col_stats": q_col_stats,
         "corr_matrix": q_corr_matrix,
         "describe_numeric": q_describe_numeric,
+        "ingest_delimited": q_ingest_delimited,
+        "ingest_header": q_ingest_header,
+        "ingest_malformed": q_ingest_malformed,
+        "ingest_profile": q_ingest_profile,
+        "ingest_typed": q_ingest_typed,
+        "ingest_nulls": q_ingest_nulls,
+        "ingest_table_sql": q_ingest_table_sql,
+        "parse_points": q_parse_points,
+        "strip_accents": q_strip_accents,
+        "libsvm_roundtrip": q_libsvm_roundtrip,
+        "hash_split": q_hash_split,
+        "random_split": q_random_split,
+        "sample_rows": q_sample_rows,
+        "confusion_matrix": q_confusion_matrix,
+        "confusion_one_vs_rest": q_confusion_one_vs_rest,
+        "metrics_per_class": q_metrics_per_class,
+        "metrics_macro": q_metrics_macro,
+        "accuracy_error": q_accuracy_error,
+        "multilabel_metrics": q_multilabel_metrics,
+        "index_label": q_index_label,
+        "index_features": q_index_features,
+        "nb_parameters": q_nb_parameters,
+        "nb_classify": q_nb_classify,
+        "dt_stump": q_dt_stump,
+        "lr_saturated": q_lr_saturated,
+        "dt_classify": q_dt_classify,
+        "gbt_classify": q_gbt_classify,
+        "rf_classify": q_rf_classify,
+        "mlp_classify": q_mlp_classify,
+        "lr_elastic_net": q_lr_elastic_net,
+        "svm_linear": q_svm_linear,
+        "model_roundtrip": q_model_roundtrip,
+        "assign_nearest_centroid": q_assign_nearest_centroid,
+        "wssse": q_wssse,
+        "cluster_label_counts": q_cluster_label_counts,
+        "cluster_crosstab": q_cluster_crosstab,
+        "kmeans_fit": q_kmeans_fit,
+        "gmm_fit": q_gmm_fit,
+        "gmm_moments": q_gmm_moments,
+        "pic_edges": q_pic_edges,
+        "pic_clusters": q_pic_clusters,
     }
-
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q_class_distribution(spark, sf_dir)

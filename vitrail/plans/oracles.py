@@ -55,10 +55,316 @@ FROM {_unpivot_features(LINEITEM_FEATURES)} GROUP BY idx, feature
 """
 
 
+# ------------------------------------------------------------------ ingest
+KEY = "(l_orderkey * 10 + l_linenumber)"
+SPOILED = f"({KEY} % 50 = 0 OR {KEY} % 51 = 0)"
+INGESTED = f"""(SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+       CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS flag,
+       l_returnflag || ';' || l_linestatus AS status_pair,
+       strftime(l_shipdate, '%Y-%m-%d') AS ship_day
+FROM lineitem WHERE NOT {SPOILED})"""
+
+INGEST_DELIMITED = f"SELECT * FROM {INGESTED}"
+
+INGEST_HEADER = """
+SELECT CAST(position AS INTEGER) AS position, name FROM (VALUES
+ (0, 'l_orderkey'), (1, 'l_linenumber'), (2, 'l_quantity'), (3, 'l_extendedprice'),
+ (4, 'l_discount'), (5, 'flag'), (6, 'status_pair'), (7, 'ship_day')) AS h(position, name)
+"""
+
+INGEST_MALFORMED = f"""
+SELECT l_orderkey, l_linenumber FROM lineitem WHERE {SPOILED}
+UNION ALL SELECT CAST(NULL AS BIGINT), CAST(NULL AS INTEGER)
+"""
+
+INGEST_PROFILE = f"""
+SELECT 'lineitem' AS file, CAST(8 AS BIGINT) AS n_cols,
+       CAST(count(*) FILTER (WHERE NOT {SPOILED}) AS BIGINT) AS n_rows,
+       CAST(count(*) FILTER (WHERE {SPOILED}) + 1 AS BIGINT) AS n_malformed
+FROM lineitem
+"""
+
+INGEST_TYPED = f"""
+SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber,
+       CAST(l_quantity AS FLOAT) AS l_quantity, CAST(l_extendedprice AS FLOAT) AS l_extendedprice,
+       CAST(l_discount AS FLOAT) AS l_discount, flag, status_pair,
+       CAST(ship_day AS DATE) AS ship_day
+FROM {INGESTED}
+"""
+
+INGEST_NULLS = f"SELECT flag, count(*) AS n FROM {INGESTED} GROUP BY flag"
+
+INGEST_TABLE_SQL = f"""
+SELECT flag, CAST(year(CAST(ship_day AS DATE)) AS INTEGER) AS ship_year, count(*) AS n,
+       sum(CAST(CAST(l_quantity AS FLOAT) AS DOUBLE)) AS sum_qty
+FROM {INGESTED} GROUP BY flag, year(CAST(ship_day AS DATE))
+"""
+
+PARSE_POINTS = """
+SELECT CAST(l_linenumber AS DOUBLE) AS label, [l_quantity, l_discount, l_tax] AS features
+FROM lineitem
+"""
+
+STRIP_ACCENTS = """
+SELECT doc_id, CAST(length(strip_accents(text)) AS BIGINT) AS n_chars,
+       md5(strip_accents(text)) AS md5
+FROM documents
+"""
+
+LIBSVM_ROUNDTRIP = PARSE_POINTS
+
+# ------------------------------------------------------------------ splits
+HASH_U = ("(CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8)) AS BIGINT)"
+          " / 4294967296.0)")
+
+HASH_SPLIT = f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN {HASH_U} < 0.6 THEN 0 ELSE 1 END AS split
+FROM lineitem
+"""
+
+# ------------------------------------------------------------------ metrics
+SCORED = """(SELECT CAST(l_linenumber AS INTEGER) AS label,
+        CAST(floor((l_quantity - 1) / 10) + 1 AS INTEGER) AS prediction FROM lineitem)"""
+
+CONFUSION = f"SELECT label, prediction, count(*) AS n FROM {SCORED} GROUP BY label, prediction"
+
+OVR = f"""(WITH cm AS ({CONFUSION}),
+classes AS (SELECT label AS class FROM cm UNION SELECT prediction FROM cm),
+tot AS (SELECT CAST(sum(n) AS BIGINT) AS total,
+               CAST(sum(n) FILTER (WHERE label = prediction) AS BIGINT) AS correct FROM cm),
+per AS (
+  SELECT c.class,
+         CAST(coalesce(sum(n) FILTER (WHERE label = c.class AND prediction = c.class), 0) AS BIGINT) AS tp,
+         CAST(coalesce(sum(n) FILTER (WHERE prediction = c.class AND label <> c.class), 0) AS BIGINT) AS fp,
+         CAST(coalesce(sum(n) FILTER (WHERE label = c.class AND prediction <> c.class), 0) AS BIGINT) AS fn
+  FROM classes c, cm GROUP BY c.class)
+SELECT class, tp, fp, fn, total - tp - fp - fn AS tn, correct - tp AS correct_other
+FROM per, tot)"""
+
+CONFUSION_ONE_VS_REST = f"SELECT * FROM {OVR}"
+
+PER_CLASS = f"""(SELECT class, tp, fp, fn,
+  CASE WHEN tp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS precision,
+  CASE WHEN tp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END AS recall
+FROM {OVR})"""
+
+
+def _hm(p: str, r: str) -> str:
+    return f"CASE WHEN {p} + {r} = 0 THEN 0.0 ELSE 2.0 * {p} * {r} / ({p} + {r}) END"
+
+
+METRICS_PER_CLASS = f"""
+SELECT class, tp, fp, fn, round(precision, 9) AS precision, round(recall, 9) AS recall,
+       round({_hm('precision', 'recall')}, 9) AS f1
+FROM {PER_CLASS}
+"""
+
+METRICS_MACRO = f"""
+SELECT 'quantity band' AS method, round(p, 9) AS precision, round(r, 9) AS recall,
+       round({_hm('p', 'r')}, 9) AS f_measure
+FROM (SELECT avg(precision) AS p, avg(recall) AS r FROM {PER_CLASS})
+"""
+
+ACCURACY_ERROR = f"""
+SELECT count(*) AS n, count(*) FILTER (WHERE label = prediction) AS n_correct,
+       round(CAST(count(*) FILTER (WHERE label = prediction) AS DOUBLE) / count(*), 9) AS accuracy,
+       round(1.0 - CAST(count(*) FILTER (WHERE label = prediction) AS DOUBLE) / count(*), 9) AS error
+FROM {SCORED}
+"""
+
+
+def _ratio(num: str, den: str) -> str:
+    return f"CASE WHEN ({num}) = 0 OR ({den}) = 0 THEN 0.0 ELSE CAST({num} AS DOUBLE) / ({den}) END"
+
+
+MULTILABEL_METRICS = f"""
+WITH sets AS (
+  SELECT user_id, list(DISTINCT event_type) AS l,
+         coalesce(list(DISTINCT event_type) FILTER (WHERE value > 50), []) AS p
+  FROM events GROUP BY user_id),
+s AS (SELECT len(list_intersect(p, l)) AS i, len(list_distinct(list_concat(p, l))) AS u,
+             len(p) AS np, len(l) AS nl FROM sets)
+SELECT count(*) AS n, round(avg({_ratio('i', 'np')}), 9) AS precision,
+       round(avg({_ratio('i', 'nl')}), 9) AS recall,
+       round(avg({_ratio('2 * i', 'np + nl')}), 9) AS f1,
+       round(avg({_ratio('i', 'u')}), 9) AS accuracy
+FROM s
+"""
+
+# ------------------------------------------------------------------ closed-form models
+INDEX_LABEL = """
+WITH f AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type),
+r AS (SELECT event_type, row_number() OVER (ORDER BY n DESC, event_type) - 1 AS idx FROM f)
+SELECT e.event_id, e.event_type, CAST(r.idx AS DOUBLE) AS idx
+FROM events e JOIN r USING (event_type)
+"""
+
+_SMALL = ["l_quantity", "l_discount", "l_tax", "CAST(l_linenumber AS DOUBLE)"]
+INDEX_FEATURES = "WITH v AS (" + " UNION ALL ".join(
+    f"SELECT DISTINCT {i} AS feature, CAST({c} AS DOUBLE) AS value FROM lineitem"
+    for i, c in enumerate(_SMALL)) + """),
+k AS (SELECT feature FROM v GROUP BY feature HAVING count(*) <= 10)
+SELECT CAST(feature AS INTEGER) AS feature, value,
+       CAST(row_number() OVER (PARTITION BY feature ORDER BY value <> 0, value) - 1 AS INTEGER)
+         AS category
+FROM v WHERE feature IN (SELECT feature FROM k)
+"""
+
+BANDED = f"""(SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax,
+        CAST(floor((l_quantity - 1) / 10) AS INTEGER) AS band,
+        CASE WHEN {HASH_U} < 0.6 THEN 0 ELSE 1 END AS split FROM lineitem)"""
+
+NB_PARAMS = f"""(WITH t AS (SELECT * FROM {BANDED} WHERE split = 0),
+c AS (SELECT band, count(*) AS n, sum(l_quantity) AS s0, sum(l_discount) AS s1,
+             sum(l_tax) AS s2 FROM t GROUP BY band),
+tot AS (SELECT sum(n) AS total, count(*) AS k FROM c)
+SELECT band AS label, ln(n + 1.0) - ln(total + k * 1.0) AS log_prior,
+       ln(s0 + 1.0) - ln(s0 + s1 + s2 + 3.0) AS t0,
+       ln(s1 + 1.0) - ln(s0 + s1 + s2 + 3.0) AS t1,
+       ln(s2 + 1.0) - ln(s0 + s1 + s2 + 3.0) AS t2
+FROM c, tot)"""
+
+NB_PARAMETERS = f"""
+SELECT label, CAST(f AS INTEGER) AS feature, {sig('log_prior')} AS log_prior,
+       {sig('ll')} AS log_likelihood
+FROM (SELECT label, log_prior, 0 AS f, t0 AS ll FROM {NB_PARAMS}
+      UNION ALL SELECT label, log_prior, 1, t1 FROM {NB_PARAMS}
+      UNION ALL SELECT label, log_prior, 2, t2 FROM {NB_PARAMS})
+"""
+
+NB_CLASSIFY = f"""
+WITH test AS (SELECT row_number() OVER () AS rid, * FROM {BANDED} WHERE split = 1),
+scores AS (
+  SELECT t.rid, t.band, p.label,
+         p.log_prior + t.l_quantity * p.t0 + t.l_discount * p.t1 + t.l_tax * p.t2 AS s
+  FROM test t, {NB_PARAMS} p),
+best AS (SELECT rid, any_value(band) AS band, arg_max(label, s) AS pred
+         FROM scores GROUP BY rid)
+SELECT band AS label, pred AS prediction, count(*) AS n FROM best GROUP BY band, pred
+"""
+
+DT_STUMP = """
+WITH t AS (SELECT l_discount AS x, l_returnflag AS y FROM lineitem
+           WHERE l_returnflag IN ('A', 'R')),
+v AS (SELECT x, count(*) FILTER (WHERE y = 'A') AS a, count(*) FILTER (WHERE y = 'R') AS r
+      FROM t GROUP BY x),
+cum AS (SELECT x, sum(a) OVER (ORDER BY x) AS la, sum(r) OVER (ORDER BY x) AS lr,
+               lead(x) OVER (ORDER BY x) AS nx FROM v),
+tot AS (SELECT sum(a) AS ta, sum(r) AS tr FROM v),
+cand AS (SELECT (x + nx) / 2.0 AS thr, la, lr, ta - la AS ra, tr - lr AS rr, ta + tr AS n
+         FROM cum, tot WHERE nx IS NOT NULL),
+ent AS (SELECT thr, la, lr, ra, rr,
+          -((la + lr) / n) * (
+             - CASE WHEN la = 0 THEN 0 ELSE la / (la + lr) * log2(la / (la + lr)) END
+             - CASE WHEN lr = 0 THEN 0 ELSE lr / (la + lr) * log2(lr / (la + lr)) END)
+          -((ra + rr) / n) * (
+             - CASE WHEN ra = 0 THEN 0 ELSE ra / (ra + rr) * log2(ra / (ra + rr)) END
+             - CASE WHEN rr = 0 THEN 0 ELSE rr / (ra + rr) * log2(rr / (ra + rr)) END) AS g
+        FROM cand),
+best AS (SELECT * FROM ent ORDER BY g DESC, thr LIMIT 1)
+SELECT y AS label,
+       CASE WHEN x <= thr THEN (CASE WHEN la >= lr THEN 'A' ELSE 'R' END)
+            ELSE (CASE WHEN ra >= rr THEN 'A' ELSE 'R' END) END AS prediction,
+       count(*) AS n
+FROM t, best GROUP BY 1, 2
+"""
+
+LR_SATURATED = """
+SELECT CAST(CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END AS INTEGER) AS feature,
+       round(ln(CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE)
+                / count(*) FILTER (WHERE l_returnflag <> 'R')), 4) AS coefficient
+FROM lineitem WHERE l_linestatus IN ('F', 'O') GROUP BY 1
+"""
+
+# ------------------------------------------------------------------ clustering
+ASSIGNED = """(WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS p FROM embeddings),
+u AS (SELECT label, i, avg(v) AS m
+      FROM (SELECT label, unnest(p) AS v, generate_subscripts(p, 1) AS i FROM e)
+      GROUP BY label, i),
+c AS (SELECT label AS cid, list(m ORDER BY i) AS cv FROM u GROUP BY label),
+d AS (SELECT vec_id, e.label, cid, list_distance(p, cv) AS dist FROM e, c),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(dist, 9), cid) AS rn
+      FROM d)
+SELECT vec_id, label, CAST(cid AS INTEGER) AS cluster, dist AS distance FROM r WHERE rn = 1)"""
+
+ASSIGN_NEAREST_CENTROID = f"""
+SELECT vec_id, label, cluster, round(distance, 6) AS distance FROM {ASSIGNED}
+"""
+
+WSSSE = f"""
+SELECT count(*) AS n, {sig('sum(distance)')} AS sum_distance,
+       {sig('sum(distance * distance)')} AS sum_sq_distance
+FROM {ASSIGNED}
+"""
+
+CLUSTER_LABEL_COUNTS = f"""
+SELECT cluster, label, count(*) AS n FROM {ASSIGNED} GROUP BY cluster, label
+"""
+
+
+def _crosstab(labels: range) -> str:
+    cols = ", ".join(f"CAST(count(a.vec_id) FILTER (WHERE a.label = {v}) AS BIGINT) AS label_{v}"
+                     for v in labels)
+    return f"""
+WITH k AS (SELECT DISTINCT CAST(label AS INTEGER) AS cluster FROM embeddings)
+SELECT k.cluster, {cols}
+FROM k LEFT JOIN {ASSIGNED} a ON a.cluster = k.cluster GROUP BY k.cluster
+"""
+
+
+def _gmm_moments(dims: int = 4) -> str:
+    cols = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(dims))
+    parts = []
+    for i in range(dims):
+        for j in range(dims):
+            parts.append(f"SELECT CAST({i} AS INTEGER) AS i, CAST({j} AS INTEGER) AS j, "
+                         f"{sig(f'avg(x{i})', 5)} AS mean_i, {sig(f'covar_pop(x{i}, x{j})', 5)} AS cov_ij "
+                         f"FROM pts")
+    return f"WITH pts AS (SELECT {cols} FROM embeddings) " + " UNION ALL ".join(parts)
+
+
+# ------------------------------------------------------------------ graph
+PIC_EDGES = """
+SELECT least(l_partkey * 2, l_suppkey * 2 + 1) AS src,
+       greatest(l_partkey * 2, l_suppkey * 2 + 1) AS dst,
+       CAST(count(*) AS DOUBLE) AS weight
+FROM lineitem GROUP BY 1, 2
+"""
+
+
 def registry() -> dict[str, str]:
     return {
         "class_distribution": CLASS_DISTRIBUTION,
         "col_stats": COL_STATS,
         "corr_matrix": _corr_matrix(),
         "describe_numeric": DESCRIBE_NUMERIC,
+        "ingest_delimited": INGEST_DELIMITED,
+        "ingest_header": INGEST_HEADER,
+        "ingest_malformed": INGEST_MALFORMED,
+        "ingest_profile": INGEST_PROFILE,
+        "ingest_typed": INGEST_TYPED,
+        "ingest_nulls": INGEST_NULLS,
+        "ingest_table_sql": INGEST_TABLE_SQL,
+        "parse_points": PARSE_POINTS,
+        "strip_accents": STRIP_ACCENTS,
+        "libsvm_roundtrip": LIBSVM_ROUNDTRIP,
+        "hash_split": HASH_SPLIT,
+        "confusion_matrix": CONFUSION,
+        "confusion_one_vs_rest": CONFUSION_ONE_VS_REST,
+        "metrics_per_class": METRICS_PER_CLASS,
+        "metrics_macro": METRICS_MACRO,
+        "accuracy_error": ACCURACY_ERROR,
+        "multilabel_metrics": MULTILABEL_METRICS,
+        "index_label": INDEX_LABEL,
+        "index_features": INDEX_FEATURES,
+        "nb_parameters": NB_PARAMETERS,
+        "nb_classify": NB_CLASSIFY,
+        "dt_stump": DT_STUMP,
+        "lr_saturated": LR_SATURATED,
+        "assign_nearest_centroid": ASSIGN_NEAREST_CENTROID,
+        "wssse": WSSSE,
+        "cluster_label_counts": CLUSTER_LABEL_COUNTS,
+        "cluster_crosstab": _crosstab(range(10)),
+        "gmm_moments": _gmm_moments(4),
+        "pic_edges": PIC_EDGES,
     }

@@ -27,11 +27,11 @@ def parse_labeled_points(lines: DataFrame, sep: str = " ", label_index: int = 0,
     first; A13: label at index 8, features 0..7).  Blank lines are skipped.
     """
     parts = _tokens(sep).try_cast("array<double>")
-    label = parts.getItem(label_index)
+    label = F.get(parts, label_index)
     if feature_indices is None:
         feats = F.filter(parts, lambda x, i: i != F.lit(label_index))
     else:
-        feats = F.array(*[parts.getItem(i) for i in feature_indices])
+        feats = F.array(*[F.get(parts, i) for i in feature_indices])
     out = (lines.filter(F.length(F.trim("value")) > 0)
            .select(label.alias("label"), feats.alias("features")))
     if as_vector:
@@ -43,9 +43,9 @@ def parse_edges(lines: DataFrame, sep: str = " ") -> DataFrame:
     """``src dst weight`` lines -> ``src long, dst long, weight double``."""
     parts = _tokens(sep).try_cast("array<double>")
     return (lines.filter(F.length(F.trim("value")) > 0)
-            .select(parts.getItem(0).cast("long").alias("src"),
-                    parts.getItem(1).cast("long").alias("dst"),
-                    parts.getItem(2).alias("weight")))
+            .select(F.get(parts, 0).cast("long").alias("src"),
+                    F.get(parts, 1).cast("long").alias("dst"),
+                    F.get(parts, 2).alias("weight")))
 
 
 def read_libsvm(spark: SparkSession, path: str, num_features: int | None = None) -> DataFrame:
