@@ -1,0 +1,107 @@
+"""Model invariants: label mapping, closed forms, persistence, forest = tree."""
+
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.ml.classification import RandomForestClassifier
+
+from vitrail.operators import models
+
+
+def _two_class(spark):
+    rows = []
+    for i in range(120):
+        label = 1 if i % 3 else 2
+        rows.append((float(label), float((i % 7) + (5 if label == 2 else 0)), float(i % 4)))
+    return spark.createDataFrame(rows, "label double, f0 double, f1 double")
+
+
+def test_naive_bayes_predicts_original_labels(spark):
+    df = _two_class(spark)
+    clf = models.fit_classifier(df, models.naive_bayes(1.0), "label", ["f0", "f1"])
+    preds = {r.prediction for r in clf.transform(df).select("prediction").distinct().collect()}
+    assert preds <= {1.0, 2.0} and preds
+    assert clf.labels == ["1.0", "2.0"]
+
+
+def test_naive_bayes_closed_form(spark):
+    df = _two_class(spark)
+    clf = models.fit_classifier(df, models.naive_bayes(1.0), "label", ["f0", "f1"])
+    rows = df.collect()
+    n = len(rows)
+    for lab, j, log_prior, log_like in models.naive_bayes_parameters(clf):
+        members = [r for r in rows if r.label == float(lab)]
+        assert log_prior == pytest.approx(math.log(len(members) + 1) - math.log(n + 2))
+        s = [sum(r.f0 for r in members), sum(r.f1 for r in members)]
+        assert log_like == pytest.approx(math.log(s[j] + 1) - math.log(sum(s) + 2))
+
+
+def test_string_labels_round_trip(spark):
+    rows = [("yes" if i % 2 else "no", float(i % 2) * 3 + 0.5, 1.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "y string, a double, b double")
+    clf = models.fit_classifier(df, models.decision_tree("entropy", 3, 32), "y", ["a", "b"])
+    out = clf.transform(df)
+    assert out.filter("y <> prediction").count() == 0
+
+
+def test_saturated_logistic_regression_is_log_odds(spark):
+    rows = ([(1.0, 0.0, 1.0)] * 30 + [(1.0, 0.0, 0.0)] * 10 + [(0.0, 1.0, 1.0)] * 5
+            + [(0.0, 1.0, 0.0)] * 20)
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    clf = models.fit_classifier(df, models.logistic_lbfgs(), "y", ["a", "b"])
+    coefs = {j: c for j, c, _ in models.linear_coefficients(clf)}
+    assert coefs[0] == pytest.approx(math.log(30 / 10), abs=1e-4)
+    assert coefs[1] == pytest.approx(math.log(5 / 20), abs=1e-4)
+
+
+def test_single_tree_forest_equals_decision_tree(spark):
+    df = _two_class(spark)
+    dt = models.fit_classifier(df, models.decision_tree("entropy", 5, 32), "label", ["f0", "f1"])
+    rf_est = RandomForestClassifier(numTrees=1, bootstrap=False, subsamplingRate=1.0,
+                                    featureSubsetStrategy="all", impurity="entropy",
+                                    maxDepth=5, maxBins=32, seed=3)
+    rf = models.fit_classifier(df, rf_est, "label", ["f0", "f1"])
+    a = [r.prediction for r in dt.transform(df).orderBy("f0", "f1").collect()]
+    b = [r.prediction for r in rf.transform(df).orderBy("f0", "f1").collect()]
+    assert a == b
+
+
+def test_model_save_load_same_predictions(spark, workdir):
+    df = _two_class(spark)
+    clf = models.fit_classifier(df, models.logistic_lbfgs(), "label", ["f0", "f1"])
+    path = str(workdir / "model")
+    clf.save(path)
+    loaded = models.Classifier.load(path, "label", ["f0", "f1"], clf.label_type)
+    a = clf.transform(df).select("f0", "f1", "prediction").collect()
+    b = loaded.transform(df).select("f0", "f1", "prediction").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_gbt_and_svm_binary(spark):
+    df = _two_class(spark)
+    for est in (models.gradient_boosted_trees(5, seed=1), models.linear_svm(50, 0.01, True)):
+        clf = models.fit_classifier(df, est, "label", ["f0", "f1"])
+        err = clf.transform(df).filter("label <> prediction").count() / df.count()
+        assert err < 0.35
+
+
+def test_perceptron_layers(spark):
+    rows = [(float(i % 3), float(i % 3) + 0.1 * (i % 5), float(i % 2)) for i in range(150)]
+    df = spark.createDataFrame(rows, "y double, a double, b double")
+    clf = models.fit_classifier(df, models.perceptron([2, 5, 4, 3], 100, 128, 1234), "y", ["a", "b"])
+    assert clf.transform(df).select("prediction").distinct().count() >= 2
+
+
+def test_vector_indexer_category_maps(spark):
+    rows = [(float(i % 3), float(i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "c double, x double")
+    model, _ = models.index_features(df, ["c", "x"], max_categories=4)
+    assert models.category_maps(model) == [(0, 0.0, 0), (0, 1.0, 1), (0, 2.0, 2)]
+
+
+def test_tree_debug_string(spark):
+    df = _two_class(spark)
+    clf = models.fit_classifier(df, models.decision_tree("entropy", 2, 32), "label", ["f0", "f1"])
+    assert "If (feature" in models.tree_debug_string(clf)

@@ -52,10 +52,7 @@ def _translate_table() -> tuple[str, str]:
 
 @F.pandas_udf(StringType())
 def _fold_accents_udf(values: pd.Series) -> pd.Series:
-    ascii_mask = values.str.isascii().fillna(True)
-    out = values.copy()
-    out[~ascii_mask] = values[~ascii_mask].map(fold_accents_py)
-    return out
+    return values.map(lambda v: v if v is None or v.isascii() else fold_accents_py(v))
 
 
 def strip_accents(col: Column | str, expand: bool = False) -> Column:

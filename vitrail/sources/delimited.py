@@ -90,7 +90,9 @@ def tokenize(lines: DataFrame, sep: str, width: int, accents: bool = False,
     The parse always covers every field, so pruning cannot hide width errors.
     """
     value = _strip_accents("value") if accents else F.col("value")
-    opts = {"sep": sep, "quote": quote, "mode": "PERMISSIVE",
+    # a doubled quote inside a quoted field is a literal quote (RFC 4180), as in the
+    # original's Python csv reader; Spark's default escape is a backslash
+    opts = {"sep": sep, "quote": quote, "escape": quote, "mode": "PERMISSIVE",
             "columnNameOfCorruptRecord": CORRUPT}
     # inline(array(struct)) is a Generate: the parse runs once per line and later
     # projections cannot re-inline it per field (nor prune it to fewer columns, which
