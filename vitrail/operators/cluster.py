@@ -79,14 +79,16 @@ def assign_nearest(df: DataFrame, point_col: str, centres: Sequence[Sequence[flo
         sq = F.zip_with(p, c, lambda a, b: (a - b) * (a - b))
         return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, x: acc + x))
 
-    scored = F.transform(cs, lambda c, i: F.struct(F.round(dist(c), tie_decimals).alias("key"),
-                                                   F.element_at(id_arr, i + 1).alias("id"),
-                                                   dist(c).alias("d")))
-    best = F.array_min(scored)
-    return (df.withColumn("_best", best)
+    # distances once per centre, then the (rounded distance, id) minimum
+    dists = F.transform(cs, dist)
+    keyed = F.transform(F.col("_d"), lambda d, i: F.struct(
+        F.round(d, tie_decimals).alias("key"), F.element_at(id_arr, i + 1).alias("id"),
+        d.alias("d")))
+    return (df.withColumn("_d", dists)
+              .withColumn("_best", F.array_min(keyed))
               .withColumn(cluster_col, F.col("_best.id"))
               .withColumn(distance_col, F.col("_best.d"))
-              .drop("_best"))
+              .drop("_d", "_best"))
 
 
 def distance_sums(assigned: DataFrame, distance_col: str = "distance") -> DataFrame:

@@ -167,7 +167,16 @@ def fit_classifier(train: DataFrame, estimator, label: str, features: Sequence[s
     the whole set, before the split).  The training frame is persisted around the
     iterative fit and released afterwards."""
     label_type = train.schema[label].dataType
-    indexer = index_labels(label_source if label_source is not None else train, label)
+    cached = train.persist()  # the indexer's counting job fills the cache the fit reuses
+    try:
+        indexer = index_labels(label_source if label_source is not None else cached, label)
+        model = Pipeline(stages=_stages(indexer, estimator, features, max_categories)).fit(cached)
+    finally:
+        cached.unpersist()
+    return Classifier(model, label, list(features), label_type)
+
+
+def _stages(indexer, estimator, features: Sequence[str], max_categories: int | None) -> list:
     stages = [indexer, VectorAssembler(inputCols=list(features), outputCol=FEATURES,
                                        handleInvalid="skip")]
     feat_col = FEATURES
@@ -178,12 +187,7 @@ def fit_classifier(train: DataFrame, estimator, label: str, features: Sequence[s
     estimator = estimator.copy().setLabelCol(LABEL_IDX).setFeaturesCol(feat_col)
     stages += [estimator, IndexToString(inputCol="prediction", outputCol=PREDICTED,
                                         labels=indexer.labels)]
-    cached = train.persist()
-    try:
-        model = Pipeline(stages=stages).fit(cached)
-    finally:
-        cached.unpersist()
-    return Classifier(model, label, list(features), label_type)
+    return stages
 
 
 # ------------------------------------------------------------------ fitted parameters

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrail.session import cut_lineage
+from vitrail.session import cut_lineage, planned_partitions
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -41,14 +41,15 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
     ``value = lo + (pos - floor(pos)) * (hi - lo)`` with ``pos = prob * (n - 1)``.
     """
-    spark = df.sparkSession
-    if partitions is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for p in probs:
         if not 0.0 <= p <= 1.0:
             raise ValueError(f"probability {p} outside [0, 1]")
 
     long = _unpivot(df, cols).withColumn("salt", F.rand(seed))
+    if partitions is None:
+        # sized from the data, not a fixed count: the scanned columns' estimate times the
+        # unpivot (one row per column) and a columnar-to-row expansion allowance
+        partitions = planned_partitions(df.select(*cols), blowup=4.0 * len(cols))
     ordered = (long.repartitionByRange(partitions, "k", "v", "salt")
                    .sortWithinPartitions("k", "v", "salt")
                    .select("k", "v", F.monotonically_increasing_id().alias("mid")))

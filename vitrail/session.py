@@ -73,3 +73,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives executor loss (never localCheckpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def planned_partitions(df: DataFrame, blowup: float = 1.0, minimum: int | None = None) -> int:
+    """Partitions for a shuffle of ``df`` so each holds about the advisory partition size.
+
+    Uses the optimizer's size estimate of the plan (file sizes for a scan), times
+    ``blowup`` for operators that multiply rows; never fewer than
+    ``spark.sql.shuffle.partitions``.  AQE may still coalesce small ones afterwards."""
+    spark = df.sparkSession
+    floor_ = minimum if minimum is not None else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 -- no estimate: fall back to the configured count
+        return floor_
+    wanted = int(size * blowup // max(target, 1)) + 1
+    return max(floor_, min(wanted, 200_000))
+
+
+def _bytes(text: str) -> int:
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    t = text.strip().lower().rstrip("b")
+    if t and t[-1] in units:
+        return int(float(t[:-1]) * units[t[-1]])
+    return int(t)
