@@ -98,3 +98,24 @@ def _bytes(text: str) -> int:
     if t and t[-1] in units:
         return int(float(t[:-1]) * units[t[-1]])
     return int(t)
+
+
+def spread_for_iterations(df: DataFrame, bytes_per_partition: int = 512 << 10) -> DataFrame:
+    """Round-robin repartition of an input that an iterative fit will re-read many times,
+    but only when it has fewer partitions than the cluster has cores (a small file or a
+    single row group gives one busy task) and enough data to keep them busy (about
+    ``bytes_per_partition`` each, from the optimizer's estimate).  Large inputs already
+    have many splits and pass through without a shuffle.  Spark sorts before a
+    round-robin repartition, so a recomputed partition after executor loss holds the
+    same rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 -- no estimate: leave the partitioning alone
+        return df
+    target = min(cores, max(1, size // bytes_per_partition))
+    # splits are counted, not filled ones (one row group read through three splits
+    # leaves two empty), so an input at or below the target is spread as well
+    if target > 1 and df.rdd.getNumPartitions() <= target:
+        return df.repartition(target)
+    return df
