@@ -66,7 +66,9 @@ def strip_accents(col: Column | str, expand: bool = False) -> Column:
     if expand:
         return _fold_accents_udf(c)
     matching, replacement = _translate_table()
-    return F.translate(c, matching, replacement)
+    # pure-ASCII text (as many bytes as characters) has nothing to fold: skip the lookups
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(
+        F.translate(c, matching, replacement))
 
 
 def strip_quotes(col: Column | str) -> Column:

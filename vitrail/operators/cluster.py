@@ -18,7 +18,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrail.session import spread_for_iterations
+from vitrail.session import spread_thin_input
 
 MAX_CENTRES = 10_000
 
@@ -35,7 +35,7 @@ def kmeans_best_of(data: DataFrame, k: int, max_iter: int = 10, runs: int = 10,
     (sum of squared distances) wins -- what the removed ``runs`` parameter did.
 
     The input is persisted once for all restarts."""
-    cached = spread_for_iterations(data.select(features)).persist()
+    cached = spread_thin_input(data.select(features)).persist()
     try:
         best, best_cost = None, None
         for r in range(runs):
@@ -130,7 +130,7 @@ def crosstab(assigned: DataFrame, cluster_col: str, label: str,
 def gaussian_mixture(data: DataFrame, k: int = 6, max_iter: int = 100, tol: float = 1e-3,
                      seed: int = 0, features: str = "features"):
     """H4: Gaussian mixture by EM (the RDD API's defaults: 100 iterations, tol 1e-3)."""
-    cached = spread_for_iterations(data.select(features)).persist()
+    cached = spread_thin_input(data.select(features)).persist()
     try:
         return GaussianMixture(k=k, maxIter=max_iter, tol=tol, seed=seed,
                                featuresCol=features).fit(cached)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrail.session import spread_for_iterations
+from vitrail.session import spread_thin_input
 
 LABEL_IDX = "label_idx"
 FEATURES = "features"
@@ -170,7 +170,7 @@ def fit_classifier(train: DataFrame, estimator, label: str, features: Sequence[s
     iterative fit and released afterwards."""
     label_type = train.schema[label].dataType
     if not isinstance(estimator, NaiveBayes):  # one-pass fits gain nothing from spreading
-        train = spread_for_iterations(train)
+        train = spread_thin_input(train)
     cached = train.persist()  # the indexer's counting job fills the cache the fit reuses
     try:
         indexer = index_labels(label_source if label_source is not None else cached, label)

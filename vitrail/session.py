@@ -100,11 +100,12 @@ def _bytes(text: str) -> int:
     return int(t)
 
 
-def spread_for_iterations(df: DataFrame, bytes_per_partition: int = 512 << 10) -> DataFrame:
-    """Round-robin repartition of an input that an iterative fit will re-read many times,
-    but only when it has fewer partitions than the cluster has cores (a small file or a
-    single row group gives one busy task) and enough data to keep them busy (about
-    ``bytes_per_partition`` each, from the optimizer's estimate).  Large inputs already
+def spread_thin_input(df: DataFrame, bytes_per_partition: int = 512 << 10) -> DataFrame:
+    """Round-robin repartition of an input before CPU-heavy work (an iterative fit that
+    re-reads it, a per-line parse), but only when it has fewer partitions than the
+    cluster has cores (a small file or a single row group gives one busy task) and
+    enough data to keep them busy (about ``bytes_per_partition`` each, from the
+    optimizer's estimate).  Large inputs already
     have many splits and pass through without a shuffle.  Spark sorts before a
     round-robin repartition, so a recomputed partition after executor loss holds the
     same rows."""

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from vitrail.functions.text import strip_accents as _strip_accents
 from vitrail.functions.text import strip_quotes
+from vitrail.session import spread_thin_input
 
 CORRUPT = "_corrupt"
 MALFORMED = "_malformed"
@@ -89,6 +90,7 @@ def tokenize(lines: DataFrame, sep: str, width: int, accents: bool = False,
     Adds ``_malformed``: the line has another width than ``width`` or is blank.
     The parse always covers every field, so pruning cannot hide width errors.
     """
+    lines = spread_thin_input(lines)
     value = _strip_accents("value") if accents else F.col("value")
     # a doubled quote inside a quoted field is a literal quote (RFC 4180), as in the
     # original's Python csv reader; Spark's default escape is a backslash
