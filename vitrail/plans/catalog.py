@@ -297,6 +297,16 @@ def q_nb_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.confusion_matrix(clf.transform(test), "band", "prediction")
 
 
+def q_show_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5: the first five scored test rows in a stable order (the original showed five
+    example predictions).  ``orderBy + limit`` is a per-partition top-k and a merge of
+    k rows per task, not a sort of the whole table."""
+    clf, test = _nb(spark, sf_dir)
+    scored = clf.transform(test).select(*LINE_KEYS, *NB_FEATURES, F.col("band").alias("label"),
+                                        "prediction")
+    return scored.orderBy(*LINE_KEYS, *NB_FEATURES).limit(5)
+
+
 def q_index_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "event_type")
     indexer = models.index_labels(ev, "event_type", order="frequencyDesc", output="idx")
@@ -526,6 +536,7 @@ def registry() -> dict[str, Query]:
         "index_features": q_index_features,
         "nb_parameters": q_nb_parameters,
         "nb_classify": q_nb_classify,
+        "show_predictions": q_show_predictions,
         "dt_stump": q_dt_stump,
         "lr_saturated": q_lr_saturated,
         "dt_classify": q_dt_classify,

@@ -243,6 +243,19 @@ best AS (SELECT rid, any_value(band) AS band, arg_max(label, s) AS pred
 SELECT band AS label, pred AS prediction, count(*) AS n FROM best GROUP BY band, pred
 """
 
+SHOW_PREDICTIONS = f"""
+WITH test AS (SELECT row_number() OVER () AS rid, * FROM {BANDED} WHERE split = 1),
+scores AS (
+  SELECT t.rid, p.label,
+         p.log_prior + t.l_quantity * p.t0 + t.l_discount * p.t1 + t.l_tax * p.t2 AS s
+  FROM test t, {NB_PARAMS} p),
+best AS (SELECT rid, arg_max(label, s) AS pred FROM scores GROUP BY rid)
+SELECT t.l_orderkey, t.l_linenumber, t.l_quantity, t.l_discount, t.l_tax, t.band AS label,
+       b.pred AS prediction
+FROM test t JOIN best b USING (rid)
+ORDER BY t.l_orderkey, t.l_linenumber, t.l_quantity, t.l_discount, t.l_tax LIMIT 5
+"""
+
 DT_STUMP = """
 WITH t AS (SELECT l_discount AS x, l_returnflag AS y FROM lineitem
            WHERE l_returnflag IN ('A', 'R')),
@@ -359,6 +372,7 @@ def registry() -> dict[str, str]:
         "index_features": INDEX_FEATURES,
         "nb_parameters": NB_PARAMETERS,
         "nb_classify": NB_CLASSIFY,
+        "show_predictions": SHOW_PREDICTIONS,
         "dt_stump": DT_STUMP,
         "lr_saturated": LR_SATURATED,
         "assign_nearest_centroid": ASSIGN_NEAREST_CENTROID,
