@@ -30,6 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # remove reliable checkpoint files once nothing references them any more
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -109,6 +111,8 @@ def spread_thin_input(df: DataFrame, bytes_per_partition: int = 512 << 10) -> Da
     have many splits and pass through without a shuffle.  Spark sorts before a
     round-robin repartition, so a recomputed partition after executor loss holds the
     same rows."""
+    if df.isStreaming:  # micro-batches are partitioned by the source
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
