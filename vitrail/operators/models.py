@@ -162,31 +162,42 @@ class Classifier:
 
 def fit_classifier(train: DataFrame, estimator, label: str, features: Sequence[str],
                    label_source: DataFrame | None = None,
-                   max_categories: int | None = None) -> Classifier:
+                   max_categories: int | None = None,
+                   label_order: str = "alphabetAsc") -> Classifier:
     """fit ``indexer -> assembler -> [vector indexer] -> estimator -> label map``.
 
-    ``label_source`` fits the label indexer on another frame (the original fitted it on
-    the whole set, before the split).  The training frame is persisted around the
-    iterative fit and released afterwards."""
+    ``label_source`` fits the label indexer -- and the vector indexer when
+    ``max_categories`` is set -- on another frame: the original fitted both on the whole
+    set, before the split, so every label and category is known.  ``label_order`` is
+    ``StringIndexer``'s order (``frequencyDesc`` is its default).  The training frame is
+    persisted around the iterative fit and released afterwards."""
     label_type = train.schema[label].dataType
     if not isinstance(estimator, NaiveBayes):  # one-pass fits gain nothing from spreading
         train = spread_thin_input(train)
     cached = train.persist()  # the indexer's counting job fills the cache the fit reuses
     try:
-        indexer = index_labels(label_source if label_source is not None else cached, label)
-        model = Pipeline(stages=_stages(indexer, estimator, features, max_categories)).fit(cached)
+        source = label_source if label_source is not None else cached
+        indexer = index_labels(source, label, order=label_order)
+        assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES,
+                                    handleInvalid="skip")
+        vector_indexer = None
+        if max_categories is not None:
+            vector_indexer = VectorIndexer(inputCol=FEATURES, outputCol="indexed_features",
+                                           maxCategories=max_categories)
+            if label_source is not None:
+                vector_indexer = vector_indexer.fit(assembler.transform(label_source))
+        stages = _stages(indexer, assembler, vector_indexer, estimator)
+        model = Pipeline(stages=stages).fit(cached)
     finally:
         cached.unpersist()
     return Classifier(model, label, list(features), label_type)
 
 
-def _stages(indexer, estimator, features: Sequence[str], max_categories: int | None) -> list:
-    stages = [indexer, VectorAssembler(inputCols=list(features), outputCol=FEATURES,
-                                       handleInvalid="skip")]
+def _stages(indexer, assembler, vector_indexer, estimator) -> list:
+    stages = [indexer, assembler]
     feat_col = FEATURES
-    if max_categories is not None:
-        stages.append(VectorIndexer(inputCol=FEATURES, outputCol="indexed_features",
-                                    maxCategories=max_categories))
+    if vector_indexer is not None:
+        stages.append(vector_indexer)
         feat_col = "indexed_features"
     estimator = estimator.copy().setLabelCol(LABEL_IDX).setFeaturesCol(feat_col)
     stages += [estimator, IndexToString(inputCol="prediction", outputCol=PREDICTED,

@@ -353,7 +353,8 @@ def q_gbt_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = banded(spark, sf_dir)
     train, test = split.random_split(data, (0.7, 0.3), seed=11)
     clf = models.fit_classifier(train, models.gradient_boosted_trees(10, seed=11), "big",
-                                SMALL_FEATURES, label_source=data, max_categories=4)
+                                SMALL_FEATURES, label_source=data, max_categories=4,
+                                label_order="frequencyDesc")
     return _predictions(clf, test, "big")
 
 
@@ -361,7 +362,8 @@ def q_rf_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = banded(spark, sf_dir)
     train, test = split.random_split(data, (0.7, 0.3), seed=12)
     clf = models.fit_classifier(train, models.random_forest(seed=12), "band",
-                                SMALL_FEATURES, label_source=data, max_categories=4)
+                                SMALL_FEATURES, label_source=data, max_categories=4,
+                                label_order="frequencyDesc")
     return _predictions(clf, test, "band")
 
 
@@ -448,6 +450,9 @@ def q_kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.withColumn("training_cost", F.lit(float(cost)))
 
 
+# The mixture is fitted on four embedding coordinates: a full covariance per component
+# needs many more points per component than dimensions, and 64 dimensions x 6 components
+# would leave the small scales near-singular.
 GMM_DIMS = 4
 
 
@@ -459,9 +464,10 @@ def _gmm_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_gmm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = cluster.gaussian_mixture(_gmm_points(spark, sf_dir), k=6, seed=7)
-    rows = [(i, float(w), [float(x) for x in mu])
-            for i, w, mu, _ in cluster.mixture_components(model)]
-    return spark.createDataFrame(rows, "component int, weight double, mean array<double>")
+    rows = [(i, float(w), [float(x) for x in mu], [[float(x) for x in r] for r in cov])
+            for i, w, mu, cov in cluster.mixture_components(model)]
+    return spark.createDataFrame(
+        rows, "component int, weight double, mean array<double>, cov array<array<double>>")
 
 
 def q_gmm_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
