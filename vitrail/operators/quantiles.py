@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from vitrail.session import cut_lineage, planned_partitions
 
 _POS_BITS = 33
+MAX_TARGETS = 1_000_000
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
@@ -44,6 +45,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     for p in probs:
         if not 0.0 <= p <= 1.0:
             raise ValueError(f"probability {p} outside [0, 1]")
+    # the broadcast side holds two rows per (column, probability): bounded by the call
+    if 2 * len(cols) * len(probs) > MAX_TARGETS:
+        raise ValueError(f"{len(cols)} columns x {len(probs)} probabilities is too many targets")
 
     long = _unpivot(df, cols).withColumn("salt", F.rand(seed))
     if partitions is None:

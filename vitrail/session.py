@@ -50,8 +50,9 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Register the session's checkpoint folder with the SparkContext.
 
-    Uses ``spark.checkpoint.dir`` when the session sets it.  When it is unset (local
-    tests only) a fresh temporary folder is created and recorded in the session.
+    Uses ``spark.checkpoint.dir`` when the session sets it.  When it is unset, a local
+    session (tests) gets a fresh temporary folder; on a cluster a machine-local folder
+    would not be shared by the executors, so that is an error instead.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -59,6 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     target = checkpoint_dir(spark)
     if target is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                f"set {CHECKPOINT_CONF} to a folder shared by the cluster (HDFS, object store)")
         target = tempfile.mkdtemp(prefix="vitrail-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, target)
     sc.setCheckpointDir(target)
