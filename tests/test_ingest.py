@@ -143,8 +143,8 @@ def test_labelled_points_label_first_and_label_last(spark):
     lines = spark.createDataFrame([("1 0.5 2.0",), ("0 1.5 -1",), ("",)], "value string")
     rows = points.parse_labeled_points(lines, " ").select("label", vector_to_array("features").alias("f")).collect()
     assert sorted((r.label, tuple(r.f)) for r in rows) == [(0.0, (1.5, -1.0)), (1.0, (0.5, 2.0))]
-    glass_like = spark.createDataFrame([("1.5;2;3;4;5;6;7;8;3",)], "value string")
-    r = points.parse_labeled_points(glass_like, ";", label_index=8,
+    label_last = spark.createDataFrame([("1.5;2;3;4;5;6;7;8;3",)], "value string")
+    r = points.parse_labeled_points(label_last, ";", label_index=8,
                                     feature_indices=range(8)).first()
     assert r.label == 3.0 and list(r.features) == [1.5, 2, 3, 4, 5, 6, 7, 8]
 

@@ -43,7 +43,7 @@ def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                  F.count_if(x != 0).alias(f"num_nonzeros_{i}"),
                  F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}")]
     return _unpivot_row(df.agg(*aggs), cols,
-                        ["count", "mean", "variance", "num_nonzeros", "min", "max"])
+                        ["count", "mean", "variance", "num_nonzeros", "min", "max"]).orderBy("idx")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -95,4 +95,5 @@ def describe_numeric(df: DataFrame, cols: Sequence[str],
     for p, name in zip(probs, labels):
         wide = wide.withColumnRenamed(str(float(p)), name)
     return (basic.join(wide, "feature", "left")
-                 .select("idx", "feature", "count", "mean", "std", "min", *labels, "max"))
+                 .select("idx", "feature", "count", "mean", "std", "min", *labels, "max")
+                 .orderBy("idx"))
