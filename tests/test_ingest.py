@@ -163,3 +163,39 @@ def test_edge_lines(spark):
     lines = spark.createDataFrame([("0 1 0.9",), ("1 2 0.1",)], "value string")
     rows = sorted(tuple(r) for r in points.parse_edges(lines).collect())
     assert rows == [(0, 1, 0.9), (1, 2, 0.1)]
+
+
+line_kind = st.sampled_from(["good", "short", "long", "blank", "header"])
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(line_kind, st.lists(st.text(alphabet='ab;"1 ', min_size=1, max_size=5),
+                                             min_size=4, max_size=4)),
+                min_size=1, max_size=12))
+def test_accounting_with_dirty_lines(spark, tmp_path_factory, lines):
+    """Every kind of bad line is counted, every good row survives, headers vanish."""
+    header = ["h1", "h2", "h3"]
+    out = [";".join(header)]
+    good = bad = 0
+    for kind, vals in lines:
+        buf = io.StringIO()
+        w = csv.writer(buf, delimiter=";", quoting=csv.QUOTE_ALL, lineterminator="")
+        if kind == "good":
+            w.writerow(vals[:3])
+            good += 1
+        elif kind == "short":
+            w.writerow(vals[:2])
+            bad += 1
+        elif kind == "long":
+            w.writerow(vals[:4])
+            bad += 1
+        elif kind == "header":
+            buf.write(";".join(header))
+        else:
+            bad += 1  # blank line
+        out.append(buf.getvalue())
+    d = tmp_path_factory.mktemp("dirty")
+    path = write(d, "d.csv", "\n".join(out) + "\n")
+    prof = delimited.load_profile(spark, path, ";", accents=False).first()
+    assert (prof.n_rows, prof.n_malformed) == (good, bad)
+    assert delimited.load_table(spark, path, ";", accents=False).count() == good
