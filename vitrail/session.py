@@ -81,6 +81,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def estimated_size_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` in bytes (the ``sizeInBytes`` that
+    ``df.explain("cost")`` prints); file sizes for a scan, scaled by projections.
+    No job runs.  ``None`` when the plan offers no estimate."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def planned_partitions(df: DataFrame, blowup: float = 1.0, minimum: int | None = None) -> int:
     """Partitions for a shuffle of ``df`` so each holds about the advisory partition size.
 
@@ -90,9 +100,8 @@ def planned_partitions(df: DataFrame, blowup: float = 1.0, minimum: int | None =
     spark = df.sparkSession
     floor_ = minimum if minimum is not None else int(spark.conf.get("spark.sql.shuffle.partitions"))
     target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 -- no estimate: fall back to the configured count
+    size = estimated_size_bytes(df)
+    if size is None:  # no estimate: fall back to the configured count
         return floor_
     wanted = int(size * blowup // max(target, 1)) + 1
     return max(floor_, min(wanted, 200_000))
@@ -118,9 +127,8 @@ def spread_thin_input(df: DataFrame, bytes_per_partition: int = 512 << 10) -> Da
     if df.isStreaming:  # micro-batches are partitioned by the source
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 -- no estimate: leave the partitioning alone
+    size = estimated_size_bytes(df)
+    if size is None:  # no estimate: leave the partitioning alone
         return df
     target = min(cores, max(1, size // bytes_per_partition))
     # splits are counted, not filled ones (one row group read through three splits
