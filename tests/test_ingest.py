@@ -199,3 +199,13 @@ def test_accounting_with_dirty_lines(spark, tmp_path_factory, lines):
     prof = delimited.load_profile(spark, path, ";", accents=False).first()
     assert (prof.n_rows, prof.n_malformed) == (good, bad)
     assert delimited.load_table(spark, path, ";", accents=False).count() == good
+
+
+def test_header_from_first_file_when_parts_lack_it(spark, workdir):
+    d = workdir / "parts"
+    d.mkdir()
+    (d / "part-0.csv").write_text("a;b\n1;2\n", encoding="utf-8")
+    # a larger part file without a header: Spark would read its split first
+    (d / "part-1.csv").write_text("".join(f"{i};{i}\n" for i in range(3, 400)), encoding="utf-8")
+    df = delimited.load_table(spark, str(d), ";")
+    assert df.columns == ["a", "b"] and df.count() == 398

@@ -52,7 +52,7 @@ def split_line(line: str, sep: str) -> list[str]:
 
 
 def header_of(lines: DataFrame, sep: str, accents: bool = False) -> list[str]:
-    """A3: tokens of the first line (one ``first()`` job; nothing else leaves the cluster)."""
+    """A3: tokens of the first line (one small job; nothing else leaves the cluster)."""
     col = _strip_accents("value") if accents else F.col("value")
     first = lines.select(col.alias("value")).first()
     if first is None:
@@ -127,10 +127,19 @@ class Parsed:
         return len(self.names)
 
 
-def parse_lines(lines: DataFrame, sep: str, accents: bool = True) -> Parsed:
+def first_file_lines(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """The lines of the first input file in path order.  Spark orders its splits by
+    size, so ``first()`` over many files could land on a headerless part file."""
+    files = sorted(lines.inputFiles())
+    return spark.read.text(files[0]) if files else lines
+
+
+def parse_lines(lines: DataFrame, sep: str, accents: bool = True,
+                header_source: DataFrame | None = None) -> Parsed:
     """A2-A5 on a DataFrame of lines (``value``), e.g. ``read_lines`` output or text
-    that Spark derived from a table. The first line is the header."""
-    header = header_of(lines, sep, accents)
+    that Spark derived from a table.  The first line (of ``header_source`` when given)
+    is the header."""
+    header = header_of(header_source if header_source is not None else lines, sep, accents)
     width = len(header)
     rows = tokenize(lines, sep, width, accents)
     rows = rows.filter(~_is_header(header))
@@ -189,9 +198,10 @@ def coerce(df: DataFrame, names: Sequence[str],
 def load_lines_table(lines: DataFrame, sep: str,
                      types: Sequence[str] | Mapping[str, str] | None = None,
                      sample: float | None = None, seed: int | None = None,
-                     accents: bool = True) -> DataFrame:
+                     accents: bool = True,
+                     header_source: DataFrame | None = None) -> DataFrame:
     """A10 on a DataFrame of lines: header, filters, optional sample, typed columns."""
-    parsed = parse_lines(lines, sep, accents)
+    parsed = parse_lines(lines, sep, accents, header_source)
     body = good_rows(parsed)
     if sample is not None:
         if seed is None:
@@ -206,12 +216,15 @@ def load_table(spark: SparkSession, path: str | Sequence[str], sep: str,
                accents: bool = True) -> DataFrame:
     """A10: delimited file(s) -> typed DataFrame. Register it with
     ``createOrReplaceTempView`` to query it in SQL."""
-    return load_lines_table(read_lines(spark, path), sep, types, sample, seed, accents)
+    lines = read_lines(spark, path)
+    return load_lines_table(lines, sep, types, sample, seed, accents,
+                            header_source=first_file_lines(spark, lines))
 
 
 def load_profile(spark: SparkSession, path: str | Sequence[str], sep: str,
                  name: str | None = None, accents: bool = True) -> DataFrame:
     """The table profile of a delimited file."""
-    parsed = parse_lines(read_lines(spark, path), sep, accents)
+    lines = read_lines(spark, path)
+    parsed = parse_lines(lines, sep, accents, header_source=first_file_lines(spark, lines))
     label = name if name is not None else (path if isinstance(path, str) else ",".join(path))
     return profile(parsed, label)
