@@ -163,14 +163,17 @@ class Classifier:
 def fit_classifier(train: DataFrame, estimator, label: str, features: Sequence[str],
                    label_source: DataFrame | None = None,
                    max_categories: int | None = None,
-                   label_order: str = "alphabetAsc") -> Classifier:
+                   label_order: str = "alphabetAsc",
+                   invalid_features: str = "error") -> Classifier:
     """fit ``indexer -> assembler -> [vector indexer] -> estimator -> label map``.
 
     ``label_source`` fits the label indexer -- and the vector indexer when
     ``max_categories`` is set -- on another frame: the original fitted both on the whole
     set, before the split, so every label and category is known.  ``label_order`` is
-    ``StringIndexer``'s order (``frequencyDesc`` is its default).  The training frame is
-    persisted around the iterative fit and released afterwards."""
+    ``StringIndexer``'s order (``frequencyDesc`` is its default).  A NULL or NaN feature
+    raises by default (``invalid_features="error"``): ``"skip"`` would silently drop
+    rows, also when scoring, so it has to be asked for.  The training frame is persisted
+    around the iterative fit and released afterwards."""
     label_type = train.schema[label].dataType
     if not isinstance(estimator, NaiveBayes):  # one-pass fits gain nothing from spreading
         train = spread_thin_input(train)
@@ -179,7 +182,7 @@ def fit_classifier(train: DataFrame, estimator, label: str, features: Sequence[s
         source = label_source if label_source is not None else cached
         indexer = index_labels(source, label, order=label_order)
         assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES,
-                                    handleInvalid="skip")
+                                    handleInvalid=invalid_features)
         vector_indexer = None
         if max_categories is not None:
             vector_indexer = VectorIndexer(inputCol=FEATURES, outputCol="indexed_features",
