@@ -98,3 +98,9 @@ def test_multilabel_agrees_with_spark_evaluator(spark):
                        ("f1Measure", got.f1), ("accuracy", got.accuracy)):
         ev = MultilabelClassificationEvaluator(metricName=name)
         assert ev.evaluate(df) == pytest.approx(ours)
+
+
+def test_mixed_label_and_prediction_types(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 1.0), (2, 2.0)], "label int, prediction double")
+    o = {r["class"]: r for r in metrics.one_vs_rest(metrics.confusion_matrix(df)).collect()}
+    assert (o[1].tp, o[1].fp, o[2].tp, o[2].fn) == (1, 1, 1, 1)

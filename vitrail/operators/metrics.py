@@ -30,7 +30,11 @@ def one_vs_rest(confusion: DataFrame) -> DataFrame:
     original's "VN", which only counts correct predictions of the other classes.
 
     Classes are those present as a label or as a prediction."""
-    hit = F.col("label") == F.col("prediction")
+    label_type = confusion.schema["label"].dataType
+    pred = F.col("prediction")
+    if confusion.schema["prediction"].dataType != label_type:
+        pred = pred.cast(label_type)  # e.g. double predictions of an int label
+    hit = F.col("label") == pred
     n = F.col("n")
     zero = F.lit(0).cast("bigint")
     contributions = F.array(
@@ -38,7 +42,7 @@ def one_vs_rest(confusion: DataFrame) -> DataFrame:
                  F.when(hit, n).otherwise(zero).alias("tp"),
                  zero.alias("fp"),
                  F.when(hit, zero).otherwise(n).alias("fn")),
-        F.struct(F.col("prediction").alias("class"), zero.alias("tp"),
+        F.struct(pred.alias("class"), zero.alias("tp"),
                  F.when(hit, zero).otherwise(n).alias("fp"), zero.alias("fn")),
     )
     per_class = (confusion.select(F.explode(contributions).alias("c")).select("c.*")
