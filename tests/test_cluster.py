@@ -31,12 +31,27 @@ def test_best_of_runs_cost_equals_sum_of_squares(spark):
     assert ours == theirs
 
 
-def test_assign_nearest_ties_go_to_lowest_id(spark):
+@pytest.mark.parametrize("method", ["numpy", "expressions"])
+def test_assign_nearest_ties_go_to_lowest_id(spark, method):
     df = spark.createDataFrame([(0, [0.0, 0.0])], "id int, p array<double>")
-    r = cluster.assign_nearest(df, "p", [[1.0, 0.0], [-1.0, 0.0]], ids=[7, 3]).collect()[0]
+    r = cluster.assign_nearest(df, "p", [[1.0, 0.0], [-1.0, 0.0]], ids=[7, 3],
+                               method=method).collect()[0]
     assert r.cluster == 3 and r.distance == pytest.approx(1.0)
 
 
+def test_assign_nearest_methods_agree_and_keep_null_rows(spark):
+    df = _blobs(spark).union(spark.createDataFrame([(99, 0, None)], "id long, label int, p array<double>"))
+    centres = [[0.0, 0.0], [5.0, -3.0], [10.0, -6.0], [2.5, -1.5]]
+    a = {r.id: (r.cluster, r.distance) for r in cluster.assign_nearest(df, "p", centres).collect()}
+    b = {r.id: (r.cluster, r.distance) for r in
+         cluster.assign_nearest(df, "p", centres, method="expressions").collect()}
+    assert a.keys() == b.keys() and len(a) == 61
+    assert a[99][0] is None
+    for k in a:
+        if k != 99:
+            assert a[k][0] == b[k][0] and a[k][1] == pytest.approx(b[k][1], abs=1e-12)
+
+
 def test_centres_by_label_and_crosstab(spark):
     df = cluster.to_vector(_blobs(spark), "p")
     centres = cluster.centres_by_label(df, "label")

@@ -1,8 +1,9 @@
 """Clustering.
 
 Assignment to the nearest centre is a narrow projection: the k centres (bounded by k,
-checked) travel inside the expression, and every row computes its k distances with
-JVM higher-order functions -- no point x centre join, no shuffle.  Cluster x label
+checked) travel with the task, and every Arrow batch computes its k distances with
+numpy (or, optionally, JVM higher-order functions) -- no point x centre join, no
+shuffle.  Cluster x label
 tables are one ``groupBy`` (and a pivot with explicit values, so no extra job to find
 the distinct labels).
 """
@@ -12,11 +13,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitrail.session import spread_thin_input
 
@@ -64,15 +67,68 @@ def _literal_centres(centres: Sequence[Sequence[float]]) -> Column:
     return F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
 
 
+_NEAREST_SCHEMA = T.StructType([T.StructField("id", T.LongType()),
+                                T.StructField("d", T.DoubleType())])
+
+
+def _nearest_numpy(centres: np.ndarray, ids: np.ndarray, tie_decimals: int):
+    """Arrow-batched nearest centre: one numpy pass per centre over a whole batch
+    (memory O(batch x d) whatever k is); centres sorted by id so ties keep the lowest."""
+    order = np.argsort(ids, kind="stable")
+    cs, cid = centres[order], ids[order]
+
+    @F.pandas_udf(_NEAREST_SCHEMA)
+    def nearest(points: pd.Series) -> pd.DataFrame:
+        n = len(points)
+        best_key = np.full(n, np.inf)
+        best_id = np.zeros(n, dtype=np.int64)
+        best_d = np.full(n, np.nan)
+        present = points.notna().to_numpy()
+        if present.any():
+            pts = np.vstack(points[present].to_numpy()).astype(np.float64)
+            key_p = np.full(len(pts), np.inf)
+            id_p = np.zeros(len(pts), dtype=np.int64)
+            d_p = np.full(len(pts), np.nan)
+            for j in range(len(cs)):
+                d = np.sqrt(((pts - cs[j]) ** 2).sum(axis=1))
+                key = np.round(d, tie_decimals)
+                better = key < key_p
+                key_p = np.where(better, key, key_p)
+                id_p = np.where(better, cid[j], id_p)
+                d_p = np.where(better, d, d_p)
+            best_key[present], best_id[present], best_d[present] = key_p, id_p, d_p
+        out = pd.DataFrame({"id": best_id, "d": best_d})
+        out.loc[~present, "id"] = None
+        return out
+
+    return nearest
+
+
 def assign_nearest(df: DataFrame, point_col: str, centres: Sequence[Sequence[float]],
                    ids: Sequence[int] | None = None, cluster_col: str = "cluster",
-                   distance_col: str = "distance", tie_decimals: int = 9) -> DataFrame:
+                   distance_col: str = "distance", tie_decimals: int = 9,
+                   method: str = "numpy") -> DataFrame:
     """C2 + H2: nearest centre by Euclidean distance for every row, as a projection.
 
-    Ties (distances equal after rounding to ``tie_decimals``) go to the lowest id."""
+    The k centres (bounded, checked) travel with the task; there is no point x centre
+    join and no shuffle.  Ties (distances equal after rounding to ``tie_decimals``) go
+    to the lowest id.  ``method="numpy"`` (default) computes a whole Arrow batch per
+    centre with numpy -- measured about 10x faster than ``method="expressions"``, the
+    same computation as JVM higher-order functions (640 interpreted lambda calls per row
+    for 10 centres of 64 dimensions)."""
     if len(centres) > MAX_CENTRES:
         raise ValueError(f"more than {MAX_CENTRES} centres")
     ids = list(range(len(centres))) if ids is None else list(ids)
+    if method == "numpy":
+        udf = _nearest_numpy(np.asarray(centres, dtype=np.float64),
+                             np.asarray(ids, dtype=np.int64), tie_decimals)
+        best = udf(F.col(point_col).cast("array<double>"))
+        return (df.withColumn("_best", best)
+                  .withColumn(cluster_col, F.col("_best.id").cast("int"))
+                  .withColumn(distance_col, F.col("_best.d"))
+                  .drop("_best"))
+    if method != "expressions":
+        raise ValueError(f"unknown method {method!r}")
     cs = _literal_centres(centres)
     id_arr = F.array(*[F.lit(int(i)) for i in ids])
     p = F.col(point_col).cast("array<double>")
