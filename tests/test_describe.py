@@ -69,3 +69,9 @@ def test_describe_numeric_exact_and_approx(spark):
     assert exact["a"].std == pytest.approx(np.std(np.arange(1, 101), ddof=1))
     approx = {(r.feature, r.prob): r.value for r in approx_quantiles(df, ["a"], [0.5]).collect()}
     assert abs(approx[("a", 0.5)] - 50.5) <= 1.0
+
+
+def test_quantile_labels_are_distinct(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1001)], "v double")
+    row = describe.describe_numeric(df, ["v"], probs=(0.5, 0.999, 1.0)).first()
+    assert (row.q50, row.q99_9, row.q100) == (500.0, pytest.approx(999.0), 1000.0)

@@ -88,7 +88,9 @@ def describe_numeric(df: DataFrame, cols: Sequence[str],
                  F.max(x).alias(f"max_{i}")]
     basic = _unpivot_row(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
     quant = (exact_quantiles if exact else approx_quantiles)(df, cols, probs)
-    labels = [f"q{int(round(p * 100)):02d}" for p in probs]
+    labels = [_quantile_label(p) for p in probs]
+    if len(set(labels)) != len(labels):
+        raise ValueError(f"duplicate probabilities in {list(probs)}")
     wide = (quant.groupBy("feature")
                  .pivot("prob", [float(p) for p in probs])
                  .agg(F.first("value")))
@@ -97,3 +99,11 @@ def describe_numeric(df: DataFrame, cols: Sequence[str],
     return (basic.join(wide, "feature", "left")
                  .select("idx", "feature", "count", "mean", "std", "min", *labels, "max")
                  .orderBy("idx"))
+
+
+def _quantile_label(p: float) -> str:
+    """0.25 -> q25, 0.5 -> q50, 0.999 -> q99_9, 1.0 -> q100."""
+    pct = round(p * 100, 6)
+    if pct == int(pct):
+        return f"q{int(pct):02d}"
+    return "q" + f"{pct:g}".replace(".", "_")
