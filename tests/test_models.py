@@ -105,3 +105,9 @@ def test_tree_debug_string(spark):
     df = _two_class(spark)
     clf = models.fit_classifier(df, models.decision_tree("entropy", 2, 32), "label", ["f0", "f1"])
     assert "If (feature" in models.tree_debug_string(clf)
+
+
+def test_label_count_is_bounded_before_collecting(spark):
+    df = spark.range(5000).withColumnRenamed("id", "label")
+    with pytest.raises(ValueError):
+        models.index_labels(df, "label", max_classes=100)

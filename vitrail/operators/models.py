@@ -101,6 +101,11 @@ def index_labels(df: DataFrame, label: str, order: str = "alphabetAsc",
     Unseen labels raise at transform time (``keep`` would add a phantom class to the
     label metadata and turn binary models multinomial): fit it on the whole set when a
     test split may hold labels the training split lacks."""
+    # the fit brings every distinct label to the driver: bound them first with a
+    # one-pass sketch (partial aggregates), so an id column cannot flood the driver
+    approx = df.agg(F.approx_count_distinct(label, 0.05)).first()[0]
+    if approx > max_classes * 1.2:
+        raise ValueError(f"about {approx} distinct labels exceed max_classes={max_classes}")
     model = StringIndexer(inputCol=label, outputCol=output, stringOrderType=order,
                           handleInvalid="error").fit(df)
     if len(model.labels) > max_classes:
