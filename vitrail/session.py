@@ -55,9 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     would not be shared by the executors, so that is an error instead.
     """
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     target = checkpoint_dir(spark)
     if target is None:
         if not sc.master.startswith("local"):
@@ -66,7 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         target = tempfile.mkdtemp(prefix="vitrail-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, target)
     sc.setCheckpointDir(target)
-    return sc._jsc.sc().getCheckpointDir().get()
+    return sc.getCheckpointDir() or target
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
