@@ -209,3 +209,15 @@ def test_header_from_first_file_when_parts_lack_it(spark, workdir):
     (d / "part-1.csv").write_text("".join(f"{i};{i}\n" for i in range(3, 400)), encoding="utf-8")
     df = delimited.load_table(spark, str(d), ";")
     assert df.columns == ["a", "b"] and df.count() == 398
+
+
+def test_crlf_and_byte_order_marks(spark, workdir):
+    d = workdir / "win"
+    d.mkdir()
+    (d / "a.csv").write_bytes("﻿a;b\r\n1;é\r\n".encode("utf-8"))
+    (d / "b.csv").write_bytes("﻿a;b\r\n2;x\r\n".encode("utf-8"))
+    df = delimited.load_table(spark, str(d), ";")
+    assert df.columns == ["a", "b"]
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "e"), ("2", "x")]
+    prof = delimited.load_profile(spark, str(d), ";").first()
+    assert (prof.n_rows, prof.n_malformed) == (2, 0)

@@ -28,6 +28,7 @@ from vitrail.functions.text import strip_quotes
 from vitrail.session import spread_thin_input
 
 CORRUPT = "_corrupt"
+BOM = "\ufeff"
 MALFORMED = "_malformed"
 
 # The loader's type words and the Spark types they stand for.
@@ -57,7 +58,7 @@ def header_of(lines: DataFrame, sep: str, accents: bool = False) -> list[str]:
     first = lines.select(col.alias("value")).first()
     if first is None:
         raise ValueError("empty input: no header line")
-    return split_line(first["value"], sep)
+    return split_line(first["value"].removeprefix(BOM), sep)
 
 
 def column_names(tokens: Sequence[str]) -> list[str]:
@@ -91,7 +92,10 @@ def tokenize(lines: DataFrame, sep: str, width: int, accents: bool = False,
     The parse always covers every field, so pruning cannot hide width errors.
     """
     lines = spread_thin_input(lines)
-    value = _strip_accents("value") if accents else F.col("value")
+    raw = F.col("value")
+    # a byte-order mark opens some files (each part file may carry one): drop it
+    raw = F.when(raw.startswith(BOM), F.substring(raw, 2, 1 << 30)).otherwise(raw)
+    value = _strip_accents(raw) if accents else raw
     # a doubled quote inside a quoted field is a literal quote (RFC 4180), as in the
     # original's Python csv reader; Spark's default escape is a backslash
     opts = {"sep": sep, "quote": quote, "escape": quote, "mode": "PERMISSIVE",
