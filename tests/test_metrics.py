@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings
