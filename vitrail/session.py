@@ -86,9 +86,15 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
     ``df.explain("cost")`` prints); file sizes for a scan, scaled by projections.
     No job runs.  ``None`` when the plan offers no estimate."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001
         return None
+    # plans Spark cannot size (an RDD of Python rows) report spark.sql.defaultSizeInBytes,
+    # which defaults to Long.MaxValue: that is "unknown", not "huge"
+    default = df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", None)
+    if size >= (1 << 63) - 1 or (default is not None and str(size) == _bytes_str(default)):
+        return None
+    return size
 
 
 def planned_partitions(df: DataFrame, blowup: float = 1.0, minimum: int | None = None) -> int:
@@ -136,3 +142,10 @@ def spread_thin_input(df: DataFrame, bytes_per_partition: int = 512 << 10) -> Da
     if target > 1 and df.rdd.getNumPartitions() <= target:
         return df.repartition(target)
     return df
+
+
+def _bytes_str(text: str) -> str:
+    try:
+        return str(_bytes(text))
+    except ValueError:
+        return text
