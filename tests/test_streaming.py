@@ -26,3 +26,22 @@ def test_stream_matches_batch(spark, tmp_path):
     assert got == sorted(tuple(r) for r in batch.collect()) == [(1, "x"), (3, "e")]
     prof = spark.sql("SELECT * FROM stream_profile").collect()[-1]
     assert (prof.n_rows, prof.n_malformed) == (2, 3)
+
+
+def test_fitted_pipeline_scores_a_stream(spark, tmp_path):
+    from vitrail.operators import models
+
+    rows = [(float(1 + i % 2), float(i % 2) * 4 + 0.5, 1.0) for i in range(40)]
+    train = spark.createDataFrame(rows, "label double, a double, b double")
+    clf = models.fit_classifier(train, models.decision_tree("entropy", 3, 32), "label", ["a", "b"])
+
+    src = tmp_path / "score"
+    src.mkdir()
+    (src / "x.csv").write_text("a;b\n0.5;1\n4.5;1\n", encoding="utf-8")
+    parsed = ingest.parse_stream(ingest.read_text_stream(spark, str(src)), ";", ["a", "b"])
+    typed = ingest.typed_stream(parsed).selectExpr("CAST(a AS DOUBLE) AS a", "CAST(b AS DOUBLE) AS b")
+    q = ingest.start(clf.transform(typed).select("a", "prediction"), sink="memory",
+                     query_name="stream_scores", available_now=True)
+    q.awaitTermination(120)
+    got = sorted(tuple(r) for r in spark.sql("SELECT * FROM stream_scores").collect())
+    assert got == [(0.5, 1.0), (4.5, 2.0)]
