@@ -40,9 +40,24 @@ TYPE_WORDS: dict[str, T.DataType] = {
 }
 
 
-def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """A1: one row per line, column ``value``. Splits follow maxPartitionBytes."""
-    return spark.read.text(path if isinstance(path, str) else list(path))
+def read_lines(spark: SparkSession, path: str | Sequence[str],
+               encoding: str = "UTF-8") -> DataFrame:
+    """A1: one row per line, column ``value``. Splits follow maxPartitionBytes.
+
+    The text source only decodes UTF-8; another charset (files written on Windows in
+    ISO-8859-1 or cp1252) is read through the CSV source as one string column whose
+    separator and quote never occur, so each line arrives whole and decoded.  That
+    source skips blank lines, so with another charset they are not counted as
+    malformed."""
+    paths = path if isinstance(path, str) else list(path)
+    if encoding.upper().replace("_", "-") in ("UTF-8", "UTF8"):
+        return spark.read.text(paths)
+    return (spark.read.schema("value STRING")
+            .option("encoding", encoding).option("sep", "\u0000").option("quote", "\u0000")
+            .option("escape", "\u0000").option("header", "false")
+            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+            .option("nullValue", "\u0000").option("emptyValue", "")
+            .csv(paths))
 
 
 def split_line(line: str, sep: str) -> list[str]:
@@ -131,11 +146,12 @@ class Parsed:
         return len(self.names)
 
 
-def first_file_lines(spark: SparkSession, lines: DataFrame) -> DataFrame:
+def first_file_lines(spark: SparkSession, lines: DataFrame,
+                     encoding: str = "UTF-8") -> DataFrame:
     """The lines of the first input file in path order.  Spark orders its splits by
     size, so ``first()`` over many files could land on a headerless part file."""
     files = sorted(lines.inputFiles())
-    return spark.read.text(files[0]) if files else lines
+    return read_lines(spark, files[0], encoding) if files else lines
 
 
 def parse_lines(lines: DataFrame, sep: str, accents: bool = True,
@@ -217,18 +233,20 @@ def load_lines_table(lines: DataFrame, sep: str,
 def load_table(spark: SparkSession, path: str | Sequence[str], sep: str,
                types: Sequence[str] | Mapping[str, str] | None = None,
                sample: float | None = None, seed: int | None = None,
-               accents: bool = True) -> DataFrame:
+               accents: bool = True, encoding: str = "UTF-8") -> DataFrame:
     """A10: delimited file(s) -> typed DataFrame. Register it with
     ``createOrReplaceTempView`` to query it in SQL."""
-    lines = read_lines(spark, path)
+    lines = read_lines(spark, path, encoding)
     return load_lines_table(lines, sep, types, sample, seed, accents,
-                            header_source=first_file_lines(spark, lines))
+                            header_source=first_file_lines(spark, lines, encoding))
 
 
 def load_profile(spark: SparkSession, path: str | Sequence[str], sep: str,
-                 name: str | None = None, accents: bool = True) -> DataFrame:
+                 name: str | None = None, accents: bool = True,
+                 encoding: str = "UTF-8") -> DataFrame:
     """The table profile of a delimited file."""
-    lines = read_lines(spark, path)
-    parsed = parse_lines(lines, sep, accents, header_source=first_file_lines(spark, lines))
+    lines = read_lines(spark, path, encoding)
+    parsed = parse_lines(lines, sep, accents,
+                         header_source=first_file_lines(spark, lines, encoding))
     label = name if name is not None else (path if isinstance(path, str) else ",".join(path))
     return profile(parsed, label)
