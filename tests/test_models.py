@@ -6,6 +6,8 @@ import math
 
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from vitrail.operators import models
 
@@ -111,3 +113,31 @@ def test_label_count_is_bounded_before_collecting(spark):
     df = spark.range(5000).withColumnRenamed("id", "label")
     with pytest.raises(ValueError):
         models.index_labels(df, "label", max_classes=100)
+
+
+def test_labelled_file_to_naive_bayes_summary(spark, workdir):
+    """Header, ';', label last with classes 1..3 -> points -> split -> NB -> macro table."""
+    import random
+
+    from vitrail.operators import metrics, split
+    from vitrail.sources import delimited, points
+
+    rnd = random.Random(5)
+    lines = ["f0;f1;f2;kind"]
+    for i in range(300):
+        k = 1 + i % 3
+        lines.append(";".join(f"{rnd.random() + 2 * k * (j + 1):.2f}" for j in range(3)) + f";{k}")
+    path = workdir / "labelled.csv"
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    pts = points.parse_labeled_points(delimited.read_lines(spark, str(path)), ";", label_index=3,
+                                      drop_header=True)
+    pts = pts.withColumn("key", F.monotonically_increasing_id())
+    flat = pts.select("key", "label", *[vector_to_array("features")[j].alias(f"x{j}") for j in range(3)])
+    train, test = split.hash_split(flat, ["key"], (0.6, 0.4))
+    clf = models.fit_classifier(train, models.naive_bayes(), "label", ["x0", "x1", "x2"])
+    scored = clf.transform(test)
+    pc = metrics.per_class_metrics(metrics.one_vs_rest(metrics.confusion_matrix(scored)))
+    summary = metrics.macro_summary(pc, "Naive Bayes").first()
+    assert pts.count() == 300 and {r.label for r in pts.select("label").distinct().collect()} == {1.0, 2.0, 3.0}
+    assert {r.prediction for r in scored.select("prediction").distinct().collect()} <= {1.0, 2.0, 3.0}
+    assert summary.method == "Naive Bayes" and 0.0 <= summary.f_measure <= 1.0

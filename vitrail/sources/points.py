@@ -20,12 +20,17 @@ def _tokens(sep: str):
 
 def parse_labeled_points(lines: DataFrame, sep: str = " ", label_index: int = 0,
                          feature_indices: Sequence[int] | None = None,
-                         as_vector: bool = True) -> DataFrame:
+                         as_vector: bool = True, drop_header: bool = False) -> DataFrame:
     """Lines of numbers -> ``label double, features``.
 
     ``feature_indices=None`` takes every field except the label, in order (A12: label
-    first; A13: label at index 8, features 0..7).  Blank lines are skipped.
+    first; A13: label at index 8, features 0..7).  Blank lines are skipped;
+    ``drop_header`` drops every line equal to the first one (one small job reads it).
     """
+    if drop_header:
+        first = lines.select("value").first()
+        if first is not None:
+            lines = lines.filter(F.col("value") != F.lit(first["value"]))
     parts = _tokens(sep).try_cast("array<double>")
     label = F.get(parts, label_index)
     if feature_indices is None:
