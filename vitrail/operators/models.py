@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -169,7 +170,8 @@ def fit_classifier(train: DataFrame, estimator, label: str, features: Sequence[s
                    label_source: DataFrame | None = None,
                    max_categories: int | None = None,
                    label_order: str = "alphabetAsc",
-                   invalid_features: str = "error") -> Classifier:
+                   invalid_features: str = "error",
+                   storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Classifier:
     """fit ``indexer -> assembler -> [vector indexer] -> estimator -> label map``.
 
     ``label_source`` fits the label indexer -- and the vector indexer when
@@ -178,11 +180,12 @@ def fit_classifier(train: DataFrame, estimator, label: str, features: Sequence[s
     ``StringIndexer``'s order (``frequencyDesc`` is its default).  A NULL or NaN feature
     raises by default (``invalid_features="error"``): ``"skip"`` would silently drop
     rows, also when scoring, so it has to be asked for.  The training frame is persisted
-    around the iterative fit and released afterwards."""
+    (``storage_level``; ``DISK_ONLY`` suits training sets far larger than executor
+    memory) around the iterative fit and released afterwards."""
     label_type = train.schema[label].dataType
     if not isinstance(estimator, NaiveBayes):  # one-pass fits gain nothing from spreading
         train = spread_thin_input(train)
-    cached = train.persist()  # the indexer's counting job fills the cache the fit reuses
+    cached = train.persist(storage_level)  # the indexer's job fills the cache the fit reuses
     try:
         source = label_source if label_source is not None else cached
         indexer = index_labels(source, label, order=label_order)
