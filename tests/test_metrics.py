@@ -102,3 +102,10 @@ def test_mixed_label_and_prediction_types(spark):
     df = spark.createDataFrame([(1, 1.0), (2, 1.0), (2, 2.0)], "label int, prediction double")
     o = {r["class"]: r for r in metrics.one_vs_rest(metrics.confusion_matrix(df)).collect()}
     assert (o[1].tp, o[1].fp, o[2].tp, o[2].fn) == (1, 1, 1, 1)
+
+
+def test_summarize_equals_the_chain(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 2), (3, 2)], "label int, prediction int")
+    chain = metrics.macro_summary(metrics.per_class_metrics(metrics.one_vs_rest(
+        metrics.confusion_matrix(df))), "m", 7).first()
+    assert metrics.summarize(df, "m", n_classes=7).first() == chain

@@ -15,7 +15,7 @@ Modules::
     vitrail.operators.quantiles  exact_quantiles, approx_quantiles
     vitrail.operators.split      hash_split, random_split, sample_rows (+ *_tag variants)
     vitrail.operators.metrics    confusion_matrix, one_vs_rest, per_class_metrics,
-                                 macro_summary, accuracy, multilabel_metrics
+                                 macro_summary, summarize, accuracy, multilabel_metrics
     vitrail.operators.models     fit_classifier, Classifier, estimator presets,
                                  index_labels, index_features, fitted parameters
     vitrail.operators.cluster    kmeans_best_of, centres_by_label, assign_nearest,

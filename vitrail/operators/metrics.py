@@ -109,3 +109,10 @@ def multilabel_metrics(scored: DataFrame, label: str = "label",
         F.avg(_ratio(2 * F.col("i"), F.col("np") + F.col("nl"))).alias("f1"),
         F.avg(_ratio(F.col("i"), F.col("u"))).alias("accuracy"),
     )
+
+
+def summarize(scored: DataFrame, method: str, label: str = "label",
+              prediction: str = "prediction", n_classes: int | None = None) -> DataFrame:
+    """I6 in one call: confusion -> one-vs-rest -> per-class -> macro summary row."""
+    per_class = per_class_metrics(one_vs_rest(confusion_matrix(scored, label, prediction)))
+    return macro_summary(per_class, method, n_classes)

@@ -507,10 +507,7 @@ def q_pic_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """hash split -> Naive Bayes pipeline -> macro precision / recall / F-measure."""
     clf, test = _nb(spark, sf_dir)
-    scored = clf.transform(test)
-    pc = metrics.per_class_metrics(
-        metrics.one_vs_rest(metrics.confusion_matrix(scored, "band", "prediction")))
-    return metrics.macro_summary(pc, "Naive Bayes")
+    return metrics.summarize(clf.transform(test), "Naive Bayes", "band", "prediction")
 
 
 def registry() -> dict[str, Query]:
