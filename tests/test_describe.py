@@ -38,8 +38,8 @@ def test_correlation_matrix_symmetric_with_unit_diagonal(spark):
         assert v == m[(j, i)]
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 8])
-def test_exact_quantiles_match_linear_interpolation(spark, partitions):
+@pytest.mark.parametrize("partitions, threshold", [(1, 0), (3, 0), (8, 0), (8, 100_000), (8, 10)])
+def test_exact_quantiles_match_linear_interpolation(spark, partitions, threshold):
     rng = np.random.default_rng(partitions)
     n = 1001
     skewed = np.where(rng.random(n) < 0.34, 0.0, rng.normal(size=n))  # a third are zeros
@@ -48,15 +48,18 @@ def test_exact_quantiles_match_linear_interpolation(spark, partitions):
     df = spark.createDataFrame(data, "s double, k double").repartition(5)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
     got = {(r.feature, r.prob): r.value
-           for r in exact_quantiles(df, ["s", "k"], probs, partitions=partitions).collect()}
+           for r in exact_quantiles(df, ["s", "k"], probs, partitions=partitions,
+                                    histogram_threshold=threshold).collect()}
     for name, col in (("s", skewed), ("k", ints)):
         for p in probs:
             assert got[(name, p)] == pytest.approx(np.quantile(col, p, method="linear"), abs=1e-12)
 
 
-def test_exact_quantiles_ignore_nulls(spark):
+@pytest.mark.parametrize("threshold", [0, 100_000])
+def test_exact_quantiles_ignore_nulls(spark, threshold):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,), (2.0,)], "v double")
-    got = {r.prob: r.value for r in exact_quantiles(df, ["v"], [0.5, 0.25]).collect()}
+    got = {r.prob: r.value for r in exact_quantiles(df, ["v"], [0.5, 0.25],
+                                                    histogram_threshold=threshold).collect()}
     assert got == {0.5: 2.0, 0.25: 1.5}
 
 

@@ -1,10 +1,15 @@
 """Exact, distributed quantiles with linear interpolation (``quantile_cont`` semantics).
 
 An exact percentile aggregate keeps every distinct value of a column in one task; on a
-large table that is an unbounded group.  Here the work is a range-partitioned sort
-instead:
+large table that is an unbounded group.  Two exact paths replace it, and a one-pass
+distinct-count sketch picks one per column.
 
-1. all requested columns are unpivoted to ``(k, v)`` and range-partitioned on
+Columns with few distinct values: a value -> count histogram is one aggregation with
+map-side partial counts, and cumulative counts over it give the ranks.
+
+Columns with many distinct values take a range-partitioned sort:
+
+1. the columns are unpivoted to ``(k, v)`` and range-partitioned on
    ``(k, v, salt)``; the random salt lets Spark split a hot value (a column that is one
    third zeros) over several partitions;
 2. after a reliable checkpoint, ``monotonically_increasing_id`` gives each row its
@@ -26,6 +31,8 @@ from vitrail.session import cut_lineage, planned_partitions
 
 _POS_BITS = 33
 MAX_TARGETS = 1_000_000
+# Columns with at most this many distinct values take the histogram path.
+HISTOGRAM_THRESHOLD = 100_000
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
@@ -36,19 +43,34 @@ def _unpivot(df: DataFrame, cols: Sequence[str]) -> DataFrame:
               .select("e.k", "e.v").where(F.col("v").isNotNull()))
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    partitions: int | None = None, seed: int = 17) -> DataFrame:
-    """``(column, prob, value)`` for every column and probability; NULLs ignored.
+def _targets(totals: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """``(k, prob, frac, side, rank)``: the floor and ceiling ranks each quantile reads."""
+    qs = F.array(*[F.lit(float(p)) for p in probs])
+    return (totals.select("k", "n", F.explode(qs).alias("prob"))
+                  .withColumn("pos", F.col("prob") * (F.col("n") - 1))
+                  .withColumn("frac", F.col("pos") - F.floor("pos"))
+                  .select("k", "prob", "frac",
+                          F.explode(F.array(
+                              F.struct(F.lit("lo").alias("side"), F.floor("pos").alias("rank")),
+                              F.struct(F.lit("hi").alias("side"), F.ceil("pos").alias("rank")),
+                          )).alias("t"))
+                  .select("k", "prob", "frac", "t.side", "t.rank"))
+
+
+def _interpolate(picked: DataFrame, cols: Sequence[str]) -> DataFrame:
+    result = (picked.groupBy("k", "prob")
+              .agg(F.max(F.when(F.col("side") == "lo", F.col("v"))).alias("lo"),
+                   F.max(F.when(F.col("side") == "hi", F.col("v"))).alias("hi"),
+                   F.first("frac").alias("frac"))
+              .select("k", "prob",
+                      (F.col("lo") + F.col("frac") * (F.col("hi") - F.col("lo"))).alias("value")))
+    names = F.array(*[F.lit(c) for c in cols])
+    return result.select(F.element_at(names, F.col("k") + 1).alias("feature"), "prob", "value")
 
-    ``value = lo + (pos - floor(pos)) * (hi - lo)`` with ``pos = prob * (n - 1)``.
-    """
-    for p in probs:
-        if not 0.0 <= p <= 1.0:
-            raise ValueError(f"probability {p} outside [0, 1]")
-    # the broadcast side holds two rows per (column, probability): bounded by the call
-    if 2 * len(cols) * len(probs) > MAX_TARGETS:
-        raise ValueError(f"{len(cols)} columns x {len(probs)} probabilities is too many targets")
 
+def _sorted_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                      partitions: int | None, seed: int) -> DataFrame:
+    """Range sort + checkpoint + block offsets: for columns with many distinct values."""
     long = _unpivot(df, cols).withColumn("salt", F.rand(seed))
     if partitions is None:
         # sized from the data, not a fixed count: the scanned columns' estimate times the
@@ -68,31 +90,67 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     blocks = blocks.withColumn("offset", F.coalesce(F.sum("cnt").over(before), F.lit(0)))
 
     totals = blocks.groupBy("k").agg(F.sum("cnt").alias("n"))
-    qs = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (totals.select("k", "n", F.explode(qs).alias("prob"))
-                     .withColumn("pos", F.col("prob") * (F.col("n") - 1))
-                     .withColumn("frac", F.col("pos") - F.floor("pos"))
-                     .select("k", "prob", "frac",
-                             F.explode(F.array(
-                                 F.struct(F.lit("lo").alias("side"), F.floor("pos").alias("rank")),
-                                 F.struct(F.lit("hi").alias("side"), F.ceil("pos").alias("rank")),
-                             )).alias("t"))
-                     .select("k", "prob", "frac", "t.side", "t.rank"))
-    located = (targets.join(blocks, "k")
+    located = (_targets(totals, probs).join(blocks, "k")
                .where((F.col("rank") >= F.col("offset"))
                       & (F.col("rank") < F.col("offset") + F.col("cnt")))
                .select("k", "prob", "frac", "side",
                        (F.shiftleft("pid", _POS_BITS)
                         + F.col("start") + F.col("rank") - F.col("offset")).alias("mid")))
     picked = ordered.join(F.broadcast(located), ["k", "mid"])
-    result = (picked.groupBy("k", "prob")
-              .agg(F.max(F.when(F.col("side") == "lo", F.col("v"))).alias("lo"),
-                   F.max(F.when(F.col("side") == "hi", F.col("v"))).alias("hi"),
-                   F.first("frac").alias("frac"))
-              .select("k", "prob",
-                      (F.col("lo") + F.col("frac") * (F.col("hi") - F.col("lo"))).alias("value")))
-    names = F.array(*[F.lit(c) for c in cols])
-    return result.select(F.element_at(names, F.col("k") + 1).alias("feature"), "prob", "value")
+    return _interpolate(picked, cols)
+
+
+def _histogram_quantiles(df: DataFrame, cols: Sequence[str],
+                         probs: Sequence[float]) -> DataFrame:
+    """Value -> count histogram + cumulative counts: for columns with few distinct values.
+
+    One aggregation with map-side partial counts (a value holding a third of the rows is
+    combined before the shuffle); the histogram is bounded by the distinct counts, so
+    the running sums over it are small windows."""
+    hist = _unpivot(df, cols).groupBy("k", "v").agg(F.count("*").alias("cnt"))
+    upto = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    hist = (hist.withColumn("end", F.sum("cnt").over(upto))
+                .withColumn("start", F.col("end") - F.col("cnt")))
+    totals = hist.groupBy("k").agg(F.sum("cnt").alias("n"))
+    picked = (_targets(totals, probs).join(hist, "k")
+              .where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("end")))
+              .select("k", "prob", "frac", "side", "v"))
+    return _interpolate(picked, cols)
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    partitions: int | None = None, seed: int = 17,
+                    histogram_threshold: int = HISTOGRAM_THRESHOLD) -> DataFrame:
+    """``(feature, prob, value)`` for every column and probability; NULLs ignored.
+
+    ``value = lo + (pos - floor(pos)) * (hi - lo)`` with ``pos = prob * (n - 1)``.
+    A one-pass distinct-count sketch routes each column: up to ``histogram_threshold``
+    distinct values the exact answer comes from a value histogram (one aggregation, no
+    sort); above it, from the range sort.  Both paths are exact; the sketch only picks.
+    """
+    for p in probs:
+        if not 0.0 <= p <= 1.0:
+            raise ValueError(f"probability {p} outside [0, 1]")
+    # the broadcast side holds two rows per (column, probability): bounded by the call
+    if 2 * len(cols) * len(probs) > MAX_TARGETS:
+        raise ValueError(f"{len(cols)} columns x {len(probs)} probabilities is too many targets")
+    cols = list(cols)
+    if histogram_threshold > 0:
+        ndv = df.agg(*[F.approx_count_distinct(F.col(c).cast("double"), 0.05).alias(f"d{i}")
+                       for i, c in enumerate(cols)]).first()
+        few = [c for i, c in enumerate(cols) if ndv[f"d{i}"] <= histogram_threshold]
+    else:
+        few = []
+    many = [c for c in cols if c not in few]
+    parts = []
+    if few:
+        parts.append(_histogram_quantiles(df, few, probs))
+    if many:
+        parts.append(_sorted_quantiles(df, many, probs, partitions, seed))
+    out = parts[0]
+    for extra in parts[1:]:
+        out = out.unionByName(extra)
+    return out
 
 
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
