@@ -7,16 +7,17 @@ import pytest
 from vitrail.operators import split
 
 
-def test_hash_split_disjoint_complete_and_stable(spark):
+@pytest.mark.parametrize("method", ["md5", "xxhash64"])
+def test_hash_split_disjoint_complete_and_stable(spark, method):
     df = spark.range(5000).withColumnRenamed("id", "k")
-    a = split.hash_split_tag(df, ["k"], (0.6, 0.4)).repartition(7)
-    b = split.hash_split_tag(df.repartition(3), ["k"], (0.6, 0.4))
+    a = split.hash_split_tag(df, ["k"], (0.6, 0.4), method=method).repartition(7)
+    b = split.hash_split_tag(df.repartition(3), ["k"], (0.6, 0.4), method=method)
     ga = {r.k: r.split for r in a.collect()}
     gb = {r.k: r.split for r in b.collect()}
     assert ga == gb and len(ga) == 5000
     share = sum(1 for v in ga.values() if v == 0) / 5000
     assert 0.57 < share < 0.63
-    train, test = split.hash_split(df, ["k"], (0.6, 0.4))
+    train, test = split.hash_split(df, ["k"], (0.6, 0.4), method=method)
     assert train.count() + test.count() == 5000
     assert train.join(test, "k").count() == 0
 
