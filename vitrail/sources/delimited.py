@@ -118,11 +118,16 @@ def tokenize(lines: DataFrame, sep: str, width: int, accents: bool = False,
     # inline(array(struct)) is a Generate: the parse runs once per line and later
     # projections cannot re-inline it per field (nor prune it to fewer columns, which
     # would hide width errors).
-    parsed = lines.select(value.alias("value")).select(
-        "value", F.inline(F.array(F.from_csv("value", _string_schema_ddl(width), opts))))
-    malformed = F.col(CORRUPT).isNotNull() | (F.length("value") == 0)
+    # The line itself also comes out of the generate: a filter on it (the blank-line
+    # test) then cannot be pushed below the parse, where it would re-evaluate the whole
+    # line expression a second time.
+    parsed = lines.select(value.alias("_line")).select(F.inline(F.array(F.struct(
+        F.col("_line").alias("value"),
+        F.from_csv("_line", _string_schema_ddl(width), opts).alias("_r")))))
+    malformed = F.col(f"_r.{CORRUPT}").isNotNull() | (F.length("value") == 0)
     return parsed.select(
-        "value", *[F.col(f"_c{i}") for i in range(width)], malformed.alias(MALFORMED))
+        "value", *[F.col(f"_r._c{i}").alias(f"_c{i}") for i in range(width)],
+        malformed.alias(MALFORMED))
 
 
 def _is_header(tokens: Sequence[str]) -> Column:
