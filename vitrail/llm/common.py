@@ -25,6 +25,22 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, GAP), "")
 
 
+def carried(docs: DataFrame, added: list[str]) -> list[str]:
+    """The columns of ``docs`` that an operator passes on: all but those it adds itself."""
+    own = {c.lower() for c in added}
+    return [c for c in docs.columns if c.lower() not in own]
+
+
+def packed(names: list[str]) -> Column:
+    """The passed-on columns as one struct ``_row``, out of reach of working columns that
+    may have the same names."""
+    return F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")
+
+
+def unpacked(names: list[str]) -> list[Column]:
+    return [F.col("_row")[c].alias(c) for c in names]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

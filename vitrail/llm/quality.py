@@ -20,7 +20,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrail.llm.common import GAP_CHARS, table, text_of, words_of, written
+from vitrail.llm.common import (
+    GAP_CHARS,
+    carried,
+    packed,
+    table,
+    text_of,
+    unpacked,
+    words_of,
+    written,
+)
 
 #: Frequent function words by language.
 COMMON_WORDS = {
@@ -183,9 +192,9 @@ MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 def measure(docs: DataFrame, text: str = "text", lang: str = "lang",
             base: bool = True) -> DataFrame:
-    """``docs`` without the text's own column changed, plus ``_lang``, both histograms and
-    ``n_words``; with ``base`` also the other base measures."""
-    out = _with_histograms(docs.drop(*MEASURES), text).withColumn("_lang", F.col(lang))
+    """``docs`` plus ``_lang``, both histograms, ``n_words`` and ``word_chars``; with
+    ``base`` also the other base measures."""
+    out = _with_histograms(docs, text).withColumn("_lang", F.col(lang))
     out = out.withColumn("n_words", F.size("_words").cast("long"))
     if base:
         lines = F.filter(F.split("_text", "\n"), lambda x: F.length(F.btrim(
@@ -223,12 +232,14 @@ def judge(docs: DataFrame, limits: Limits = PRODUCTION, text: str = "text",
     references, of which only histograms are kept, and for the verdicts."""
     seen = written(measure(docs.select(text, lang), text, lang, base=False)
                    .select("_lang", "n_words", "_classes", "_common"), "quality")
-    plain = [c for c in docs.columns if c not in MEASURES]
-    out = verdict(measure(docs, text, lang), references(seen, limits), limits)
-    return out.select(*[F.col(f"`{c}`") for c in plain], *MEASURES)
+    names = carried(docs, MEASURES)
+    rows = docs.select(packed(names), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    out = verdict(measure(rows), references(seen, limits), limits)
+    return out.select(*unpacked(names), *MEASURES)
 
 
 def op1_quality(spark, sf_dir: str) -> DataFrame:
     """Measures and verdicts of all documents; measured once, as no text is returned."""
-    measured = written(measure(table(spark, sf_dir, "documents")).drop("text"), "quality")
+    measured = written(measure(table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang")).drop("text"), "quality")
     return verdict(measured, references(measured)).select("doc_id", *MEASURES)

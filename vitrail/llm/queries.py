@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from vitrail.llm import quality
+from vitrail.llm import line_dedup, quality
 
 
 def registry() -> dict:
     return {
         "op1_quality_divergence": quality.op1_quality,
+        "op2_line_dedup": line_dedup.op2_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_line_dedup": line_dedup.OP2_SQL,
+    }
