@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from vitrail.llm import line_dedup, quality
+from vitrail.llm import line_dedup, quality, token_counts
 
 
 def registry() -> dict:
     return {
         "op1_quality_divergence": quality.op1_quality,
         "op2_line_dedup": line_dedup.op2_line_dedup,
+        "op5_token_counts": token_counts.op5_token_counts,
     }
 
 
