@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrail.llm import byte_bpe, line_dedup, packing, quality, token_counts
+from vitrail.llm import byte_bpe, line_dedup, packing, quality, token_counts, toxicity
 
 
 def registry() -> dict:
@@ -12,6 +12,7 @@ def registry() -> dict:
         "op5_token_counts": token_counts.op5_token_counts,
         "op8_byte_bpe": byte_bpe.op8_byte_bpe,
         "op7_best_fit_packing": packing.op7_best_fit_packing,
+        "op6_toxicity": toxicity.op6_toxicity,
     }
 
 
