@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrail.llm import byte_bpe, line_dedup, packing, quality, token_counts, toxicity
+from vitrail.llm import byte_bpe, chat, line_dedup, packing, quality, token_counts, toxicity
 
 
 def registry() -> dict:
@@ -13,10 +13,12 @@ def registry() -> dict:
         "op8_byte_bpe": byte_bpe.op8_byte_bpe,
         "op7_best_fit_packing": packing.op7_best_fit_packing,
         "op6_toxicity": toxicity.op6_toxicity,
+        "op3_chat_format": chat.op3_chat_format,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": line_dedup.OP2_SQL,
+        "op3_chat_format": chat.OP3_SQL,
     }
