@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrail.llm import byte_bpe, chat, line_dedup, packing, quality, token_counts, toxicity
+from vitrail.llm import byte_bpe, chat, line_dedup, packing, quality, token_counts, toxicity, warc
 
 
 def registry() -> dict:
@@ -14,6 +14,7 @@ def registry() -> dict:
         "op7_best_fit_packing": packing.op7_best_fit_packing,
         "op6_toxicity": toxicity.op6_toxicity,
         "op3_chat_format": chat.op3_chat_format,
+        "op4_warc": warc.op4_warc,
     }
 
 
@@ -21,4 +22,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": line_dedup.OP2_SQL,
         "op3_chat_format": chat.OP3_SQL,
+        "op4_warc": warc.OP4_SQL,
     }
