@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from vitrail.llm import byte_bpe, chat, line_dedup, packing, quality, token_counts, toxicity, warc
+from vitrail.llm import (
+    ann,
+    byte_bpe,
+    chat,
+    line_dedup,
+    packing,
+    quality,
+    token_counts,
+    toxicity,
+    warc,
+)
 
 
 def registry() -> dict:
@@ -15,6 +25,7 @@ def registry() -> dict:
         "op6_toxicity": toxicity.op6_toxicity,
         "op3_chat_format": chat.op3_chat_format,
         "op4_warc": warc.op4_warc,
+        "op10_ann_forest": ann.op10_ann_forest,
     }
 
 
