@@ -6,6 +6,7 @@ from vitrail.llm import (
     ann,
     byte_bpe,
     chat,
+    jaccard_join,
     line_dedup,
     packing,
     quality,
@@ -26,6 +27,7 @@ def registry() -> dict:
         "op3_chat_format": chat.op3_chat_format,
         "op4_warc": warc.op4_warc,
         "op10_ann_forest": ann.op10_ann_forest,
+        "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     }
 
 
