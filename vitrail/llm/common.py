@@ -72,11 +72,13 @@ def remember(spark: SparkSession, path: str) -> None:
     _paths(spark).append(path)
 
 
-def release(spark: SparkSession, since: int = 0) -> None:
-    """Remove the tables written since ``marker``; results that read them must have been
-    consumed by then."""
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Remove the tables written since ``marker`` but for the last ``keep``; results that
+    read them must have been consumed by then."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     paths = _paths(spark)
-    while len(paths) > since:
-        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+    gone = paths[since:len(paths) - keep]
+    del paths[since:len(paths) - keep]
+    for name in gone:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)

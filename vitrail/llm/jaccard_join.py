@@ -23,9 +23,9 @@ are map-side combined, and joins on n-grams can be split by adaptive execution.
 
 Defined cases: null and empty texts have empty sets and link with nothing; a text with
 fewer words than an n-gram is one n-gram; rows that share a ``doc_id`` are one document
-with several texts; rows with a null id count as one document, and those in no other
-document's component have a null component; other columns pass through, and the added ones
-replace columns of the same name.
+with several texts; rows with a null id are documents by their text, and those in no other
+document's component have a null component; ids must be below ``2 ** 62``; other columns
+pass through, and the added ones replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -49,8 +49,9 @@ FILTER_BITS = 24
 BINS = 64
 #: Rows of one n-gram, beyond its bucket's usual noise, from which its group is salted.
 SALT_ROWS = 5000
-#: Stands for a missing id; larger than all others, so no component is named after it.
-NO_DOC = (1 << 63) - 1
+#: Where rows without an id get ids from their text; no component is named after those
+#: unless it has no others, as they are larger.
+NO_DOC = 1 << 62
 
 
 @dataclass(frozen=True)
@@ -348,13 +349,15 @@ def across(met: DataFrame, labels: DataFrame, s: Similarity, star: bool) -> Data
     return met_.select(*ordered("a_id", "b_id")).distinct()
 
 
-def similar_groups(docs: DataFrame, s: Similarity = Similarity(), doc_id: str = "doc_id",
-                   text: str = "text") -> DataFrame:
-    """``docs`` plus ``n_shingles`` and ``component_id``, the smallest id reachable by
-    links."""
-    names = carried(docs, ["n_shingles", "component_id"])
-    texts = docs.select(F.coalesce(F.col(doc_id), F.lit(NO_DOC)).cast("long").alias("id"),
-                        text_of(text).alias("text"))
+def id_of(doc_id: str, text: str) -> Column:
+    by_text = F.xxhash64(text_of(text)).bitwiseAND(F.lit(NO_DOC - 1)) + F.lit(NO_DOC)
+    return F.coalesce(F.col(doc_id).cast("long"), by_text)
+
+
+def grouped(docs: DataFrame, names: list[str], s: Similarity, doc_id: str,
+            text: str) -> DataFrame:
+    """(_row, id, n, component) for every row of ``docs``; ``n`` as long."""
+    texts = docs.select(id_of(doc_id, text).alias("id"), text_of(text).alias("text"))
     counts = sketch(texts.select("text"), s.words)
     sets = written(gram_sets(texts, counts, s), "jaccard-sets")
 
@@ -366,7 +369,7 @@ def similar_groups(docs: DataFrame, s: Similarity = Similarity(), doc_id: str =
     judge = Verifier(texts, sets.where("n > 0").select("id", "bins"), s)
 
     stars = met.where("id <> pivot").select(
-        "id", "n", "at", "pivot", F.col("n").alias("a_n"), F.col("at").alias("a_at"),
+        "id", "pivot", F.col("n").alias("a_n"), F.col("at").alias("a_at"),
         F.col("pn").alias("b_n"), F.col("pat").alias("b_at")).where(may_pair("a_", "b_", s))
     links = judge.links(stars.select(*ordered("id", "pivot")).distinct())
     for star in (True, False):
@@ -374,14 +377,31 @@ def similar_groups(docs: DataFrame, s: Similarity = Similarity(), doc_id: str =
         links = links.unionAll(judge.links(across(met, labels, s, star)))
     labels = written(components(links.unionAll(members)), "jaccard-labels")
 
-    # sizes come from the rows' own sets; equal rows of one id share them
-    size = sets.select("id", "n", "s1", "s2")
-    rows = docs.select(packed(names), F.coalesce(F.col(doc_id), F.lit(NO_DOC)).cast("long")
-                       .alias("id"), size_function(s)(text_of(text)).alias("n"))
-    out = rows.join(labels.select(F.col("node").alias("id"), "component"), "id", "left")
-    component = F.coalesce("component", "id")
-    return out.select(*unpacked(names), F.col("n").alias("n_shingles"),
-                      F.when(component != NO_DOC, component).alias("component_id"))
+    rows = docs.select(packed(names), id_of(doc_id, text).alias("id"),
+                       size_function(s)(text_of(text)).alias("n"))
+    return rows.join(labels.select(F.col("node").alias("id"), "component"), "id",
+                     "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def similar_groups(docs: DataFrame, s: Similarity = Similarity(), doc_id: str = "doc_id",
+                   text: str = "text") -> DataFrame:
+    """``docs`` plus ``n_shingles`` and ``component_id``, the smallest id reachable by
+    links."""
+    names = carried(docs, ["n_shingles", "component_id"])
+    return grouped(docs, names, s, doc_id, text).select(
+        *unpacked(names), F.col("n").alias("n_shingles"),
+        F.when(F.col("component") < NO_DOC, F.col("component")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, s: Similarity = Similarity(), doc_id: str = "doc_id",
+                text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id names their component; of several rows of that id one
+    with the largest set."""
+    names = docs.columns
+    best = Window.partitionBy("id").orderBy(F.desc("n"), F.xxhash64(F.col("_row")[text]))
+    rows = grouped(docs, names, s, doc_id, text).where("id = component")
+    return rows.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").select(
+        *unpacked(names))
 
 
 def size_function(s: Similarity):

@@ -325,9 +325,14 @@ def sequences(packed_: DataFrame) -> DataFrame:
 SPECIAL = {"<|endoftext|>": 50256}
 
 
-def op7_best_fit_packing(spark, sf_dir: str) -> DataFrame:
+def pack_production(docs: DataFrame) -> DataFrame:
+    """The packing of ``docs`` with the production vocabulary and capacity."""
     import public_tokenizers
 
-    return pack_documents(
-        table(spark, sf_dir, "documents").select("doc_id", "text"),
-        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SPECIAL)
+    return pack_documents(docs.select("doc_id", "text"),
+                          public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                          public_tokenizers.PATTERN, SPECIAL)
+
+
+def op7_best_fit_packing(spark, sf_dir: str) -> DataFrame:
+    return pack_production(table(spark, sf_dir, "documents"))
