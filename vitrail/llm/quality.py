@@ -206,7 +206,12 @@ def measure(docs: DataFrame, text: str = "text", lang: str = "lang",
             F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
         out = out.withColumn("n_repeat_words", repeated_words("_words"))
         out = out.drop("_lines")
-    return out.drop("_text", "_words")
+    out = out.drop("_text", "_words")
+    added = [c for c in out.columns if c not in docs.columns]
+    # through a generate, below which no filter on a measure is pushed: the whole
+    # expression would be evaluated again for every use of it
+    return out.select(*docs.columns, F.explode(F.array(F.struct(*added))).alias("_m")).select(
+        *docs.columns, *[F.col("_m")[c].alias(c) for c in added])
 
 
 def verdict(measured: DataFrame, refs: References, limits: Limits = PRODUCTION) -> DataFrame:
@@ -223,7 +228,11 @@ def verdict(measured: DataFrame, refs: References, limits: Limits = PRODUCTION)
     most = F.when(long_text, limits.max_class_distance).otherwise(limits.max_short_distance)
     odd = ((chars >= limits.guard_chars) & (F.col("class_distance") > most)) | (
         long_text & (F.col("word_distance") > limits.max_word_distance))
-    return out.withColumn("kept", ~F.col("base_failed") & ~odd)
+    out = out.withColumn("kept", ~F.col("base_failed") & ~odd)
+    judged = ["class_distance", "word_distance", "base_failed", "kept"]
+    rest = [c for c in measured.columns if c not in judged]
+    return out.select(*rest, F.explode(F.array(F.struct(*judged))).alias("_v")).select(
+        *rest, *[F.col("_v")[c].alias(c) for c in judged])
 
 
 def judge(docs: DataFrame, limits: Limits = PRODUCTION, text: str = "text",
