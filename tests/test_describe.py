@@ -38,29 +38,39 @@ def test_correlation_matrix_symmetric_with_unit_diagonal(spark):
         assert v == m[(j, i)]
 
 
-@pytest.mark.parametrize("partitions, threshold", [(1, 0), (3, 0), (8, 0), (8, 100_000), (8, 10)])
-def test_exact_quantiles_match_linear_interpolation(spark, partitions, threshold):
-    rng = np.random.default_rng(partitions)
+@pytest.mark.parametrize("seed", [1, 3, 8])
+def test_exact_quantiles_match_linear_interpolation(spark, seed):
+    rng = np.random.default_rng(seed)
     n = 1001
     skewed = np.where(rng.random(n) < 0.34, 0.0, rng.normal(size=n))  # a third are zeros
     ints = rng.integers(0, 5, size=n).astype(float)
-    data = [(float(a), float(b)) for a, b in zip(skewed, ints)]
-    df = spark.createDataFrame(data, "s double, k double").repartition(5)
+    wild = np.exp(rng.normal(size=n) * 60) * rng.choice([-1, 1], size=n)  # 50 decades
+    data = [(float(a), float(b), float(c)) for a, b, c in zip(skewed, ints, wild)]
+    df = spark.createDataFrame(data, "s double, k double, w double").repartition(5)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
     got = {(r.feature, r.prob): r.value
-           for r in exact_quantiles(df, ["s", "k"], probs, partitions=partitions,
-                                    histogram_threshold=threshold).collect()}
-    for name, col in (("s", skewed), ("k", ints)):
+           for r in exact_quantiles(df, ["s", "k", "w"], probs).collect()}
+    for name, col in (("s", skewed), ("k", ints), ("w", wild)):
         for p in probs:
-            assert got[(name, p)] == pytest.approx(np.quantile(col, p, method="linear"), abs=1e-12)
+            assert got[(name, p)] == pytest.approx(np.quantile(col, p, method="linear"),
+                                                   rel=1e-12, abs=1e-12)
 
 
-@pytest.mark.parametrize("threshold", [0, 100_000])
-def test_exact_quantiles_ignore_nulls(spark, threshold):
-    df = spark.createDataFrame([(1.0,), (None,), (3.0,), (2.0,)], "v double")
-    got = {r.prob: r.value for r in exact_quantiles(df, ["v"], [0.5, 0.25],
-                                                    histogram_threshold=threshold).collect()}
-    assert got == {0.5: 2.0, 0.25: 1.5}
+def test_exact_quantiles_ignore_nulls_and_empty_columns(spark):
+    df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None), (2.0, None)],
+                               "v double, e double")
+    got = {(r.feature, r.prob): r.value
+           for r in exact_quantiles(df, ["v", "e"], [0.5, 0.25]).collect()}
+    assert got == {("v", 0.5): 2.0, ("v", 0.25): 1.5}
+
+
+def test_exact_quantiles_of_extremes(spark):
+    inf, big = float("inf"), 1.7e308
+    df = spark.createDataFrame([(-inf,), (-big,), (0.0,), (big,), (inf,), (float("nan"),)],
+                               "v double")
+    got = {r.prob: r.value for r in exact_quantiles(df, ["v"], [0, 0.2, 0.4, 0.6, 0.8, 1]).collect()}
+    assert [got[p] for p in (0, 0.2, 0.4, 0.6, 0.8)] == [-inf, -big, 0.0, big, inf]
+    assert got[1.0] != got[1.0]
 
 
 def test_describe_numeric_exact_and_approx(spark):

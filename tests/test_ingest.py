@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
+import unicodedata
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.ml.functions import vector_to_array
 
-from vitrail.functions.text import fold_accents_py, strip_accents
+from vitrail.functions.text import strip_accents
 from vitrail.sources import delimited, points
 
 DIRTY = "\n".join([
@@ -105,19 +107,76 @@ def test_accents_are_folded_in_the_loader(spark, workdir):
     assert (row.nom, row.ville) == ("Elodie", "Besancon")
 
 
-@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.text(alphabet=st.characters(min_codepoint=32, max_codepoint=0x2FF).filter(
-    lambda c: len(fold_accents_py(c)) <= 1), max_size=40))
-def test_translate_fold_matches_nfkd_for_single_char_folds(spark, s):
-    got = spark.createDataFrame([(s,)], "t string").select(strip_accents("t").alias("f")).first().f
-    assert got == fold_accents_py(s)
+def nfkd(s):
+    """The definition: decompose, then leave out what has a combining class."""
+    return "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
 
 
-def test_expand_mode_handles_multi_char_folds(spark):
-    s = "ﬁne Œuvre ½ café"
-    df = spark.createDataFrame([(s,)], "t string")
-    full = df.select(strip_accents("t", expand=True).alias("f")).first().f
-    assert full == fold_accents_py(s)
+def test_accents_of_every_code_point(spark):
+    known = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF
+             and unicodedata.category(chr(c)) != "Cn"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(known)], "i int, t string")
+    got = {r.i: r.f for r in df.select("i", strip_accents("t").alias("f")).collect()}
+    assert [hex(ord(c)) for i, c in enumerate(known) if got[i] != nfkd(c)] == []
+
+
+def test_accents_in_texts_and_nulls(spark):
+    texts = ["ﬁne Œuvre ½ café", "plain", "", None, "한글", "e\u0301\u0323x", "😀 é"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.f for r in df.select("i", strip_accents("t").alias("f")).collect()}
+    assert got == {i: None if t is None else nfkd(t) for i, t in enumerate(texts)}
+
+
+def test_header_splits_like_the_rows(spark, workdir):
+    path = write(workdir, "h.csv", '\ufeff"a;1";"b""c";d;\n1;2;3;4\n')
+    lines = delimited.read_lines(spark, path)
+    assert delimited.header_of(lines, ";") == ["a;1", 'b"c', "d", ""]
+
+
+def test_blank_lines_count_in_other_charsets(spark, workdir):
+    path = workdir / "cp1252.csv"
+    path.write_bytes("a;b\n1;€é\n\n2\n".encode("cp1252"))
+    prof = delimited.load_profile(spark, str(path), ";", encoding="cp1252").first()
+    assert (prof.n_rows, prof.n_malformed) == (1, 2)
+    row = delimited.load_table(spark, str(path), ";", encoding="cp1252", accents=False).first()
+    assert row.b == "€é"
+    with pytest.raises(ValueError):
+        delimited.read_lines(spark, str(path), encoding="shift_jis")
+
+
+def test_values_that_do_not_fit_are_counted_or_raise(spark, workdir):
+    path = write(workdir, "bad.csv", "a;b;c\n3000000000;x;2020-01-01\n5;1.5;\n;;nope\n")
+    types = ["bin", "number", "date"]
+    prof = delimited.load_profile(spark, path, ";", types=types).first()
+    assert [(b.column, b.n) for b in prof.n_bad] == [("a", 1), ("b", 1), ("c", 1)]
+    wide = delimited.load_table(spark, path, ";", ["long", "str", "str"])
+    assert sorted(r.a or 0 for r in wide.collect()) == [0, 5, 3000000000]
+    with pytest.raises(Exception, match="not a int"):
+        delimited.load_table(spark, path, ";", types, on_bad="raise").collect()
+
+
+def test_seeded_samples_do_not_depend_on_partitions(spark, workdir):
+    path = write(workdir, "s.csv", "a;b\n" + "".join(f"{i};{i % 7}\n" for i in range(3000)))
+    one = delimited.load_table(spark, path, ";", sample=0.1, seed=3)
+    two = delimited.load_table(spark, path, ";", sample=0.1, seed=3, partitions=9)
+    rows = sorted(r.a for r in one.collect())
+    assert rows == sorted(r.a for r in two.collect()) and 200 < len(rows) < 400
+    other = delimited.load_table(spark, path, ";", sample=0.1, seed=4)
+    assert rows != sorted(r.a for r in other.collect())
+
+
+def test_points_and_edges_account_for_bad_lines(spark):
+    lines = spark.createDataFrame([("1 2 3",), ("1 2",), ("x 2 3",), ("",), ("4 5 6 7",)],
+                                  "value string")
+    tagged = points.tag_labeled_points(lines)
+    assert tuple(points.points_profile(tagged).first()) == (1, 3)
+    assert [tuple(r.features) for r in points.parse_labeled_points(lines).collect()] == [(2.0, 3.0)]
+    chosen = points.parse_labeled_points(lines, feature_indices=[2], width=3)
+    assert [tuple(r.features) for r in chosen.collect()] == [(3.0,)]
+    edges = spark.createDataFrame([("9007199254740993 1 0.5",), ("1.5 2 1",), ("1 2",)],
+                                  "value string")
+    assert tuple(points.points_profile(points.tag_edges(edges)).first()) == (1, 2)
+    assert points.parse_edges(edges).first().src == 9007199254740993
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -229,5 +288,5 @@ def test_latin1_files(spark, workdir):
     df = delimited.load_table(spark, str(path), ";", encoding="ISO-8859-1")
     assert sorted((r.nom or "", r.ville) for r in df.collect()) == [("", "  x  "), ("Elodie", "Besancon")]
     prof = delimited.load_profile(spark, str(path), ";", encoding="ISO-8859-1").first()
-    # the long row is malformed; the CSV source used for other charsets skips blank lines
-    assert (prof.n_rows, prof.n_malformed) == (2, 1)
+    # the long row and the blank line are malformed
+    assert (prof.n_rows, prof.n_malformed) == (2, 2)

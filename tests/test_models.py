@@ -109,10 +109,42 @@ def test_tree_debug_string(spark):
     assert "If (feature" in models.tree_debug_string(clf)
 
 
-def test_label_count_is_bounded_before_collecting(spark):
-    df = spark.range(5000).withColumnRenamed("id", "label")
+def test_many_labels_are_indexed_in_the_asked_order(spark):
+    df = spark.range(5000).select((F.col("id") % 2000).alias("label"))
+    assert len(models.index_labels(df, "label").labels) == 2000
+    few = spark.createDataFrame([("b",), ("a",), ("b",), ("c",), (None,)], "y string")
+    orders = {"alphabetAsc": ["a", "b", "c"], "alphabetDesc": ["c", "b", "a"],
+              "frequencyDesc": ["b", "a", "c"], "frequencyAsc": ["a", "c", "b"]}
+    for order, labels in orders.items():
+        assert list(models.index_labels(few, "y", order=order).labels) == labels
     with pytest.raises(ValueError):
-        models.index_labels(df, "label", max_classes=100)
+        models.index_labels(few, "y", order="random")
+
+
+def test_unseen_labels_are_scored(spark):
+    df = _two_class(spark)
+    clf = models.fit_classifier(df, models.decision_tree("entropy", 2, 32), "label", ["f0", "f1"])
+    kind = df.schema["label"].dataType.simpleString()
+    new = df.limit(3).withColumn("label", F.lit(99).cast(kind))
+    rows = clf.transform(new).collect()
+    assert len(rows) == 3 and all(r.prediction != r.label for r in rows)
+    assert len(clf.transform(df.drop("label")).collect()) == df.count()
+
+
+def test_only_label_and_features_are_cached(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen = []
+    persist = DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist",
+                        lambda self, *a, **k: seen.append(self.columns) or persist(self, *a, **k))
+    wide = _two_class(spark).withColumn("text", F.lit("x" * 50)).withColumn("id", F.rand(1))
+    models.fit_classifier(wide, models.logistic_lbfgs(), "label", ["f0", "f1"])
+    assert seen and all(set(c) <= {"label", "f0", "f1"} for c in seen)
+    seen.clear()
+    models.fit_classifier(wide.withColumn("f0", F.abs("f0")).withColumn("f1", F.abs("f1")),
+                          models.naive_bayes(), "label", ["f0", "f1"])
+    assert not any(set(c) == {"label", "f0", "f1"} for c in seen)  # one pass: nothing cached
 
 
 def test_labelled_file_to_naive_bayes_summary(spark, workdir):

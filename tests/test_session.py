@@ -1,48 +1,30 @@
-"""Scale helpers: partition planning, thin-input spreading, shared scratch space."""
+"""Shared scratch space."""
 
 from __future__ import annotations
 
-from vitrail.session import (
-    checkpoint_dir,
-    ensure_checkpoint_dir,
-    estimated_size_bytes,
-    planned_partitions,
-    scratch_path,
-    spread_thin_input,
-)
+import os
 
-from .conftest import SF01
+from vitrail.session import cut_lineage, ensure_checkpoint_dir, remove_path, scratch_path
 
 
-def test_spread_leaves_many_partition_inputs_alone(spark):
-    many = spark.range(0, 100_000, numPartitions=64)
-    assert spread_thin_input(many) is many
-
-
-def test_spread_thin_input_uses_the_cores(spark):
-    li = spark.read.parquet(f"{SF01}/lineitem.parquet")  # one row group
-    spread = spread_thin_input(li)
-    cores = spark.sparkContext.defaultParallelism
-    assert spread.rdd.getNumPartitions() in (li.rdd.getNumPartitions(), cores)
-    assert spread.count() == li.count()
-
-
-def test_spread_tiny_input_is_not_shuffled(spark):
-    tiny = spark.createDataFrame([(1,)], "x int")
-    assert spread_thin_input(tiny) is tiny
+def test_scratch_paths_live_under_the_declared_folder(spark):
+    root = ensure_checkpoint_dir(spark)
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    declared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    assert root.replace("file:", "").startswith((declared or warehouse).replace("file:", ""))
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root.rstrip("/"))
 
 
-def test_planned_partitions_grow_with_size(spark):
-    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert estimated_size_bytes(li) > 0
-    small = planned_partitions(li)
-    large = planned_partitions(li, blowup=10_000.0)
-    assert base <= small <= large and large > base
+def test_scratch_is_removed(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(10).write.parquet(path)
+    local = path.replace("file:", "")
+    assert os.path.isdir(local)
+    remove_path(spark, path)
+    assert not os.path.exists(local)
 
 
-def test_scratch_paths_live_under_the_checkpoint_folder(spark):
-    root = ensure_checkpoint_dir(spark)
-    assert checkpoint_dir(spark) is not None
-    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert a != b and a.startswith(root.rstrip("/"))
+def test_lineage_is_cut_by_a_reliable_checkpoint(spark):
+    df = cut_lineage(spark.range(100).where("id % 2 = 0"))
+    assert df.count() == 50 and df.rdd.isCheckpointed

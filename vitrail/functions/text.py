@@ -1,78 +1,61 @@
 """Text helpers: accent stripping (B10), quote handling.
 
 Accent stripping means: Unicode NFKD decomposition, then dropping every combining mark.
-Spark SQL has no normalisation function, so the fast path derives a character table by
-rule from :mod:`unicodedata` (every code point whose folded form is a single, different
-character, plus every combining mark, which is deleted) and applies it with the JVM-side
-``translate`` -- no Python on the data path.  Folds that expand one character into several
-(ligatures, fractions, Hangul syllables) cannot go through ``translate``; ``expand=True``
-switches to an Arrow-batched pandas UDF with the full NFKD semantics.
+Spark SQL has no normalisation function, so texts with other than ASCII characters go
+through one Arrow function made of two Arrow kernels (normalise, then delete a class of
+characters); ASCII texts stay in the JVM and reach it as nulls.
 """
 
 from __future__ import annotations
 
 import functools
+import sys
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
-
-def fold_accents_py(text: str | None) -> str | None:
-    """Plain-Python definition of the fold (NFKD, then drop combining marks)."""
-    if text is None:
-        return None
-    decomposed = unicodedata.normalize("NFKD", text)
-    return "".join(c for c in decomposed if not unicodedata.combining(c))
 
 
 @functools.lru_cache(maxsize=1)
-def _translate_table() -> tuple[str, str]:
-    """(matching, replacement) strings for ``translate``, derived over the BMP.
+def combining_marks() -> str:
+    """Pattern of a run of combining marks: all code points with a combining class, as
+    ranges derived from the character database."""
+    ranges: list[list[int]] = []
+    for cp in range(sys.maxunicode + 1):
+        if unicodedata.combining(chr(cp)):
+            if ranges and ranges[-1][1] == cp - 1:
+                ranges[-1][1] = cp
+            else:
+                ranges.append([cp, cp])
+    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in ranges) + "]+"
+
 
-    Characters in ``matching`` past the length of ``replacement`` are deleted by
-    ``translate``: those are the combining marks.
-    """
-    src, dst, marks = [], [], []
-    for cp in range(0x80, 0x10000):
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
-        ch = chr(cp)
-        if unicodedata.combining(ch):
-            marks.append(ch)
-            continue
-        folded = fold_accents_py(ch)
-        if len(folded) == 1 and folded != ch:
-            src.append(ch)
-            dst.append(folded)
-    return "".join(src) + "".join(marks), "".join(dst)
+def accent_folder():
+    """The Arrow function; it carries its own code and pattern, so executors need not have
+    this package on their path."""
+    marks = combining_marks()
 
+    def fold(texts):
+        import pyarrow.compute as pc
 
-@F.pandas_udf(StringType())
-def _fold_accents_udf(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: v if v is None or v.isascii() else fold_accents_py(v))
+        return pc.replace_substring_regex(pc.utf8_normalize(texts, form="NFKD"), marks, "")
 
+    fold.__module__ = "__main__"  # pickled by value
+    fold.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(fold, "string")
 
-def strip_accents(col: Column | str, expand: bool = False) -> Column:
-    """Remove accents from a string column.
 
-    ``expand=False`` (default): JVM ``translate`` with the derived table; exact for every
-    character whose fold is one character (all accented Latin, Greek, Cyrillic letters).
-    ``expand=True``: full NFKD via a pandas UDF, for text holding multi-character folds.
-    """
+def strip_accents(col: Column | str) -> Column:
+    """Remove accents from a string column: NFKD without its combining marks."""
     c = F.col(col) if isinstance(col, str) else col
-    if expand:
-        return _fold_accents_udf(c)
-    matching, replacement = _translate_table()
-    # pure-ASCII text (as many bytes as characters) has nothing to fold: skip the lookups
-    return F.when(F.octet_length(c) == F.length(c), c).otherwise(
-        F.translate(c, matching, replacement))
+    ascii_only = F.octet_length(c) == F.length(c)
+    return F.when(ascii_only, c).otherwise(accent_folder()(F.when(~ascii_only, c)))
 
 
 def strip_quotes(col: Column | str) -> Column:
     """The loader's value coercion: a field that still reads ``""`` becomes NULL,
     any other value loses its double-quote characters (B9)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.when(c == F.lit('""'), F.lit(None).cast("string")).otherwise(F.replace(c, F.lit('"'), F.lit("")))
+    return F.when(c == F.lit('""'), F.lit(None).cast("string")).otherwise(
+        F.replace(c, F.lit('"'), F.lit("")))

@@ -6,6 +6,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,27 +51,16 @@ def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson matrix as ``(i, j, column_i, column_j, corr)``, all ordered pairs.
 
-    One aggregate computes the upper triangle (diagonal included); the lower half is
-    mirrored, so the matrix is exactly symmetric."""
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            aggs.append(F.corr(F.col(a).cast("double"), F.col(cols[j]).cast("double"))
-                        .alias(f"r_{i}_{j}"))
-            pairs.append((i, j))
-    row = df.agg(*aggs)
-    entries = []
-    for i, j in pairs:
-        r = F.col(f"r_{i}_{j}")
-        entries.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), r.alias("corr")))
-        if i != j:
-            entries.append(F.struct(F.lit(j).alias("i"), F.lit(i).alias("j"), r.alias("corr")))
-    names = F.array(*[F.lit(c) for c in cols])
-    return (row.select(F.explode(F.array(*entries)).alias("e"))
-               .select("e.i", "e.j",
-                       F.element_at(names, F.col("e.i") + 1).alias("column_i"),
-                       F.element_at(names, F.col("e.j") + 1).alias("column_j"),
-                       "e.corr"))
+    One pass accumulates the Gram matrix of the assembled columns, whatever their number;
+    rows with a NULL or NaN in any of them are left out.  columns x columns values reach
+    the driver.  A constant column has no correlation (NaN), but 1 with itself."""
+    numbers = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    rows = VectorAssembler(inputCols=numbers.columns, outputCol="x", handleInvalid="skip")
+    matrix = Correlation.corr(rows.transform(numbers).select("x"), "x").first()[0].toArray()
+    entries = [(i, j, a, b, float(matrix[i, j]))
+               for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(
+        entries, "i int, j int, column_i string, column_j string, corr double")
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str],
@@ -77,9 +68,9 @@ def describe_numeric(df: DataFrame, cols: Sequence[str],
                      exact: bool = True) -> DataFrame:
     """D3 (pandas ``describe``): count, mean, std (sample), min, quartiles, max.
 
-    ``exact=True`` gives interpolated quantiles identical to ``quantile_cont`` through a
-    distributed sort (see :mod:`vitrail.operators.quantiles`); ``exact=False`` uses
-    one-pass sketches."""
+    ``exact=True`` gives interpolated quantiles identical to ``quantile_cont`` through a range
+    search (see :mod:`vitrail.operators.quantiles`); ``exact=False`` uses one-pass
+    sketches."""
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")

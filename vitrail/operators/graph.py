@@ -18,6 +18,26 @@ def normalise_edges(edges: DataFrame, src: str = "src", dst: str = "dst",
                  .agg(F.sum(weight).alias("weight")))
 
 
+def name_by_smallest(assignments: DataFrame) -> DataFrame:
+    """``(id, cluster)`` with every cluster named after its smallest vertex, so that equal
+    partitions have equal names whatever numbers the clustering gave them."""
+    names = assignments.groupBy("cluster").agg(F.min("id").alias("name"))
+    return assignments.join(F.broadcast(names), "cluster").select(
+        "id", F.col("name").alias("cluster"))
+
+
+def dropped_edges(edges: DataFrame, src: str = "src", dst: str = "dst",
+                  weight: str = "weight") -> DataFrame:
+    """What :func:`normalise_edges` leaves out: ``(n_edges, n_null, n_loops, n_no_weight)``,
+    each edge counted under the first that holds."""
+    null = F.col(src).isNull() | F.col(dst).isNull() | F.col(weight).isNull()
+    loop = ~null & (F.col(src) == F.col(dst))
+    return edges.agg(
+        F.count(F.lit(1)).alias("n_edges"), F.count_if(null).alias("n_null"),
+        F.count_if(loop).alias("n_loops"),
+        F.count_if(~null & ~loop & ~(F.col(weight) > 0)).alias("n_no_weight"))
+
+
 def power_iteration_clusters(edges: DataFrame, k: int = 2, max_iter: int = 10,
                              init_mode: str = "random", src: str = "src", dst: str = "dst",
                              weight: str = "weight") -> DataFrame:

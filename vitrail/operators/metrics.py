@@ -11,6 +11,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def comparable(df: DataFrame, label: str, prediction: str) -> tuple[Column, Column]:
+    """Label and prediction in one type, so that every metric calls the same rows correct:
+    as they are when the types agree, numbers as doubles, anything else as text."""
+    kinds = [df.schema[c].dataType for c in (label, prediction)]
+    if kinds[0] == kinds[1]:
+        return F.col(label), F.col(prediction)
+    both = "double" if all(isinstance(k, T.NumericType) for k in kinds) else "string"
+    return F.col(label).cast(both), F.col(prediction).cast(both)
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -30,15 +41,12 @@ def one_vs_rest(confusion: DataFrame) -> DataFrame:
     original's "VN", which only counts correct predictions of the other classes.
 
     Classes are those present as a label or as a prediction."""
-    label_type = confusion.schema["label"].dataType
-    pred = F.col("prediction")
-    if confusion.schema["prediction"].dataType != label_type:
-        pred = pred.cast(label_type)  # e.g. double predictions of an int label
-    hit = F.col("label") == pred
+    lab, pred = comparable(confusion, "label", "prediction")
+    hit = lab == pred
     n = F.col("n")
     zero = F.lit(0).cast("bigint")
     contributions = F.array(
-        F.struct(F.col("label").alias("class"),
+        F.struct(lab.alias("class"),
                  F.when(hit, n).otherwise(zero).alias("tp"),
                  zero.alias("fp"),
                  F.when(hit, zero).otherwise(n).alias("fn")),
@@ -86,7 +94,8 @@ def macro_summary(per_class: DataFrame, method: str,
 def accuracy(scored: DataFrame, label: str = "label",
              prediction: str = "prediction") -> DataFrame:
     """I1 + I2 + G11: ``(n, n_correct, accuracy, error)`` in one aggregate."""
-    hit = F.col(label) == F.col(prediction)
+    lab, pred = comparable(scored, label, prediction)
+    hit = lab == pred
     agg = scored.agg(F.count(F.lit(1)).alias("n"), F.count_if(hit).alias("n_correct"))
     acc = F.when(F.col("n") == 0, F.lit(None).cast("double")).otherwise(
         F.col("n_correct") / F.col("n"))

@@ -1,14 +1,14 @@
 """Supervised models (F1-F4, G1-G11) on Spark ML.
 
-Every classifier is wrapped in one ``PipelineModel``:
+Labels of any value set (1..7, {1, 2}, strings) are indexed to 0..n-1 before the fit, and
+every classifier is one ``PipelineModel``
 
-    label indexer (fitted first) -> VectorAssembler -> [VectorIndexer] -> estimator
-    -> IndexToString
+    VectorAssembler -> [VectorIndexer] -> estimator -> IndexToString
 
-so labels of any value set (1..7, {1, 2}, strings) are indexed to 0..n-1 before the fit
-and predictions come back in the original label space -- Spark's Naive Bayes would
-otherwise silently predict indices.  Training and scoring run in the JVM; only fitted
-parameters (bounded by classes x features) reach the driver.
+whose predictions come back in the original label space -- Spark's Naive Bayes would
+otherwise silently predict indices.  The label indexer is no stage of it: scoring needs no
+label, and rows whose label the training set lacks are scored like any other.  Training and
+scoring run in the JVM; only fitted parameters (classes x features) reach the driver.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -27,13 +27,16 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler, VectorIndexer
+from pyspark.ml.feature import (
+    IndexToString,
+    StringIndexerModel,
+    VectorAssembler,
+    VectorIndexer,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrail.session import spread_thin_input
-
 LABEL_IDX = "label_idx"
 FEATURES = "features"
 PREDICTED = "predicted_label"
@@ -94,24 +97,33 @@ def linear_svm(max_iter: int = 100, reg_param: float = 0.01,
 
 # ------------------------------------------------------------------ label handling
 
+# The orders of Spark's StringIndexer, ties by name.
+LABEL_ORDERS = {
+    "frequencyDesc": lambda name, n: (-n, name),
+    "frequencyAsc": lambda name, n: (n, name),
+    "alphabetAsc": lambda name, n: name,
+}
+
+
 def index_labels(df: DataFrame, label: str, order: str = "alphabetAsc",
-                 output: str = LABEL_IDX, max_classes: int = 100_000):
-    """fitted ``StringIndexer`` for a label column (distributed count; only the
-    distinct labels reach the driver, checked against ``max_classes``).
+                 output: str = LABEL_IDX) -> StringIndexerModel:
+    """the label indexer, from one aggregate of label counts; one row per distinct
+    label reaches the driver.  NULL labels are not counted.
 
     Unseen labels raise at transform time (``keep`` would add a phantom class to the
     label metadata and turn binary models multinomial): fit it on the whole set when a
     test split may hold labels the training split lacks."""
-    # the fit brings every distinct label to the driver: bound them first with a
-    # one-pass sketch (partial aggregates), so an id column cannot flood the driver
-    approx = df.agg(F.approx_count_distinct(label, 0.05)).first()[0]
-    if approx > max_classes * 1.2:
-        raise ValueError(f"about {approx} distinct labels exceed max_classes={max_classes}")
-    model = StringIndexer(inputCol=label, outputCol=output, stringOrderType=order,
-                          handleInvalid="error").fit(df)
-    if len(model.labels) > max_classes:
-        raise ValueError(f"{len(model.labels)} distinct labels exceed max_classes={max_classes}")
-    return model
+    if order not in (*LABEL_ORDERS, "alphabetDesc"):
+        raise ValueError(f"unknown label order {order!r}")
+    counts = df.where(F.col(label).isNotNull()).groupBy(
+        F.col(label).cast("string").alias("name")).agg(F.count(F.lit(1)).alias("n")).collect()
+    if order == "alphabetDesc":
+        labels = sorted((r["name"] for r in counts), reverse=True)
+    else:
+        labels = [r["name"] for r in sorted(
+            counts, key=lambda r: LABEL_ORDERS[order](r["name"], r["n"]))]
+    return StringIndexerModel.from_labels(labels, inputCol=label, outputCol=output,
+                                          handleInvalid="error")
 
 
 def index_features(df: DataFrame, feature_cols: Sequence[str], max_categories: int = 4,
@@ -142,7 +154,7 @@ class Classifier:
 
     @property
     def labels(self) -> list[str]:
-        return list(self.model.stages[0].labels)
+        return list(self.model.stages[-1].getLabels())
 
     @property
     def estimator_model(self):
@@ -156,7 +168,7 @@ class Classifier:
                    .drop(PREDICTED))
 
     def save(self, path: str) -> None:
-        """A16 sink: the whole pipeline (indexer, assembler, model, label map)."""
+        """A16 sink: the whole pipeline (assembler, model, label map)."""
         self.model.write().overwrite().save(path)
 
     @classmethod
@@ -172,48 +184,47 @@ def fit_classifier(train: DataFrame, estimator, label: str, features: Sequence[s
                    label_order: str = "alphabetAsc",
                    invalid_features: str = "error",
                    storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Classifier:
-    """fit ``indexer -> assembler -> [vector indexer] -> estimator -> label map``.
+    """fit ``assembler -> [vector indexer] -> estimator -> label map``.
 
     ``label_source`` fits the label indexer -- and the vector indexer when
     ``max_categories`` is set -- on another frame: the original fitted both on the whole
     set, before the split, so every label and category is known.  ``label_order`` is
     ``StringIndexer``'s order (``frequencyDesc`` is its default).  A NULL or NaN feature
     raises by default (``invalid_features="error"``): ``"skip"`` would silently drop
-    rows, also when scoring, so it has to be asked for.  The training frame is persisted
-    (``storage_level``; ``DISK_ONLY`` suits training sets far larger than executor
-    memory) around the iterative fit and released afterwards."""
+    rows, also when scoring, so it has to be asked for.
+
+    Label and features alone are read, and persisted (``storage_level``; ``DISK_ONLY``
+    suits training sets far larger than executor memory) around an iterative fit; a fit
+    of one pass (Naive Bayes) reads its input as it is."""
     label_type = train.schema[label].dataType
-    if not isinstance(estimator, NaiveBayes):  # one-pass fits gain nothing from spreading
-        train = spread_thin_input(train)
-    cached = train.persist(storage_level)  # the indexer's job fills the cache the fit reuses
+    needed = list(dict.fromkeys([label, *features]))
+    rows = train.select(*needed)
+    source = label_source.select(*needed) if label_source is not None else rows
+    iterative = not isinstance(estimator, NaiveBayes)
+    if iterative:
+        rows = rows.persist(storage_level)
+        source = rows if label_source is None else source
     try:
-        source = label_source if label_source is not None else cached
         indexer = index_labels(source, label, order=label_order)
         assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES,
                                     handleInvalid=invalid_features)
-        vector_indexer = None
+        stages, feat_col = [assembler], FEATURES
         if max_categories is not None:
-            vector_indexer = VectorIndexer(inputCol=FEATURES, outputCol="indexed_features",
-                                           maxCategories=max_categories)
-            if label_source is not None:
-                vector_indexer = vector_indexer.fit(assembler.transform(label_source))
-        stages = _stages(indexer, assembler, vector_indexer, estimator)
-        model = Pipeline(stages=stages).fit(cached)
+            feat_col = "indexed_features"
+            stages.append(VectorIndexer(inputCol=FEATURES, outputCol=feat_col,
+                                        maxCategories=max_categories)
+                          .fit(assembler.transform(source)))
+        ready = indexer.transform(rows)
+        for stage in stages:
+            ready = stage.transform(ready)
+        fitted = estimator.copy().setLabelCol(LABEL_IDX).setFeaturesCol(feat_col).fit(
+            ready.select(LABEL_IDX, feat_col))
+        names = IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=indexer.labels)
+        return Classifier(PipelineModel([*stages, fitted, names]), label, list(features),
+                          label_type)
     finally:
-        cached.unpersist()
-    return Classifier(model, label, list(features), label_type)
-
-
-def _stages(indexer, assembler, vector_indexer, estimator) -> list:
-    stages = [indexer, assembler]
-    feat_col = FEATURES
-    if vector_indexer is not None:
-        stages.append(vector_indexer)
-        feat_col = "indexed_features"
-    estimator = estimator.copy().setLabelCol(LABEL_IDX).setFeaturesCol(feat_col)
-    stages += [estimator, IndexToString(inputCol="prediction", outputCol=PREDICTED,
-                                        labels=indexer.labels)]
-    return stages
+        if iterative:
+            rows.unpersist()
 
 
 # ------------------------------------------------------------------ fitted parameters

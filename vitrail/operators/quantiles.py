@@ -1,156 +1,120 @@
 """Exact, distributed quantiles with linear interpolation (``quantile_cont`` semantics).
 
-An exact percentile aggregate keeps every distinct value of a column in one task; on a
-large table that is an unbounded group.  Two exact paths replace it, and a one-pass
-distinct-count sketch picks one per column.
-
-Columns with few distinct values: a value -> count histogram is one aggregation with
-map-side partial counts, and cumulative counts over it give the ranks.
-
-Columns with many distinct values take a range-partitioned sort:
-
-1. the columns are unpivoted to ``(k, v)`` and range-partitioned on
-   ``(k, v, salt)``; the random salt lets Spark split a hot value (a column that is one
-   third zeros) over several partitions;
-2. after a reliable checkpoint, ``monotonically_increasing_id`` gives each row its
-   partition and its position in that sorted partition;
-3. a tiny table of blocks -- one row per (partition, column), bounded by the number of
-   partitions plus columns -- gives each block's global offset;
-4. the ranks the quantiles need (``q * (n - 1)``, floor and ceiling) are mapped to row ids
-   and picked with a broadcast join.  Nothing but the picked values is aggregated.
+An exact percentile aggregate keeps every distinct value of a column in one task, and a
+global sort moves the table for a dozen numbers.  Instead the ranks that the quantiles need
+are found by narrowing value ranges: a pass cuts the range that holds a rank into
+``CUTS`` equal parts and takes, for each part, the number of values and the smallest and
+largest of them (one aggregate with map-side partial results).  The part that holds the
+rank, from its smallest to its largest value, is the next range, until both are equal.
+Ranks of all columns are searched in the same passes.  A pass reads the needed columns
+once; the number of passes depends on the values only (one where a column has few, two or
+three for decimals), the rows that reach the driver on columns x quantiles x ``CUTS``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrail.session import cut_lineage, planned_partitions
+CUTS = 2048
 
-_POS_BITS = 33
-MAX_TARGETS = 1_000_000
-# Columns with at most this many distinct values take the histogram path.
-HISTOGRAM_THRESHOLD = 100_000
-_POS_MASK = (1 << _POS_BITS) - 1
+Range = tuple[int, float, float]  # column, smallest, largest value
 
 
-def _unpivot(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    entries = [F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v"))
-               for i, c in enumerate(cols)]
-    return (df.select(F.explode(F.array(*entries)).alias("e"))
-              .select("e.k", "e.v").where(F.col("v").isNotNull()))
-
-
-def _targets(totals: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """``(k, prob, frac, side, rank)``: the floor and ceiling ranks each quantile reads."""
-    qs = F.array(*[F.lit(float(p)) for p in probs])
-    return (totals.select("k", "n", F.explode(qs).alias("prob"))
-                  .withColumn("pos", F.col("prob") * (F.col("n") - 1))
-                  .withColumn("frac", F.col("pos") - F.floor("pos"))
-                  .select("k", "prob", "frac",
-                          F.explode(F.array(
-                              F.struct(F.lit("lo").alias("side"), F.floor("pos").alias("rank")),
-                              F.struct(F.lit("hi").alias("side"), F.ceil("pos").alias("rank")),
-                          )).alias("t"))
-                  .select("k", "prob", "frac", "t.side", "t.rank"))
-
-
-def _interpolate(picked: DataFrame, cols: Sequence[str]) -> DataFrame:
-    result = (picked.groupBy("k", "prob")
-              .agg(F.max(F.when(F.col("side") == "lo", F.col("v"))).alias("lo"),
-                   F.max(F.when(F.col("side") == "hi", F.col("v"))).alias("hi"),
-                   F.first("frac").alias("frac"))
-              .select("k", "prob",
-                      (F.col("lo") + F.col("frac") * (F.col("hi") - F.col("lo"))).alias("value")))
-    names = F.array(*[F.lit(c) for c in cols])
-    return result.select(F.element_at(names, F.col("k") + 1).alias("feature"), "prob", "value")
-
-
-def _sorted_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                      partitions: int | None, seed: int) -> DataFrame:
-    """Range sort + checkpoint + block offsets: for columns with many distinct values."""
-    long = _unpivot(df, cols).withColumn("salt", F.rand(seed))
-    if partitions is None:
-        # sized from the data, not a fixed count: the scanned columns' estimate times the
-        # unpivot (one row per column) and a columnar-to-row expansion allowance
-        partitions = planned_partitions(df.select(*cols), blowup=4.0 * len(cols))
-    ordered = (long.repartitionByRange(partitions, "k", "v", "salt")
-                   .sortWithinPartitions("k", "v", "salt")
-                   .select("k", "v", F.monotonically_increasing_id().alias("mid")))
-    ordered = cut_lineage(ordered)
-
-    blocks = (ordered
-              .select("k", F.shiftright("mid", _POS_BITS).alias("pid"),
-                      F.col("mid").bitwiseAND(F.lit(_POS_MASK)).alias("pos"))
-              .groupBy("pid", "k")
-              .agg(F.count("*").alias("cnt"), F.min("pos").alias("start")))
-    before = Window.partitionBy("k").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("offset", F.coalesce(F.sum("cnt").over(before), F.lit(0)))
-
-    totals = blocks.groupBy("k").agg(F.sum("cnt").alias("n"))
-    located = (_targets(totals, probs).join(blocks, "k")
-               .where((F.col("rank") >= F.col("offset"))
-                      & (F.col("rank") < F.col("offset") + F.col("cnt")))
-               .select("k", "prob", "frac", "side",
-                       (F.shiftleft("pid", _POS_BITS)
-                        + F.col("start") + F.col("rank") - F.col("offset")).alias("mid")))
-    picked = ordered.join(F.broadcast(located), ["k", "mid"])
-    return _interpolate(picked, cols)
-
-
-def _histogram_quantiles(df: DataFrame, cols: Sequence[str],
-                         probs: Sequence[float]) -> DataFrame:
-    """Value -> count histogram + cumulative counts: for columns with few distinct values.
-
-    One aggregation with map-side partial counts (a value holding a third of the rows is
-    combined before the shuffle); the histogram is bounded by the distinct counts, so
-    the running sums over it are small windows."""
-    hist = _unpivot(df, cols).groupBy("k", "v").agg(F.count("*").alias("cnt"))
-    upto = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    hist = (hist.withColumn("end", F.sum("cnt").over(upto))
-                .withColumn("start", F.col("end") - F.col("cnt")))
-    totals = hist.groupBy("k").agg(F.sum("cnt").alias("n"))
-    picked = (_targets(totals, probs).join(hist, "k")
-              .where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("end")))
-              .select("k", "prob", "frac", "side", "v"))
-    return _interpolate(picked, cols)
-
-
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    partitions: int | None = None, seed: int = 17,
-                    histogram_threshold: int = HISTOGRAM_THRESHOLD) -> DataFrame:
-    """``(feature, prob, value)`` for every column and probability; NULLs ignored.
-
-    ``value = lo + (pos - floor(pos)) * (hi - lo)`` with ``pos = prob * (n - 1)``.
-    A one-pass distinct-count sketch routes each column: up to ``histogram_threshold``
-    distinct values the exact answer comes from a value histogram (one aggregation, no
-    sort); above it, from the range sort.  Both paths are exact; the sketch only picks.
-    """
+def _part(v: Column, low: float, high: float) -> Column:
+    """The number of the part that a value between ``low`` and ``high`` falls into."""
+    if math.isinf(high - low):  # halves, whose difference is finite
+        share = (v / 2 - low / 2) / (high / 2 - low / 2)
+    else:
+        share = (v - low) / (high - low)
+    return F.least(F.floor(share * CUTS), F.lit(CUTS)).cast("int")
+
+
+def _counts(df: DataFrame, ranges: Sequence[Range]) -> dict[int, list[tuple]]:
+    """For each range the parts that hold values: (part, count, smallest, largest)."""
+    entries = []
+    for k, (column, low, high) in enumerate(ranges):
+        v = F.col(f"x{column}")
+        held = (v >= low) & (v <= high) & ~F.isnan(v)
+        part = F.when(held, _part(v, low, high) if low < high else F.lit(0))
+        entries.append(F.when(part.isNotNull(), F.struct(
+            F.lit(k).alias("k"), part.alias("part"), v.alias("v"))))
+    found = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).groupBy(
+        "e.k", "e.part").agg(F.count(F.lit(1)), F.min("e.v"), F.max("e.v"))
+    out: dict[int, list[tuple]] = {k: [] for k in range(len(ranges))}
+    for k, *rest in found.collect():
+        out[k].append(tuple(rest))
+    return {k: sorted(parts) for k, parts in out.items()}
+
+
+def _whole(df: DataFrame, n_cols: int) -> list[tuple]:
+    """Per column: the numbers of -inf, finite, +inf and NaN values, and the finite range."""
+    aggs = []
+    for i in range(n_cols):
+        v = F.col(f"x{i}")
+        finite = ~F.isnan(v) & (F.abs(v) < float("inf"))
+        aggs += [F.count_if(v == float("-inf")), F.count_if(finite),
+                 F.count_if(v == float("inf")), F.count_if(F.isnan(v)),
+                 F.min(F.when(finite, v)), F.max(F.when(finite, v))]
+    row = df.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first()
+    return [tuple(row[6 * i:6 * i + 6]) for i in range(n_cols)]
+
+
+def _select(df: DataFrame, wanted: dict[tuple[int, int], None], n_cols: int,
+            whole: list[tuple]) -> dict[tuple[int, int], float]:
+    """The values at the wanted (column, rank); ranks from 0, NaN above all numbers."""
+    found: dict[tuple[int, int], float] = {}
+    open_: dict[Range, list[tuple[tuple[int, int], int]]] = {}
+    for column, rank in wanted:
+        below, finite, above, _, low, high = whole[column]
+        if rank < below:
+            found[column, rank] = -math.inf
+        elif rank < below + finite:
+            open_.setdefault((column, low, high), []).append(((column, rank), rank - below))
+        else:
+            found[column, rank] = math.inf if rank < below + finite + above else math.nan
+    while open_:
+        ranges = list(open_)
+        next_: dict[Range, list] = {}
+        for r, parts in _counts(df, ranges).items():
+            for target, rank in open_[ranges[r]]:
+                for _, n, low, high in parts:
+                    if rank < n:
+                        break
+                    rank -= n
+                if low == high:
+                    found[target] = low
+                else:
+                    next_.setdefault((target[0], low, high), []).append((target, rank))
+        open_ = next_
+    return found
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``(feature, prob, value)`` for every column and probability; NULLs ignored, NaN above
+    all numbers.
+
+    ``value = lo + (pos - floor(pos)) * (hi - lo)`` with ``pos = prob * (n - 1)``; a column
+    without values has no rows."""
     for p in probs:
         if not 0.0 <= p <= 1.0:
             raise ValueError(f"probability {p} outside [0, 1]")
-    # the broadcast side holds two rows per (column, probability): bounded by the call
-    if 2 * len(cols) * len(probs) > MAX_TARGETS:
-        raise ValueError(f"{len(cols)} columns x {len(probs)} probabilities is too many targets")
     cols = list(cols)
-    if histogram_threshold > 0:
-        ndv = df.agg(*[F.approx_count_distinct(F.col(c).cast("double"), 0.05).alias(f"d{i}")
-                       for i, c in enumerate(cols)]).first()
-        few = [c for i, c in enumerate(cols) if ndv[f"d{i}"] <= histogram_threshold]
-    else:
-        few = []
-    many = [c for c in cols if c not in few]
-    parts = []
-    if few:
-        parts.append(_histogram_quantiles(df, few, probs))
-    if many:
-        parts.append(_sorted_quantiles(df, many, probs, partitions, seed))
-    out = parts[0]
-    for extra in parts[1:]:
-        out = out.unionByName(extra)
-    return out
+    numbers = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    whole = _whole(numbers, len(cols))
+    at = [(i, p, p * (sum(whole[i][:4]) - 1)) for i in range(len(cols)) if sum(whole[i][:4])
+          for p in probs]
+    wanted = {(i, rank): None for i, _, pos in at for rank in (math.floor(pos), math.ceil(pos))}
+    value = _select(numbers, wanted, len(cols), whole)
+    rows = []
+    for i, p, pos in at:
+        low, high = value[i, math.floor(pos)], value[i, math.ceil(pos)]
+        mixed = low if low == high else low + (pos - math.floor(pos)) * (high - low)
+        rows.append((cols[i], float(p), mixed))
+    return df.sparkSession.createDataFrame(rows, "feature string, prob double, value double")
 
 
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

@@ -1,9 +1,10 @@
 """Sampling and train/test splits.
 
-``randomSplit`` is kept for API parity, but it depends on the input partitioning; the
-deterministic split hashes a key (first 32 bits of an MD5), so the same row lands in the
-same split on any cluster and in any SQL engine.  Both tagging variants are a single
-narrow projection -- no shuffle, one scan.
+Every decision is a hash, never a draw per partition, so a row lands in the same part
+whatever the number of cores, files or partitions.  The seeded variants (E1-E3) hash the
+whole row, or the given keys, with the seed; equal rows share their fate.  E4 hashes a key
+with the first 32 bits of an MD5, which any SQL engine can repeat.  All are one narrow
+projection: no shuffle, no sort, one scan.
 """
 
 from __future__ import annotations
@@ -68,20 +69,32 @@ def hash_split(df: DataFrame, keys: Sequence[str], weights: Sequence[float] = (0
     return [tagged.filter(F.col("_split") == i).drop("_split") for i in range(len(weights))]
 
 
+def row_uniform(df: DataFrame, seed: int, keys: Sequence[str] | None = None) -> Column:
+    """A number in [0, 1) from the row (or its keys) and the seed."""
+    cols = [F.col(f"`{c}`") for c in (keys if keys is not None else df.columns)]
+    # hashed twice: neighbouring seeds and values then share no pattern
+    h = F.xxhash64(F.lit(int(seed)).cast("bigint"), F.xxhash64(*cols))
+    return F.call_function("shiftrightunsigned", h, F.lit(11)) / F.lit(float(1 << 53))
+
+
 def random_split_tag(df: DataFrame, weights: Sequence[float], seed: int,
-                     col: str = "split") -> DataFrame:
-    """E2/E3 in one pass: ``split`` from a seeded uniform draw per row."""
+                     col: str = "split", keys: Sequence[str] | None = None) -> DataFrame:
+    """``split`` (0-based index into ``weights``) from the row and the seed."""
     bounds = _check_weights(weights)
-    return df.withColumn(col, _split_index(F.rand(seed), bounds))
+    return df.withColumn(col, _split_index(row_uniform(df, seed, keys), bounds))
 
 
-def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
-    """Spark's ``randomSplit``; the seed is required."""
-    return df.randomSplit(list(weights), seed)
+def random_split(df: DataFrame, weights: Sequence[float], seed: int,
+                 keys: Sequence[str] | None = None) -> list[DataFrame]:
+    """E2/E3 as a list of DataFrames; the seed is required."""
+    tagged = random_split_tag(df, weights, seed, "_split", keys)
+    return [tagged.filter(F.col("_split") == i).drop("_split") for i in range(len(weights))]
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Bernoulli sample without replacement; the seed is required."""
+def sample_rows(df: DataFrame, fraction: float, seed: int,
+                keys: Sequence[str] | None = None) -> DataFrame:
+    """Sample without replacement, each row kept with probability ``fraction``; the
+    seed is required."""
     if not 0.0 <= fraction <= 1.0:
         raise ValueError(f"fraction {fraction} outside [0, 1]")
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    return df.where(row_uniform(df, seed, keys) < F.lit(float(fraction)))

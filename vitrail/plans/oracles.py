@@ -67,9 +67,25 @@ FROM lineitem WHERE NOT {SPOILED})"""
 INGEST_DELIMITED = f"SELECT * FROM {INGESTED}"
 
 INGEST_HEADER = """
-SELECT CAST(position AS INTEGER) AS position, name FROM (VALUES
- (0, 'l_orderkey'), (1, 'l_linenumber'), (2, 'l_quantity'), (3, 'l_extendedprice'),
- (4, 'l_discount'), (5, 'flag'), (6, 'status_pair'), (7, 'ship_day')) AS h(position, name)
+SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS name
+FROM (DESCRIBE SELECT * FROM customer)
+"""
+
+INGEST_FILE = """
+SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS INTEGER) AS l_linenumber,
+       CAST(l_quantity AS DOUBLE) AS l_quantity, l_extendedprice, l_discount, l_tax,
+       l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate
+FROM lineitem
+"""
+
+INGEST_DIRTY = """
+WITH c AS (SELECT count(*) AS n, count(*) FILTER (WHERE l_orderkey % 7 = 0) AS line,
+                  count(*) FILTER (WHERE l_orderkey % 10 = 0) AS quantity FROM lineitem)
+SELECT 'key' AS column, CAST(0 AS BIGINT) AS n_bad, n AS n_rows, CAST(0 AS BIGINT) AS n_malformed
+FROM c
+UNION ALL SELECT 'line', line, n, 0 FROM c
+UNION ALL SELECT 'quantity', quantity, n, 0 FROM c
+UNION ALL SELECT 'day', 0, n, 0 FROM c
 """
 
 INGEST_MALFORMED = f"""
@@ -85,7 +101,7 @@ FROM lineitem
 """
 
 INGEST_TYPED = f"""
-SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber,
+SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber,
        CAST(l_quantity AS FLOAT) AS l_quantity, CAST(l_extendedprice AS FLOAT) AS l_extendedprice,
        CAST(l_discount AS FLOAT) AS l_discount, flag, status_pair,
        CAST(ship_day AS DATE) AS ship_day
@@ -105,6 +121,13 @@ SELECT CAST(l_linenumber AS DOUBLE) AS label, [l_quantity, l_discount, l_tax] AS
 FROM lineitem
 """
 
+PARSE_POINTS_SEMICOLON = """
+SELECT CAST(l_linenumber AS DOUBLE) AS label,
+       [CAST(l_orderkey AS DOUBLE), l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
+        l_tax, ascii(l_returnflag)] AS features
+FROM lineitem
+"""
+
 STRIP_ACCENTS = """
 SELECT doc_id, CAST(length(strip_accents(text)) AS BIGINT) AS n_chars,
        md5(strip_accents(text)) AS md5
@@ -122,6 +145,16 @@ SELECT l_orderkey, l_linenumber, CASE WHEN {HASH_U} < 0.6 THEN 0 ELSE 1 END AS s
 FROM lineitem
 """
 
+RANDOM_SPLIT = """
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_in_both,
+       CAST(0 AS BIGINT) AS n_moved, true AS share_holds FROM lineitem
+"""
+
+SAMPLE_ROWS = """
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_invented,
+       CAST(0 AS BIGINT) AS n_moved, true AS share_holds FROM lineitem
+"""
+
 # ------------------------------------------------------------------ metrics
 SCORED = """(SELECT CAST(l_linenumber AS INTEGER) AS label,
         CAST(floor((l_quantity - 1) / 10) + 1 AS INTEGER) AS prediction FROM lineitem)"""
@@ -256,32 +289,107 @@ FROM test t JOIN best b USING (rid)
 ORDER BY t.l_orderkey, t.l_linenumber, t.l_quantity, t.l_discount, t.l_tax LIMIT 5
 """
 
-DT_STUMP = """
-WITH t AS (SELECT l_discount AS x, l_returnflag AS y FROM lineitem
-           WHERE l_returnflag IN ('A', 'R')),
-v AS (SELECT x, count(*) FILTER (WHERE y = 'A') AS a, count(*) FILTER (WHERE y = 'R') AS r
-      FROM t GROUP BY x),
-cum AS (SELECT x, sum(a) OVER (ORDER BY x) AS la, sum(r) OVER (ORDER BY x) AS lr,
-               lead(x) OVER (ORDER BY x) AS nx FROM v),
-tot AS (SELECT sum(a) AS ta, sum(r) AS tr FROM v),
-cand AS (SELECT (x + nx) / 2.0 AS thr, la, lr, ta - la AS ra, tr - lr AS rr, ta + tr AS n
-         FROM cum, tot WHERE nx IS NOT NULL),
-ent AS (SELECT thr, la, lr, ra, rr,
-          -((la + lr) / n) * (
-             - CASE WHEN la = 0 THEN 0 ELSE la / (la + lr) * log2(la / (la + lr)) END
-             - CASE WHEN lr = 0 THEN 0 ELSE lr / (la + lr) * log2(lr / (la + lr)) END)
-          -((ra + rr) / n) * (
-             - CASE WHEN ra = 0 THEN 0 ELSE ra / (ra + rr) * log2(ra / (ra + rr)) END
-             - CASE WHEN rr = 0 THEN 0 ELSE rr / (ra + rr) * log2(rr / (ra + rr)) END) AS g
-        FROM cand),
-best AS (SELECT * FROM ent ORDER BY g DESC, thr LIMIT 1)
-SELECT y AS label,
-       CASE WHEN x <= thr THEN (CASE WHEN la >= lr THEN 'A' ELSE 'R' END)
-            ELSE (CASE WHEN ra >= rr THEN 'A' ELSE 'R' END) END AS prediction,
+def _entropy(counts: list[str]) -> str:
+    total = " + ".join(counts)
+    terms = " ".join(
+        f"- CASE WHEN {c} = 0 THEN 0 ELSE {c} / ({total}) * log2({c} / ({total})) END"
+        for c in counts)
+    return f"(({total}) * (0 {terms}))"
+
+
+# the split of l_discount with the largest information gain for l_returnflag
+STUMP = f"""
+v AS (SELECT l_discount AS x, CAST(count(*) FILTER (WHERE l_returnflag = 'A') AS DOUBLE) AS a,
+             CAST(count(*) FILTER (WHERE l_returnflag = 'N') AS DOUBLE) AS n,
+             CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) AS r
+      FROM lineitem GROUP BY l_discount),
+cum AS (SELECT x, lead(x) OVER w AS nx, sum(a) OVER w AS la, sum(n) OVER w AS ln_,
+               sum(r) OVER w AS lr, sum(a) OVER () - sum(a) OVER w AS ra,
+               sum(n) OVER () - sum(n) OVER w AS rn, sum(r) OVER () - sum(r) OVER w AS rr
+        FROM v WINDOW w AS (ORDER BY x)),
+best AS (SELECT (x + nx) / 2.0 AS thr,
+                CASE WHEN la >= ln_ AND la >= lr THEN 'A' WHEN ln_ >= lr THEN 'N' ELSE 'R' END AS lp,
+                CASE WHEN ra >= rn AND ra >= rr THEN 'A' WHEN rn >= rr THEN 'N' ELSE 'R' END AS rp
+         FROM cum WHERE nx IS NOT NULL
+         ORDER BY {_entropy(['la', 'ln_', 'lr'])} + {_entropy(['ra', 'rn', 'rr'])}, thr LIMIT 1)"""
+
+DT_STUMP = f"""
+WITH {STUMP}
+SELECT l_returnflag AS label, CASE WHEN l_discount <= thr THEN lp ELSE rp END AS prediction,
        count(*) AS n
+FROM lineitem, best GROUP BY 1, 2
+"""
+
+TREE_TEXT = """
+WITH t AS (SELECT (max(l_quantity) FILTER (WHERE l_quantity <= 25)
+                   + min(l_quantity) FILTER (WHERE l_quantity > 25)) / 2.0 AS thr FROM lineitem)
+SELECT CAST(0 AS INTEGER) AS line, 'If (feature 0 <= ' || thr || ')' AS text FROM t
+UNION ALL SELECT CAST(1 AS INTEGER), 'Predict: 0.0'
+UNION ALL SELECT CAST(2 AS INTEGER), 'Else (feature 0 > ' || thr || ')' FROM t
+UNION ALL SELECT CAST(3 AS INTEGER), 'Predict: 1.0'
+"""
+
+NB_ONE_BASED = f"""
+WITH h AS (SELECT *, CASE WHEN l_quantity > 25 THEN 2 ELSE 1 END AS half FROM {BANDED}),
+c AS (SELECT half, count(*) AS n, sum(l_quantity) AS s0, sum(l_discount) AS s1, sum(l_tax) AS s2
+      FROM h WHERE split = 0 GROUP BY half),
+p AS (SELECT half, ln(n + 1.0) - ln((SELECT sum(n) FROM c) + 2.0) AS prior,
+             ln(s0 + 1.0) - ln(s0 + s1 + s2 + 3.0) AS t0,
+             ln(s1 + 1.0) - ln(s0 + s1 + s2 + 3.0) AS t1,
+             ln(s2 + 1.0) - ln(s0 + s1 + s2 + 3.0) AS t2 FROM c),
+t AS (SELECT row_number() OVER () AS rid, * FROM h WHERE split = 1),
+best AS (SELECT rid, any_value(t.half) AS label,
+                arg_max(p.half, prior + l_quantity * t0 + l_discount * t1 + l_tax * t2) AS pred
+         FROM t, p GROUP BY rid)
+SELECT label, pred AS prediction, count(*) AS n FROM best GROUP BY 1, 2
+"""
+
+
+def _judged(label: str, where: str) -> str:
+    return f"""
+SELECT CAST({label} AS INTEGER) AS label, count(*) AS n, count(*) AS n_in_label_space,
+       true AS error_holds
+FROM lineitem WHERE {where} GROUP BY 1
+"""
+
+
+BAND, BIG, TERCILE = ("floor((l_quantity - 1) / 10)", "(l_quantity > 25)",
+                      "floor((l_quantity - 1) / 17)")
+DT_CLASSIFY = _judged(BAND, f"{HASH_U} >= 0.6")
+GBT_CLASSIFY = _judged(BIG, f"{HASH_U} >= 0.7")
+RF_CLASSIFY = _judged(BAND, f"{HASH_U} >= 0.7")
+MLP_CLASSIFY = _judged(TERCILE, f"{HASH_U} >= 0.6")
+SVM_LINEAR = _judged("(l_quantity > l_discount * 500)", "true")
+
+DT_EXACT = f"""
+SELECT CAST({BAND} AS INTEGER) AS band, CAST({BAND} AS INTEGER) AS prediction, count(*) AS n
+FROM lineitem WHERE {HASH_U} >= 0.6 GROUP BY 1
+""".replace("AS band,", "AS label,")
+
+# one split of l_quantity, where the variance of the label falls most
+GBT_STUMP = """
+WITH t AS (SELECT l_quantity AS x, CAST(l_discount * 100 + l_quantity > 40 AS INTEGER) AS y
+           FROM lineitem),
+v AS (SELECT x, count(*) AS n, sum(y) AS s FROM t GROUP BY x),
+cum AS (SELECT x, lead(x) OVER w AS nx, sum(n) OVER w AS ln_, sum(s) OVER w AS ls,
+               sum(n) OVER () - sum(n) OVER w AS rn, sum(s) OVER () - sum(s) OVER w AS rs
+        FROM v WINDOW w AS (ORDER BY x)),
+best AS (SELECT (x + nx) / 2.0 AS thr, CAST(2.0 * ls > ln_ AS INTEGER) AS lp,
+                CAST(2.0 * rs > rn AS INTEGER) AS rp
+         FROM cum WHERE nx IS NOT NULL
+         ORDER BY ls * (ln_ - ls) / ln_ + rs * (rn - rs) / rn, thr LIMIT 1)
+SELECT y AS label, CASE WHEN x <= thr THEN lp ELSE rp END AS prediction, count(*) AS n
 FROM t, best GROUP BY 1, 2
 """
 
+ALL_SAME = "SELECT count(*) AS n, count(*) AS n_same FROM lineitem"
+MODEL_ROUNDTRIP = "SELECT count(*) AS n, count(*) AS n_same, true AS error_holds FROM lineitem"
+
+LR_ELASTIC_NET = """
+SELECT CAST(i AS INTEGER) AS feature, (SELECT count(*) FROM lineitem) AS n, true AS optimal
+FROM range(4) AS r(i)
+"""
+
 LR_SATURATED = """
 SELECT CAST(CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END AS INTEGER) AS feature,
        round(ln(CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE)
@@ -325,15 +433,24 @@ FROM k LEFT JOIN {ASSIGNED} a ON a.cluster = k.cluster GROUP BY k.cluster
 """
 
 
-def _gmm_moments(dims: int = 4) -> str:
-    cols = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(dims))
-    parts = []
-    for i in range(dims):
-        for j in range(dims):
-            parts.append(f"SELECT CAST({i} AS INTEGER) AS i, CAST({j} AS INTEGER) AS j, "
-                         f"{sig(f'avg(x{i})', 5)} AS mean_i, {sig(f'covar_pop(x{i}, x{j})', 5)} AS cov_ij "
-                         f"FROM pts")
-    return f"WITH pts AS (SELECT {cols} FROM embeddings) " + " UNION ALL ".join(parts)
+KMEANS_FIT = """
+SELECT count(*) AS n, CAST(6 AS INTEGER) AS k, true AS cost_holds, true AS best_holds
+FROM embeddings
+"""
+
+GMM_FIT = """
+SELECT count(*) AS n, CAST(6 AS INTEGER) AS k, CAST(4 AS INTEGER) AS d, true AS symmetric
+FROM lineitem
+"""
+
+
+def _gmm_moments() -> str:
+    cols = LINEITEM_FEATURES
+    return " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS i, CAST({j} AS INTEGER) AS j, "
+        f"{sig(f'avg({a})', 5)} AS mean_i, round(covar_pop({a}, {b}) "
+        f"/ (stddev_pop({a}) * stddev_pop({b})), 4) AS cov_ij FROM lineitem"
+        for i, a in enumerate(cols) for j, b in enumerate(cols))
 
 
 # ------------------------------------------------------------------ graph
@@ -345,6 +462,26 @@ FROM lineitem GROUP BY 1, 2
 """
 
 
+PIC_CLUSTERS = """
+WITH b AS (SELECT min(c_custkey) AS low, count(*) // 4 AS cut FROM customer),
+c AS (SELECT c_custkey AS id, CASE WHEN c_custkey < low + cut THEN low ELSE low + cut END AS cluster
+      FROM customer, b)
+SELECT id, cluster, id || ' -> ' || cluster AS text FROM c
+"""
+
+EDGES_DROPPED = """
+WITH e AS (SELECT l_orderkey % 11 = 0 AS bad, l_orderkey % 5 = 0 AS loop, l_linenumber = 1 AS none,
+                  l_orderkey + 9007199254740993 AS src FROM lineitem),
+c AS (SELECT count(*) FILTER (WHERE NOT bad) AS n_rows, count(*) FILTER (WHERE bad) AS n_bad,
+             count(*) FILTER (WHERE NOT bad) AS n_edges, 0 AS n_null,
+             count(*) FILTER (WHERE NOT bad AND loop) AS n_loops,
+             count(*) FILTER (WHERE NOT bad AND NOT loop AND none) AS n_no_weight,
+             max(src) FILTER (WHERE NOT bad) AS max_src FROM e)
+SELECT name AS what, CAST(value AS BIGINT) AS n FROM (UNPIVOT (
+  SELECT CAST(COLUMNS(*) AS BIGINT) FROM c) ON COLUMNS(*))
+"""
+
+
 def registry() -> dict[str, str]:
     return {
         "class_distribution": CLASS_DISTRIBUTION,
@@ -352,16 +489,21 @@ def registry() -> dict[str, str]:
         "corr_matrix": _corr_matrix(),
         "describe_numeric": DESCRIBE_NUMERIC,
         "ingest_delimited": INGEST_DELIMITED,
+        "ingest_file": INGEST_FILE,
         "ingest_header": INGEST_HEADER,
+        "ingest_dirty": INGEST_DIRTY,
         "ingest_malformed": INGEST_MALFORMED,
         "ingest_profile": INGEST_PROFILE,
         "ingest_typed": INGEST_TYPED,
         "ingest_nulls": INGEST_NULLS,
         "ingest_table_sql": INGEST_TABLE_SQL,
         "parse_points": PARSE_POINTS,
+        "parse_points_semicolon": PARSE_POINTS_SEMICOLON,
         "strip_accents": STRIP_ACCENTS,
         "libsvm_roundtrip": LIBSVM_ROUNDTRIP,
         "hash_split": HASH_SPLIT,
+        "random_split": RANDOM_SPLIT,
+        "sample_rows": SAMPLE_ROWS,
         "confusion_matrix": CONFUSION,
         "confusion_one_vs_rest": CONFUSION_ONE_VS_REST,
         "metrics_per_class": METRICS_PER_CLASS,
@@ -373,12 +515,28 @@ def registry() -> dict[str, str]:
         "nb_parameters": NB_PARAMETERS,
         "nb_classify": NB_CLASSIFY,
         "show_predictions": SHOW_PREDICTIONS,
+        "nb_one_based": NB_ONE_BASED,
         "dt_stump": DT_STUMP,
+        "tree_text": TREE_TEXT,
+        "dt_classify": DT_CLASSIFY,
+        "dt_exact": DT_EXACT,
+        "gbt_classify": GBT_CLASSIFY,
+        "gbt_stump": GBT_STUMP,
+        "rf_classify": RF_CLASSIFY,
+        "rf_one_tree": ALL_SAME,
+        "mlp_classify": MLP_CLASSIFY,
+        "lr_elastic_net": LR_ELASTIC_NET,
+        "svm_linear": SVM_LINEAR,
+        "model_roundtrip": MODEL_ROUNDTRIP,
         "lr_saturated": LR_SATURATED,
         "assign_nearest_centroid": ASSIGN_NEAREST_CENTROID,
         "wssse": WSSSE,
         "cluster_label_counts": CLUSTER_LABEL_COUNTS,
         "cluster_crosstab": _crosstab(range(10)),
-        "gmm_moments": _gmm_moments(4),
+        "kmeans_fit": KMEANS_FIT,
+        "gmm_fit": GMM_FIT,
+        "gmm_moments": _gmm_moments(),
         "pic_edges": PIC_EDGES,
+        "pic_clusters": PIC_CLUSTERS,
+        "edges_dropped": EDGES_DROPPED,
     }

@@ -1,14 +1,13 @@
 """Session helpers: building a local session and locating shared scratch space.
 
-Library code never invents a machine-local folder: anything written during a job
-(checkpoints, model and file round trips) goes below the directory the cluster names
-in ``spark.checkpoint.dir``.  Only tests and local runs set that directory themselves,
-and only when the session leaves it unset.
+Library code never invents a folder: anything written during a job (checkpoints, model and
+file round trips) goes below the directory the session names in ``spark.checkpoint.dir``,
+or else below its warehouse, which all executors share as well.  Whoever takes a scratch
+path removes it (:func:`remove_path`).
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,23 +47,19 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Register the session's checkpoint folder with the SparkContext.
-
-    Uses ``spark.checkpoint.dir`` when the session sets it.  When it is unset, a local
-    session (tests) gets a fresh temporary folder; on a cluster a machine-local folder
-    would not be shared by the executors, so that is an error instead.
-    """
+    """The SparkContext's checkpoint folder, registered first where it is not yet: the
+    session's ``spark.checkpoint.dir``, else a folder of its warehouse."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     target = checkpoint_dir(spark)
     if target is None:
-        if not sc.master.startswith("local"):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
             raise RuntimeError(
                 f"set {CHECKPOINT_CONF} to a folder shared by the cluster (HDFS, object store)")
-        target = tempfile.mkdtemp(prefix="vitrail-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, target)
+        target = f"{warehouse.rstrip('/')}/vitrail-checkpoints"
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 
@@ -75,77 +70,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/vitrail-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, wherever the session's file systems keep it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives executor loss (never localCheckpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def estimated_size_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` in bytes (the ``sizeInBytes`` that
-    ``df.explain("cost")`` prints); file sizes for a scan, scaled by projections.
-    No job runs.  ``None`` when the plan offers no estimate."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None
-    # plans Spark cannot size (an RDD of Python rows) report spark.sql.defaultSizeInBytes,
-    # which defaults to Long.MaxValue: that is "unknown", not "huge"
-    default = df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", None)
-    if size >= (1 << 63) - 1 or (default is not None and str(size) == _bytes_str(default)):
-        return None
-    return size
-
-
-def planned_partitions(df: DataFrame, blowup: float = 1.0, minimum: int | None = None) -> int:
-    """Partitions for a shuffle of ``df`` so each holds about the advisory partition size.
-
-    Uses the optimizer's size estimate of the plan (file sizes for a scan), times
-    ``blowup`` for operators that multiply rows; never fewer than
-    ``spark.sql.shuffle.partitions``.  AQE may still coalesce small ones afterwards."""
-    spark = df.sparkSession
-    floor_ = minimum if minimum is not None else int(spark.conf.get("spark.sql.shuffle.partitions"))
-    target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
-    size = estimated_size_bytes(df)
-    if size is None:  # no estimate: fall back to the configured count
-        return floor_
-    wanted = int(size * blowup // max(target, 1)) + 1
-    return max(floor_, min(wanted, 200_000))
-
-
-def _bytes(text: str) -> int:
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    t = text.strip().lower().rstrip("b")
-    if t and t[-1] in units:
-        return int(float(t[:-1]) * units[t[-1]])
-    return int(t)
-
-
-def spread_thin_input(df: DataFrame, bytes_per_partition: int = 512 << 10) -> DataFrame:
-    """Round-robin repartition of an input before CPU-heavy work (an iterative fit that
-    re-reads it, a per-line parse), but only when it has fewer partitions than the
-    cluster has cores (a small file or a single row group gives one busy task) and
-    enough data to keep them busy (about ``bytes_per_partition`` each, from the
-    optimizer's estimate).  Large inputs already
-    have many splits and pass through without a shuffle.  Spark sorts before a
-    round-robin repartition, so a recomputed partition after executor loss holds the
-    same rows."""
-    if df.isStreaming:  # micro-batches are partitioned by the source
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = estimated_size_bytes(df)
-    if size is None:  # no estimate: leave the partitioning alone
-        return df
-    target = min(cores, max(1, size // bytes_per_partition))
-    # splits are counted, not filled ones (one row group read through three splits
-    # leaves two empty), so an input at or below the target is spread as well
-    if target > 1 and df.rdd.getNumPartitions() <= target:
-        return df.repartition(target)
-    return df
-
-
-def _bytes_str(text: str) -> str:
-    try:
-        return str(_bytes(text))
-    except ValueError:
-        return text

@@ -10,12 +10,14 @@ Semantics kept from the original loader:
   * a row is malformed when its width differs from the header's; a blank line counts as
     malformed (it has zero fields);
   * a field that is empty becomes NULL, other values lose their double quotes;
-  * declared types use the four type words below; anything else is an error.
+  * declared types use the type words below; anything else is an error;
+  * a value that its declared type cannot hold becomes NULL and is counted by the typed
+    profile; ``on_bad="raise"`` makes it an error instead.
 """
 
 from __future__ import annotations
 
-import csv
+import codecs
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -25,7 +27,7 @@ from pyspark.sql import types as T
 
 from vitrail.functions.text import strip_accents as _strip_accents
 from vitrail.functions.text import strip_quotes
-from vitrail.session import spread_thin_input
+from vitrail.operators.split import sample_rows
 
 CORRUPT = "_corrupt"
 BOM = "\ufeff"
@@ -38,42 +40,69 @@ TYPE_WORDS: dict[str, T.DataType] = {
     "bin": T.IntegerType(),
     "date": T.DateType(),
 }
-
-
-def read_lines(spark: SparkSession, path: str | Sequence[str],
-               encoding: str = "UTF-8") -> DataFrame:
-    """A1: one row per line, column ``value``. Splits follow maxPartitionBytes.
-
-    The text source only decodes UTF-8; another charset (files written on Windows in
-    ISO-8859-1 or cp1252) is read through the CSV source as one string column whose
-    separator and quote never occur, so each line arrives whole and decoded.  That
-    source skips blank lines, so with another charset they are not counted as
-    malformed."""
-    paths = path if isinstance(path, str) else list(path)
-    if encoding.upper().replace("_", "-") in ("UTF-8", "UTF8"):
-        return spark.read.text(paths)
-    return (spark.read.schema("value STRING")
-            .option("encoding", encoding).option("sep", "\u0000").option("quote", "\u0000")
-            .option("escape", "\u0000").option("header", "false")
-            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-            .option("nullValue", "\u0000").option("emptyValue", "")
-            .csv(paths))
-
-
-def split_line(line: str, sep: str) -> list[str]:
-    """Tokenise a single line the way the row parser does (used for the header only)."""
-    for row in csv.reader([line], delimiter=sep):
-        return row
-    return []
+# Words beyond the loader's own: whole numbers and decimals that need 64 bits.
+WIDE_WORDS: dict[str, T.DataType] = {"long": T.LongType(), "double": T.DoubleType()}
+
+
+def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8",
+               partitions: int | None = None) -> DataFrame:
+    """A1: one row per line, column ``value``, blank lines included.  Splits follow
+    ``maxPartitionBytes``; ``partitions`` deals the lines anew, for small inputs that one
+    split would leave to one task.
+
+    The text source hands on the bytes of a line.  They are UTF-8, or, in a charset of one
+    byte per character, read as ISO-8859-1 and then put right by a table of the 128 upper
+    characters derived from the codec."""
+    lines = spark.read.text(path if isinstance(path, str) else list(path))
+    if partitions is not None:
+        lines = lines.repartition(partitions)
+    if codecs.lookup(encoding).name == "utf-8":
+        return lines
+    wrong, right = _upper_characters(encoding)
+    latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    return lines.select((F.translate(latin, wrong, right) if wrong else latin).alias("value"))
+
+
+def _upper_characters(encoding: str) -> tuple[str, str]:
+    """(as ISO-8859-1, as ``encoding``) for the bytes that differ; raises for charsets that
+    do not extend ASCII by one byte per character."""
+    wrong, right = [], []
+    for byte in range(256):
+        char = bytes([byte]).decode(encoding, "replace")
+        if len(char) != 1 or (byte < 128 and char != chr(byte)):
+            raise ValueError(f"{encoding} does not extend ASCII by single bytes")
+        if char != chr(byte):
+            wrong.append(chr(byte))
+            right.append(char)
+    if any(len(bytes([a, b]).decode(encoding, "replace")) != 2
+           for a in range(128, 256) for b in range(64, 256)):
+        raise ValueError(f"{encoding} does not extend ASCII by single bytes")
+    return "".join(wrong), "".join(right)
 
 
 def header_of(lines: DataFrame, sep: str, accents: bool = False) -> list[str]:
-    """A3: tokens of the first line (one small job; nothing else leaves the cluster)."""
+    """A3: tokens of the first line (small jobs; nothing else leaves the cluster).  Spark's
+    CSV functions split it, with the options of the rows."""
     col = _strip_accents("value") if accents else F.col("value")
-    first = lines.select(col.alias("value")).first()
+    first = lines.limit(1).select(col.alias("value")).first()
     if first is None:
         raise ValueError("empty input: no header line")
-    return split_line(first["value"].removeprefix(BOM), sep)
+    line = F.lit(first["value"].removeprefix(BOM))
+    one = lines.sparkSession.range(1)
+    kind = one.select(F.schema_of_csv(line, _csv_options(sep)).alias("s")).first()["s"]
+    fields = one.select(F.from_csv(line, _all_strings(kind), _csv_options(sep)).alias("h"))
+    return [token if token is not None else "" for token in fields.first()["h"]]
+
+
+def _csv_options(sep: str, quote: str = '"') -> dict[str, str]:
+    # a doubled quote inside a quoted field is a literal quote (RFC 4180), as in the
+    # original's csv reader; Spark's default escape is a backslash
+    return {"sep": sep, "quote": quote, "escape": quote, "mode": "PERMISSIVE"}
+
+
+def _all_strings(kind: str) -> str:
+    width = len(T.DataType.fromDDL(kind).fields)
+    return ", ".join(f"`_c{i}` STRING" for i in range(width))
 
 
 def column_names(tokens: Sequence[str]) -> list[str]:
@@ -88,9 +117,10 @@ def build_schema(type_words: Sequence[str], names: Sequence[str]) -> T.StructTyp
             f"{len(type_words)} types for {len(names)} columns: the counts must match")
     fields = []
     for word, name in zip(type_words, names):
-        if word not in TYPE_WORDS:
-            raise ValueError(f"unknown type word {word!r}; expected one of {sorted(TYPE_WORDS)}")
-        fields.append(T.StructField(name.replace('"', ""), TYPE_WORDS[word], True))
+        known = TYPE_WORDS | WIDE_WORDS
+        if word not in known:
+            raise ValueError(f"unknown type word {word!r}; expected one of {sorted(known)}")
+        fields.append(T.StructField(name.replace('"', ""), known[word], True))
     return T.StructType(fields)
 
 
@@ -106,15 +136,11 @@ def tokenize(lines: DataFrame, sep: str, width: int, accents: bool = False,
     Adds ``_malformed``: the line has another width than ``width`` or is blank.
     The parse always covers every field, so pruning cannot hide width errors.
     """
-    lines = spread_thin_input(lines)
     raw = F.col("value")
     # a byte-order mark opens some files (each part file may carry one): drop it
     raw = F.when(raw.startswith(BOM), F.substring(raw, 2, 1 << 30)).otherwise(raw)
     value = _strip_accents(raw) if accents else raw
-    # a doubled quote inside a quoted field is a literal quote (RFC 4180), as in the
-    # original's Python csv reader; Spark's default escape is a backslash
-    opts = {"sep": sep, "quote": quote, "escape": quote, "mode": "PERMISSIVE",
-            "columnNameOfCorruptRecord": CORRUPT}
+    opts = _csv_options(sep, quote) | {"columnNameOfCorruptRecord": CORRUPT}
     # inline(array(struct)) is a Generate: the parse runs once per line and later
     # projections cannot re-inline it per field (nor prune it to fewer columns, which
     # would hide width errors).
@@ -151,12 +177,14 @@ class Parsed:
         return len(self.names)
 
 
-def first_file_lines(spark: SparkSession, lines: DataFrame,
+def first_file_lines(spark: SparkSession, path: str | Sequence[str],
                      encoding: str = "UTF-8") -> DataFrame:
-    """The lines of the first input file in path order.  Spark orders its splits by
-    size, so ``first()`` over many files could land on a headerless part file."""
-    files = sorted(lines.inputFiles())
-    return read_lines(spark, files[0], encoding) if files else lines
+    """The lines of the first input file in path order.  Spark orders its splits by size,
+    so ``first()`` over many files could land on a headerless part file.  The first path is
+    a minimum over the files' names, taken by the executors."""
+    files = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
+    first = files.agg(F.min("path")).first()[0]
+    return read_lines(spark, path if first is None else first, encoding)
 
 
 def parse_lines(lines: DataFrame, sep: str, accents: bool = True,
@@ -182,25 +210,32 @@ def malformed_rows(parsed: Parsed) -> DataFrame:
     return parsed.rows.filter(F.col(MALFORMED)).select("value")
 
 
-def profile(parsed: Parsed, name: str) -> DataFrame:
+def profile(parsed: Parsed, name: str,
+            types: Sequence[str] | Mapping[str, str] | None = None) -> DataFrame:
     """One row (file, n_cols, n_rows, n_malformed) from a single aggregate.
 
-    Malformed rows are counted *before* the width filter (the count is meaningful)."""
-    return parsed.rows.agg(
+    Malformed rows are counted *before* the width filter (the count is meaningful).  With
+    ``types`` there is one more column, ``n_bad``: for each column the number of values in
+    well-formed rows that its type cannot hold."""
+    counts = [
         F.lit(name).alias("file"),
         F.lit(parsed.width).cast("bigint").alias("n_cols"),
         F.count_if(~F.col(MALFORMED)).cast("bigint").alias("n_rows"),
         F.count_if(F.col(MALFORMED)).cast("bigint").alias("n_malformed"),
-    )
-
-
-def coerce(df: DataFrame, names: Sequence[str],
-           types: Sequence[str] | Mapping[str, str] | None = None) -> DataFrame:
-    """A9 + A8: NULL for empty fields, quotes stripped, then the declared types.
-
-    ``types`` is a list of type words aligned with ``names`` or a mapping name -> word;
-    omitted columns stay strings. Dirty text in a typed column becomes NULL (try_cast).
-    """
+    ]
+    if types is not None:
+        bad = []
+        for i, field in enumerate(_typed_fields(parsed.names, types)):
+            plain = strip_quotes(F.col(f"_c{i}"))
+            failed = ~F.col(MALFORMED) & plain.isNotNull() & plain.try_cast(field.dataType).isNull()
+            bad.append(F.struct(F.lit(field.name).alias("column"),
+                                F.count_if(failed).cast("bigint").alias("n")))
+        counts.append(F.array(*bad).alias("n_bad"))
+    return parsed.rows.agg(*counts)
+
+
+def _typed_fields(names: Sequence[str],
+                  types: Sequence[str] | Mapping[str, str] | None) -> list[T.StructField]:
     if types is None:
         words = ["str"] * len(names)
     elif isinstance(types, Mapping):
@@ -210,12 +245,31 @@ def coerce(df: DataFrame, names: Sequence[str],
         words = [types.get(n, "str") for n in names]
     else:
         words = list(types)
-    schema = build_schema(words, names)
+    return build_schema(words, names).fields
+
+
+def coerce(df: DataFrame, names: Sequence[str],
+           types: Sequence[str] | Mapping[str, str] | None = None,
+           on_bad: str = "null") -> DataFrame:
+    """A9 + A8: NULL for empty fields, quotes stripped, then the declared types.
+
+    ``types`` is a list of type words aligned with ``names`` or a mapping name -> word;
+    omitted columns stay strings.  A value that the type cannot hold becomes NULL
+    (``on_bad="null"``; :func:`profile` counts them) or fails the job (``"raise"``).
+    """
+    if on_bad not in ("null", "raise"):
+        raise ValueError(f"on_bad is 'null' or 'raise', not {on_bad!r}")
     cols = []
-    for field in schema.fields:
-        c = strip_quotes(F.col(f"`{field.name}`"))
+    for field in _typed_fields(names, types):
+        plain = strip_quotes(F.col(f"`{field.name}`"))
+        c = plain
         if not isinstance(field.dataType, T.StringType):
-            c = c.try_cast(field.dataType)
+            c = plain.try_cast(field.dataType)
+            if on_bad == "raise":
+                told = F.concat(F.lit(f"{field.name}: not a {field.dataType.simpleString()}: "),
+                                plain)
+                c = F.when(plain.isNotNull() & c.isNull(),
+                           F.raise_error(told).cast(field.dataType)).otherwise(c)
         cols.append(c.alias(field.name))
     return df.select(*cols)
 
@@ -223,35 +277,38 @@ def coerce(df: DataFrame, names: Sequence[str],
 def load_lines_table(lines: DataFrame, sep: str,
                      types: Sequence[str] | Mapping[str, str] | None = None,
                      sample: float | None = None, seed: int | None = None,
-                     accents: bool = True,
-                     header_source: DataFrame | None = None) -> DataFrame:
-    """A10 on a DataFrame of lines: header, filters, optional sample, typed columns."""
+                     accents: bool = True, header_source: DataFrame | None = None,
+                     on_bad: str = "null") -> DataFrame:
+    """A10 on a DataFrame of lines: header, filters, optional sample (decided by the row
+    and the seed, so the same on any cluster), typed columns."""
     parsed = parse_lines(lines, sep, accents, header_source)
     body = good_rows(parsed)
     if sample is not None:
         if seed is None:
             raise ValueError("sampling needs an explicit seed")
-        body = body.sample(withReplacement=False, fraction=sample, seed=seed)
-    return coerce(body, parsed.names, types)
+        body = sample_rows(body, sample, seed)
+    return coerce(body, parsed.names, types, on_bad)
 
 
 def load_table(spark: SparkSession, path: str | Sequence[str], sep: str,
                types: Sequence[str] | Mapping[str, str] | None = None,
                sample: float | None = None, seed: int | None = None,
-               accents: bool = True, encoding: str = "UTF-8") -> DataFrame:
+               accents: bool = True, encoding: str = "UTF-8", on_bad: str = "null",
+               partitions: int | None = None) -> DataFrame:
     """A10: delimited file(s) -> typed DataFrame. Register it with
     ``createOrReplaceTempView`` to query it in SQL."""
-    lines = read_lines(spark, path, encoding)
+    lines = read_lines(spark, path, encoding, partitions)
     return load_lines_table(lines, sep, types, sample, seed, accents,
-                            header_source=first_file_lines(spark, lines, encoding))
+                            first_file_lines(spark, path, encoding), on_bad)
 
 
 def load_profile(spark: SparkSession, path: str | Sequence[str], sep: str,
                  name: str | None = None, accents: bool = True,
-                 encoding: str = "UTF-8") -> DataFrame:
+                 encoding: str = "UTF-8",
+                 types: Sequence[str] | Mapping[str, str] | None = None) -> DataFrame:
     """The table profile of a delimited file."""
     lines = read_lines(spark, path, encoding)
     parsed = parse_lines(lines, sep, accents,
-                         header_source=first_file_lines(spark, lines, encoding))
+                         header_source=first_file_lines(spark, path, encoding))
     label = name if name is not None else (path if isinstance(path, str) else ",".join(path))
-    return profile(parsed, label)
+    return profile(parsed, label, types)

@@ -1,7 +1,9 @@
 """Labelled-point, libsvm and edge-list sources (A11-A14), all as column expressions.
 
 Tokens are split with ``split`` and converted with ``try_cast`` (ANSI mode raises on dirty
-text otherwise); vectors are built with ``array_to_vector`` in the JVM.
+text otherwise); vectors are built with ``array_to_vector`` in the JVM.  Lines that do not
+have the expected width, or hold something that is no number, are set apart and counted,
+like malformed rows of delimited text.
 """
 
 from __future__ import annotations
@@ -18,39 +20,69 @@ def _tokens(sep: str):
     return F.split(F.trim(F.col("value")), re.escape(sep) if sep != " " else " +")
 
 
+BAD = "_bad"
+
+
+def tag_labeled_points(lines: DataFrame, sep: str = " ", label_index: int = 0,
+                       feature_indices: Sequence[int] | None = None,
+                       width: int | None = None, drop_header: bool = False) -> DataFrame:
+    """``value, label double, features array<double>, _bad`` for every line that
+    is not blank.  A line is bad when a field is no number or the width is not ``width``
+    (by default that of the first line; one small job reads it)."""
+    lines = lines.where(F.length(F.trim("value")) > 0)
+    first = lines.select("value").limit(1).select("value", F.size(_tokens(sep)).alias("n")).first()
+    if drop_header and first is not None:
+        lines = lines.where(F.col("value") != F.lit(first["value"]))
+    if width is None:
+        width = first["n"] if first is not None else 0
+    parts = _tokens(sep)
+    numbers = F.transform(parts, lambda x: x.try_cast("double"))
+    wanted = list(feature_indices) if feature_indices is not None else [
+        i for i in range(width) if i != label_index % width]
+    bad = (F.size(parts) != width) | F.exists(numbers, lambda x: x.isNull())
+    return lines.select("value", F.get(numbers, F.lit(label_index % max(width, 1))).alias("label"),
+                        F.array(*[F.get(numbers, F.lit(i)) for i in wanted]).alias("features"),
+                        bad.alias(BAD))
+
+
 def parse_labeled_points(lines: DataFrame, sep: str = " ", label_index: int = 0,
                          feature_indices: Sequence[int] | None = None,
-                         as_vector: bool = True, drop_header: bool = False) -> DataFrame:
+                         as_vector: bool = True, drop_header: bool = False,
+                         width: int | None = None) -> DataFrame:
     """Lines of numbers -> ``label double, features``.
 
     ``feature_indices=None`` takes every field except the label, in order (A12: label
-    first; A13: label at index 8, features 0..7).  Blank lines are skipped;
-    ``drop_header`` drops every line equal to the first one (one small job reads it).
-    """
-    if drop_header:
-        first = lines.select("value").first()
-        if first is not None:
-            lines = lines.filter(F.col("value") != F.lit(first["value"]))
-    parts = _tokens(sep).try_cast("array<double>")
-    label = F.get(parts, label_index)
-    if feature_indices is None:
-        feats = F.filter(parts, lambda x, i: i != F.lit(label_index))
-    else:
-        feats = F.array(*[F.get(parts, i) for i in feature_indices])
-    out = (lines.filter(F.length(F.trim("value")) > 0)
-           .select(label.alias("label"), feats.alias("features")))
+    first; A13: label at index 8, features 0..7).  Blank and bad lines are left out;
+    :func:`tag_labeled_points` shows them and :func:`points_profile` counts them."""
+    tagged = tag_labeled_points(lines, sep, label_index, feature_indices, width, drop_header)
+    out = tagged.where(~F.col(BAD)).select("label", "features")
     if as_vector:
-        out = out.withColumn("features", array_to_vector("features"))
+        # bad lines reach the vector builder too if their filter runs after it
+        whole = F.transform("features", lambda x: F.coalesce(x, F.lit(0.0)))
+        out = out.select("label", array_to_vector(whole).alias("features"))
     return out
 
 
+def points_profile(tagged: DataFrame) -> DataFrame:
+    """``(n_rows, n_bad)`` of tagged points or edges."""
+    return tagged.agg(F.count_if(~F.col(BAD)).alias("n_rows"), F.count_if(BAD).alias("n_bad"))
+
+
+def tag_edges(lines: DataFrame, sep: str = " ") -> DataFrame:
+    """``value, src long, dst long, weight double, _bad`` for every line that is not
+    blank; ids are whole numbers of 64 bits and never pass through a double."""
+    parts = _tokens(sep)
+    src, dst = (F.get(parts, F.lit(i)).try_cast("bigint") for i in (0, 1))
+    weight = F.get(parts, F.lit(2)).try_cast("double")
+    return lines.where(F.length(F.trim("value")) > 0).select(
+        "value", src.alias("src"), dst.alias("dst"), weight.alias("weight"),
+        ((F.size(parts) != 3) | src.isNull() | dst.isNull() | weight.isNull()).alias(BAD))
+
+
 def parse_edges(lines: DataFrame, sep: str = " ") -> DataFrame:
-    """``src dst weight`` lines -> ``src long, dst long, weight double``."""
-    parts = _tokens(sep).try_cast("array<double>")
-    return (lines.filter(F.length(F.trim("value")) > 0)
-            .select(F.get(parts, 0).cast("long").alias("src"),
-                    F.get(parts, 1).cast("long").alias("dst"),
-                    F.get(parts, 2).alias("weight")))
+    """``src dst weight`` lines -> ``src long, dst long, weight double``; bad lines are
+    left out (:func:`tag_edges`, :func:`points_profile`)."""
+    return tag_edges(lines, sep).where(~F.col(BAD)).select("src", "dst", "weight")
 
 
 def read_libsvm(spark: SparkSession, path: str, num_features: int | None = None) -> DataFrame:

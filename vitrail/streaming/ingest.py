@@ -4,8 +4,8 @@ The batch parser is a chain of stateless column expressions, so the same plan ru
 ``readStream``: each micro-batch is parsed with ``from_csv`` over the full width, header
 repeats and malformed lines are separated, and the typed rows go to any sink.  The header
 cannot be peeked from a stream, so the column names are given.  Malformed-line counts are
-a streaming aggregate (complete mode), and every query keeps its progress in a checkpoint
-below the session's ``spark.checkpoint.dir``.
+a streaming aggregate (complete mode).  The caller names each query's checkpoint folder, so
+that a restarted query goes on where it stopped.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vitrail.session import scratch_path
 from vitrail.sources import delimited
 
 
@@ -49,13 +48,12 @@ def profile_stream(parsed: delimited.Parsed, name: str) -> DataFrame:
     return delimited.profile(parsed, name)
 
 
-def start(df: DataFrame, sink: str = "parquet", path: str | None = None,
+def start(df: DataFrame, checkpoint: str, sink: str = "parquet", path: str | None = None,
           output_mode: str = "append", query_name: str | None = None,
           available_now: bool = False) -> StreamingQuery:
-    """Start ``df`` with its progress checkpointed below ``spark.checkpoint.dir``."""
-    spark = df.sparkSession
+    """Start ``df`` with its progress in ``checkpoint``; the same folder resumes it."""
     writer = (df.writeStream.format(sink).outputMode(output_mode)
-                .option("checkpointLocation", scratch_path(spark, "stream-ckpt")))
+                .option("checkpointLocation", checkpoint))
     if query_name is not None:
         writer = writer.queryName(query_name)
     if available_now:
