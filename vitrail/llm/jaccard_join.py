@@ -41,7 +41,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrail.llm.common import carried, packed, table, text_of, unpacked, written
+from vitrail.llm.common import carried, table, text_of, written
 from vitrail.llm.components import components
 
 SKETCH_BITS, SKETCH_BLOCK = 20, 4096
@@ -258,12 +258,16 @@ class Verifier:
     def __init__(self, texts: DataFrame, heads: DataFrame, s: Similarity):
         self.texts, self.heads, self.s = texts, heads, s
 
-    def links(self, pairs: DataFrame) -> DataFrame:
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that pass the suffix filter, with their other columns."""
         heads = self.heads
         near = pairs.join(heads.select(F.col("id").alias("a"), F.col("bins").alias("x")), "a") \
             .join(heads.select(F.col("id").alias("b"), F.col("bins").alias("y")), "b")
-        near = written(near.where(suffix_function(self.s.percent)("x", "y")).select(
-            "a", "b").distinct(), "jaccard-pairs")
+        return near.where(suffix_function(self.s.percent)("x", "y")).select(*pairs.columns)
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The links among pairs that have passed the suffix filter."""
+        near = written(pairs.select("a", "b").distinct(), "jaccard-pairs")
         texts = self.texts.where(in_filter(id_filter(near))("id"))
         at_a = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
         at_b = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
@@ -354,33 +358,51 @@ def id_of(doc_id: str, text: str) -> Column:
     return F.coalesce(F.col(doc_id).cast("long"), by_text)
 
 
-def grouped(docs: DataFrame, names: list[str], s: Similarity, doc_id: str,
-            text: str) -> DataFrame:
-    """(_row, id, n, component) for every row of ``docs``; ``n`` as long."""
+def grouped(docs: DataFrame, s: Similarity, doc_id: str, text: str,
+            working: list[str]) -> DataFrame:
+    """``docs`` with its id, the size of its set (long) and its component, under the names
+    ``working``."""
     texts = docs.select(id_of(doc_id, text).alias("id"), text_of(text).alias("text"))
     counts = sketch(texts.select("text"), s.words)
     sets = written(gram_sets(texts, counts, s), "jaccard-sets")
 
-    same = sets.where("n > 0").groupBy("s1", "s2", "n").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    members = written(sets.where("n > 0").join(same, ["s1", "s2", "n"]).where(
-        "id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")), "jaccard-members")
+    # a table, so that the join on classes is between plain exchanges and can be split
+    same = written(sets.where("n > 0").groupBy("s1", "s2", "n").agg(
+        F.min("id").alias("rep"), F.count(F.lit(1)).alias("k")).where("k > 1"), "jaccard-same")
+    members = written(sets.where("n > 0").select("id", "s1", "s2", "n").join(
+        same, ["s1", "s2", "n"]).where("id <> rep").select(
+        F.col("rep").alias("a"), F.col("id").alias("b")), "jaccard-members")
     met = written(meeting_rows(sets), "jaccard-met")
     judge = Verifier(texts, sets.where("n > 0").select("id", "bins"), s)
 
+    # every class against the pivot with which it shares most; across() leaves none out
     stars = met.where("id <> pivot").select(
         "id", "pivot", F.col("n").alias("a_n"), F.col("at").alias("a_at"),
         F.col("pn").alias("b_n"), F.col("pat").alias("b_at")).where(may_pair("a_", "b_", s))
-    links = judge.links(stars.select(*ordered("id", "pivot")).distinct())
+    stars = judge.possible(stars.groupBy("id", "pivot").agg(
+        F.count(F.lit(1)).alias("k")).select("id", "pivot", "k", *ordered("id", "pivot")))
+    best = stars.groupBy("id").agg(F.max(F.struct("k", -F.col("pivot"), "a", "b")).alias("m"))
+    links = judge.links(best.select("m.a", "m.b"))
     for star in (True, False):
         labels = written(components(links.unionAll(members)), "jaccard-labels")
-        links = links.unionAll(judge.links(across(met, labels, s, star)))
+        links = links.unionAll(judge.links(judge.possible(across(met, labels, s, star))))
     labels = written(components(links.unionAll(members)), "jaccard-labels")
 
-    rows = docs.select(packed(names), id_of(doc_id, text).alias("id"),
-                       size_function(s)(text_of(text)).alias("n"))
-    return rows.join(labels.select(F.col("node").alias("id"), "component"), "id",
-                     "left").withColumn("component", F.coalesce("component", "id"))
+    id_, n, component = working
+    rows = docs.select("*", id_of(doc_id, text).alias(id_),
+                       size_function(s)(text_of(text)).alias(n))
+    return rows.join(labels.select(F.col("node").alias(id_), F.col("component").alias(component)),
+                     id_, "left").withColumn(component, F.coalesce(component, id_))
+
+
+def unused(docs: DataFrame, names: list[str]) -> list[str]:
+    """The names, with underscores where ``docs`` has columns of that name."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
 
 
 def similar_groups(docs: DataFrame, s: Similarity = Similarity(), doc_id: str = "doc_id",
@@ -388,20 +410,23 @@ def similar_groups(docs: DataFrame, s: Similarity = Similarity(), doc_id: str =
     """``docs`` plus ``n_shingles`` and ``component_id``, the smallest id reachable by
     links."""
     names = carried(docs, ["n_shingles", "component_id"])
-    return grouped(docs, names, s, doc_id, text).select(
-        *unpacked(names), F.col("n").alias("n_shingles"),
-        F.when(F.col("component") < NO_DOC, F.col("component")).alias("component_id"))
+    id_, n, component = unused(docs, ["set_id", "set_size", "set_component"])
+    rows = grouped(docs, s, doc_id, text, [id_, n, component])
+    return rows.select(*[F.col(f"`{c}`") for c in names], F.col(n).alias("n_shingles"),
+                       F.when(F.col(component) < NO_DOC, F.col(component)).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, s: Similarity = Similarity(), doc_id: str = "doc_id",
                 text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id names their component; of several rows of that id one
     with the largest set."""
-    names = docs.columns
-    best = Window.partitionBy("id").orderBy(F.desc("n"), F.xxhash64(F.col("_row")[text]))
-    rows = grouped(docs, names, s, doc_id, text).where("id = component")
-    return rows.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").select(
-        *unpacked(names))
+    id_, n, component = unused(docs, ["set_id", "set_size", "set_component"])
+    rows = grouped(docs, s, doc_id, text, [id_, n, component]).where(
+        F.col(id_) == F.col(component))
+    best = Window.partitionBy(id_).orderBy(F.desc(n), F.xxhash64(text))
+    rank = unused(docs, ["set_rank"])[0]
+    return rows.withColumn(rank, F.row_number().over(best)).where(F.col(rank) == 1).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
 
 
 def size_function(s: Similarity):
