@@ -68,7 +68,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
                 doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` plus ``n_lines`` (before), ``n_dropped`` and ``kept_text``."""
     lines = written(keyed_lines(docs, min_chars, doc_id, text), "lines")
-    shared = shared_keys(lines, min_docs)
+    # a table, so that both sides of the join are plain exchanges and hot keys can be split
+    shared = written(shared_keys(lines, min_docs), "shared-lines")
     dropped = lines.join(shared, ["h1", "h2"]).where(F.col("rid") != F.col("keeper")).groupBy(
         "rid", "digest").agg(F.collect_set("at").alias("_dropped"))
     names = carried(docs, ["n_lines", "n_dropped", "kept_text"])
@@ -80,10 +81,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
     joined = F.array_join(F.transform(F.sort_array(left), lambda i: F.get("_lines", i)), "\n")
     whole = F.col("_dropped").isNull()
-    return met.select(
-        *unpacked(names), F.size("_lines").cast("long").alias("n_lines"),
+    out = met.select("_row", F.struct(
+        F.size("_lines").cast("long").alias("n_lines"),
         F.when(whole, 0).otherwise(F.size("_dropped")).cast("long").alias("n_dropped"),
-        F.when(whole, F.col("_text")).otherwise(joined).alias("kept_text"))
+        F.when(whole, F.col("_text")).otherwise(joined).alias("kept_text")).alias("_out"))
+    return out.select(*unpacked(names), "_out.*")
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
