@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,10 +57,14 @@ def encoder(ranks: str, pattern: str):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = rank_encoder(ranks, pattern)
         for batch in batches:
-            ids = [[i for part in parts_of(text.as_py() or "") for i in own.encode_ordinary(part)]
-                   if len(text.as_py() or "") > PART_CHARS
-                   else own.encode_ordinary(text.as_py() or "") for text in batch]
-            yield pa.array(ids, pa.list_(pa.int32()))
+            found, sizes = [], [0]
+            for text in batch:  # lists of ids are large: they turn into arrays part by part
+                parts = [np.array(own.encode_ordinary(part), dtype=np.int32)
+                         for part in parts_of(text.as_py() or "")]
+                found += parts
+                sizes.append(sizes[-1] + sum(map(len, parts)))
+            ids = np.concatenate(found) if found else np.empty(0, np.int32)
+            yield pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(ids))
 
     return encode
 
