@@ -69,20 +69,25 @@ def pointers(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     now = written(now.withColumn("depth", F.when(F.col("above").isNull(), 0).otherwise(1)
                                  .cast("long")), "chat-step")
     rounds, open_before = [], None
+    at_root, open_ = now.where(F.col("above").isNull()), now.where(F.col("above").isNotNull())
     while True:
-        open_now = now.where(F.col("above").isNotNull()).count()
+        open_now = open_.count()
         if open_now == 0 or open_now == open_before:
             break  # all at a root, or only cycles are left
-        rounds.append(now.where(F.col("above").isNotNull()).select("tree", "node", "above"))
+        rounds.append(open_.select("tree", "node", "above"))
         open_before = open_now
-        # from the message above: how far it has come, and what its path adds up to
-        far = now.select("tree", F.col("node").alias("above"), F.col("above").alias("next"),
-                         F.col("depth").alias("more"), F.col("total").alias("gain"))
-        now = written(now.join(far, ["tree", "above"], "left").select(
+        # from the message above: how far it has come, and what its path adds up to; only
+        # messages that are not yet at a root take part in a round
+        far = at_root.unionAll(open_).select(
+            "tree", F.col("node").alias("above"), F.col("above").alias("next"),
+            F.col("depth").alias("more"), F.col("total").alias("gain"))
+        now = written(open_.join(far, ["tree", "above"]).select(
             "tree", "node", F.col("next").alias("above"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("gain", F.lit(0.0))).alias("total")), "chat-step")
-    return rounds, now.where(F.col("above").isNull()).select("tree", "node", "depth", "total")
+            (F.col("depth") + F.col("more")).alias("depth"),
+            (F.col("total") + F.col("gain")).alias("total")), "chat-step")
+        at_root = at_root.unionAll(now.where(F.col("above").isNull()))
+        open_ = now.where(F.col("above").isNotNull())
+    return rounds, at_root.select("tree", "node", "depth", "total")
 
 
 def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
