@@ -658,7 +658,7 @@ def q_gmm_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     scale = {(r[0], r[1]): (cov[r[0]][r[0]] * cov[r[1]][r[1]]) ** 0.5 for r in rows}
     scaled = F.create_map(*[x for (i, j), v in scale.items() for x in (
         F.lit(i * dims + j), F.lit(float(v)))])
-    return df.select("i", "j", round_sig("mean_i", 5).alias("mean_i"), round_to(
+    return df.select("i", "j", round_sig("mean_i", 4).alias("mean_i"), round_to(
         F.col("cov_ij") / scaled[F.col("i") * dims + F.col("j")], 4).alias("cov_ij"))
 
 

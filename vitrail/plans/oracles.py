@@ -448,7 +448,7 @@ def _gmm_moments() -> str:
     cols = LINEITEM_FEATURES
     return " UNION ALL ".join(
         f"SELECT CAST({i} AS INTEGER) AS i, CAST({j} AS INTEGER) AS j, "
-        f"{sig(f'avg({a})', 5)} AS mean_i, round(covar_pop({a}, {b}) "
+        f"{sig(f'avg({a})', 4)} AS mean_i, round(covar_pop({a}, {b}) "
         f"/ (stddev_pop({a}) * stddev_pop({b})), 4) AS cov_ij FROM lineitem"
         for i, a in enumerate(cols) for j, b in enumerate(cols))
 
