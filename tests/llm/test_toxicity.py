@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import zlib
 
+import corpus_pipeline
 from vitrail.llm import toxicity
 from vitrail.llm.common import table
 
+from ..conftest import SF01
+
 SF1 = "/root/testdata/sf0.1"
 
 
@@ -45,3 +48,25 @@ def test_no_labels(spark, odd_docs):
     none = spark.createDataFrame([(1, 1, None)], "doc_id long, quality int, toxic int")
     rows = toxicity.fit(odd_docs, none).score(odd_docs).collect()
     assert {(r.score, r.predicted) for r in rows} == {(0.0, 0)}
+
+
+def test_few_positives_still_teach(spark):
+    docs, labels = table(spark, SF01, "documents"), table(spark, SF01, "labels")
+    rows = toxicity.op6_toxicity(spark, SF01).where("held_out").join(labels, "doc_id").collect()
+    toxic = [r.predicted for r in rows if r.toxic]
+    clean = [r.predicted for r in rows if not r.toxic]
+    assert sum(toxic) / len(toxic) > 0.5 and sum(clean) / len(clean) < 0.05
+    left = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, SF01).collect()}
+    gone = [r.doc_id not in left for r in rows if r.toxic]
+    assert sum(gone) == sum(toxic) > 0
+
+
+def test_rare_label_is_sampled_whole(spark):
+    docs, labels = table(spark, SF01, "documents"), table(spark, SF01, "labels")
+    few = toxicity.Settings(max_training=120)
+    sample = toxicity.training_sample(docs, labels, few).groupBy("toxic").agg(
+        {"*": "count", "weight": "sum"}).collect()
+    n = {r["toxic"]: (r["count(1)"], r["sum(weight)"]) for r in sample}
+    known = labels.where(~toxicity.is_held_out("doc_id"))
+    assert n[1] == (45, 45.0) and n[0][0] == 75
+    assert round(n[0][1]) == known.where("toxic = 0").count()

@@ -1,25 +1,30 @@
 """Toxicity: gradient-boosted trees over dense features, with isotonic calibration.
 
 The labelled rows whose ``crc32(doc_id) mod 5`` is not 0 may be learned from.  A bounded
-sample of them (``max_training`` rows at most, those with the smallest hashes) is dealt by
-hash into three parts: one teaches the lexicon (words and word beginnings far more frequent
-in toxic texts), one the trees, one the calibration, so that no part judges what it has
-learned by heart.  Every text is then turned into the same dense features inside one Arrow
-function and scored by the trees in the JVM.
+sample of them (``max_training`` rows at most, drawn by label, those with the smallest
+hashes; weights restore the true share of each label) is dealt into ``folds``, each label
+evenly.  The lexicon (words and word beginnings far more frequent in toxic texts) and the
+trees are learned from all folds; the features that teach the trees come from lexicons of
+the other folds, and the calibration learns from margins of trees of the other folds, so
+that no row is judged by what has learned its own label by heart.  Every text is then
+turned into the same dense features inside one Arrow function and scored by the trees in
+the JVM.
 
 Defined cases: null and empty texts have zero features and get the score of those; rows
 with a null ``doc_id`` are held out; repeated label rows count once, the larger label wins;
-with fewer than ``min_class`` rows of either label in a part there is no model and all
-scores are 0; other columns pass through, and the added ones replace columns of the same
-name.
+with fewer than two rows of either label nothing can be learned and held against the rest,
+so that there is no model, a warning is given and all scores are 0; other columns pass
+through, and the added ones replace columns of the same name.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
@@ -27,6 +32,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from vitrail.llm.common import carried, packed, table, text_of, unpacked, written
 
@@ -50,7 +56,7 @@ FEATURES = ["hit_density", "hit_weight", "distinct_hits", "near_you", "you_densi
 @dataclass(frozen=True)
 class Settings:
     max_training: int = 15_000  # labelled rows learned from, at most
-    min_class: int = 10         # rows of each label that each part needs
+    folds: int = 3              # of the cross-fitting
     min_support: int = 6        # toxic documents that show a lexicon entry
     min_precision: float = 0.8  # share of toxic ones among the documents that show it
     max_entries: int = 500      # entries of the lexicon, at most
@@ -88,20 +94,39 @@ def term_function():
     return terms
 
 
-def learn_lexicon(sample: DataFrame, s: Settings) -> dict[str, float]:
-    """Entries with their log odds, at most ``max_entries``, from (text, toxic)."""
-    n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    terms = sample.select("toxic", F.explode(term_function()("text")).alias("term"))
-    found = terms.groupBy("term").agg(
-        F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).where(
-        (F.col("t") >= s.min_support) & (F.col("t") >= s.min_precision * F.col("n")))
+def term_counts(sample: DataFrame, s: Settings) -> DataFrame:
+    """Per term the toxic (``t``) and clean (``c``) documents that show it, as arrays over
+    the folds, from (text, toxic, fold); a written table of the terms with support."""
+    terms = sample.select("toxic", "fold", F.explode(term_function()("text")).alias("term"))
+
+    def per_fold(toxic: int) -> Column:
+        return F.array(*[F.count_if((F.col("toxic") == toxic) & (F.col("fold") == k))
+                         for k in range(s.folds)])
+
+    found = terms.groupBy("term").agg(per_fold(1).alias("t"), per_fold(0).alias("c"))
+    return written(found.where(_but("t", None) >= s.min_support), "toxic-terms")
+
+
+def _but(counts: str, left_out: int | None) -> Column:
+    return F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x) - (
+        F.lit(0) if left_out is None else F.col(counts)[left_out])
+
+
+def learn_lexicon(counts: DataFrame, n: dict[int, int], weight: dict[int, float], s: Settings,
+                  left_out: int | None = None) -> dict[str, float]:
+    """Entries with their log odds, at most ``max_entries``, from :func:`term_counts`
+    without the fold ``left_out``; ``n`` rows of each label are in the other folds."""
+    found = counts.select("term", _but("t", left_out).alias("t"), _but("c", left_out).alias("c"))
+    toxic, clean = weight[1] * F.col("t"), weight[0] * F.col("c")
+    found = found.where((F.col("t") >= s.min_support)
+                        & (toxic >= s.min_precision * (toxic + clean)))
     top = found.orderBy(F.desc("t"), F.length("term"), "term").limit(s.max_entries).collect()
     lexicon: dict[str, float] = {}
     for r in sorted(top, key=lambda r: (len(r["term"].rstrip("*")), r["term"])):
         # a word or a longer beginning of a known beginning adds nothing
         if not any(r["term"][:k] + "*" in lexicon for k in BEGINNINGS
                    if len(r["term"].rstrip("*")) >= k and r["term"] != r["term"][:k] + "*"):
-            odds = ((r["t"] + 0.5) / (n.get(1, 0) + 1)) / ((r["n"] - r["t"] + 0.5) / (n.get(0, 0) + 1))
+            odds = ((r["t"] + 0.5) / (n[1] + 1)) / ((r["c"] + 0.5) / (n[0] + 1))
             lexicon[r["term"]] = math.log(odds)
     return lexicon
 
@@ -215,39 +240,61 @@ def _raw(trees, rows: DataFrame) -> DataFrame:
 
 def training_sample(docs: DataFrame, labels: DataFrame, s: Settings, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """(text, toxic, part): at most ``max_training`` labelled rows, as a written table."""
-    marked = labels.where(F.col("toxic").isNotNull() & ~is_held_out(doc_id)).groupBy(
-        F.col(doc_id).alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    chosen = marked.withColumn("_h", F.xxhash64(F.lit("toxic"), "_id")).orderBy(
-        "_h", "_id").limit(s.max_training)
-    part = F.pmod("_h", F.lit(5))  # two fifths, two fifths, one fifth
-    chosen = chosen.select("_id", "toxic", F.when(part < 2, "lexicon").when(
-        part < 4, "trees").otherwise("calibration").alias("part"))
-    # bounded by max_training rows of three short columns
+    """(text, toxic, weight, fold): at most ``max_training`` labelled rows, as a written
+    table.  Of the rarer label all rows stay, up to half of ``max_training``."""
+    marked = written(labels.where(F.col("toxic").isNotNull() & ~is_held_out(doc_id)).groupBy(
+        F.col(doc_id).alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")),
+        "toxic-labels")
+    n = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
+    ids = []  # bounded by max_training rows of three short columns
+    for t in (0, 1):
+        most = max(s.max_training // 2, s.max_training - n.get(1 - t, 0))
+        drawn = marked.where(F.col("toxic") == t).orderBy(
+            F.xxhash64(F.lit("toxic"), "_id"), "_id").limit(most).collect()
+        ids += [(r["_id"], t, n[t] / len(drawn), i % s.folds) for i, r in enumerate(drawn)]
+    chosen = docs.sparkSession.createDataFrame(ids, StructType([
+        marked.schema["_id"], *[StructField(c, k) for c, k in (
+            ("toxic", IntegerType()), ("weight", DoubleType()), ("fold", IntegerType()))]]))
     rows = docs.select(F.col(doc_id).alias("_id"), text_of(text).alias("text"))
-    return written(rows.join(F.broadcast(chosen), "_id").select("text", "toxic", "part"),
+    return written(rows.join(F.broadcast(chosen), "_id").select("text", "toxic", "weight", "fold"),
                    "toxic-sample")
 
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = PRODUCTION, doc_id: str = "doc_id",
         text: str = "text") -> ToxicityModel:
     sample = training_sample(docs, labels, s, doc_id, text)
-    n = {(r["part"], r["toxic"]): r["count"]
-         for r in sample.groupBy("part", "toxic").count().collect()}
-    if min(n.get((p, t), 0) for p in ("lexicon", "trees", "calibration")
-           for t in (0, 1)) < s.min_class:
+    seen = sample.groupBy("toxic", "fold").agg(F.count(F.lit(1)).alias("n"),
+                                               F.max("weight").alias("w")).collect()
+    folds = range(s.folds)
+
+    def rows_of(left_out: int | None) -> dict[int, int]:
+        return {t: sum(r["n"] for r in seen if r["toxic"] == t and r["fold"] != left_out)
+                for t in (0, 1)}
+
+    if min(min(rows_of(k).values()) for k in folds) == 0:
+        warnings.warn(f"toxicity: no model from {rows_of(None)} labelled rows", stacklevel=2)
         return ToxicityModel({})
-    lexicon = learn_lexicon(sample.where("part = 'lexicon'"), s)
-    rows = written(sample.where("part <> 'lexicon'").select(
-        feature_function(lexicon, s.reach)("text").alias("f"), "toxic", "part"), "toxic-features")
+    counts = term_counts(sample, s)
+    weight = {t: max(r["w"] for r in seen if r["toxic"] == t) for t in (0, 1)}
+    # each fold measured with the lexicon of the others
+    parts = [sample.where(F.col("fold") == k).select(feature_function(
+        learn_lexicon(counts, rows_of(k), weight, s, k), s.reach)("text").alias("f"),
+        "toxic", "weight", "fold") for k in folds]
+    rows = written(reduce(DataFrame.unionAll, parts), "toxic-features")
     rows = rows.select(array_to_vector("f").alias("features"),
-                       F.col("toxic").cast("double").alias("label"), "part")
-    trees = GBTClassifier(maxIter=s.trees, maxDepth=s.depth, seed=s.seed).fit(
-        rows.where("part = 'trees'").coalesce(4))
-    judged = _raw(trees, rows.where("part = 'calibration'"))
-    calibration = IsotonicRegression(featuresCol="margin", predictionCol="score").fit(
-        judged.coalesce(1))
-    return ToxicityModel(lexicon, trees, calibration, s.reach)
+                       F.col("toxic").cast("double").alias("label"), "weight", "fold")
+    grow = GBTClassifier(maxIter=s.trees, maxDepth=s.depth, seed=s.seed, weightCol="weight")
+
+    def trees_without(left_out: int | None):
+        return grow.fit((rows if left_out is None else rows.where(
+            F.col("fold") != left_out)).coalesce(4))
+
+    judged = reduce(DataFrame.unionAll, [
+        _raw(trees_without(k), rows.where(F.col("fold") == k)) for k in folds])
+    calibration = IsotonicRegression(featuresCol="margin", predictionCol="score",
+                                     weightCol="weight").fit(judged.coalesce(1))
+    lexicon = learn_lexicon(counts, rows_of(None), weight, s)
+    return ToxicityModel(lexicon, trees_without(None), calibration, s.reach)
 
 
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:
