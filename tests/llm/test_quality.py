@@ -12,6 +12,7 @@ from vitrail.llm.common import table
 
 from ..conftest import SF01
 
+SF1 = "/root/testdata/sf0.1"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -72,3 +73,16 @@ def test_filter_is_not_pushed_into_the_measures(spark):
     plan = quality.judge(docs).where("kept")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Generate explode") >= 2 and "Python" not in plan
     assert quality.judge(docs).where(~F.col("kept")).count() > 0
+
+
+def test_rejection_and_clean_loss_by_length(spark):
+    rows = quality.op1_quality(spark, SF1).where("not base_failed").join(
+        table(spark, SF1, "labels"), "doc_id").collect()
+    for low, high, found, lost in ((50, 100, 0.9, 0.035), (100, 200, 0.97, 0.015),
+                                   (200, math.inf, 0.99, 0.002)):
+        band = [r for r in rows if low <= r.n_words < high]
+        bad = [not r.kept for r in band if r.quality == 0]
+        good = [not r.kept for r in band if r.quality == 1]
+        report = f"{low}: {sum(bad)} of {len(bad)} bad, {sum(good)} of {len(good)} good rejected"
+        print(report)
+        assert sum(bad) >= found * len(bad) and sum(good) <= lost * len(good), report

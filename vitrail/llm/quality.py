@@ -3,8 +3,9 @@
 Every text is described by two histograms, its character classes and its use of common
 words.  The corpus gives the references: for each language the mean histograms of all its
 documents long enough to measure.  A document passes when the Jensen-Shannon distances
-(base 2, 0 to 1) to its nearest reference stay below the limits; short documents are held
-against the looser class limit only, or not at all.  DataFrame functions only.
+(base 2, 0 to 1) to its nearest reference stay below the limits.  A short text is farther
+from its reference by chance alone, so the limits are at least the distance expected of a
+sample of its length plus a margin.  DataFrame functions only.
 
 Defined cases: a null text has no words and fails the base rule; a null or unlisted
 ``lang`` takes no part in the references but is held against all of them; with fewer than
@@ -15,6 +16,7 @@ pass through, and the added ones replace columns of the same name.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -58,11 +60,11 @@ class Limits:
     min_words: int = 50          # base rule: shorter documents fail
     max_repeat_percent: int = 50  # base rule: share of words in repeated windows
     max_class_distance: float = 0.15
-    max_short_distance: float = 0.3  # the class limit for texts under guard_words
     max_word_distance: float = 0.29
     reference_distance: float = 0.25  # documents farther from the first mean leave the second
+    class_margin: float = 0.1    # over the distance expected of as many characters
+    word_margin: float = 0.08    # over the distance expected of as many words
     guard_chars: int = 200       # shorter texts: the class histogram is not judged
-    guard_words: int = 200       # shorter texts: the word histogram is not judged
     min_reference: int = 20      # documents a language needs for a reference
 
 
@@ -148,6 +150,12 @@ def _nearest(distances: list[Column]) -> Column:
     return F.least(*distances) if len(distances) > 1 else distances[0]
 
 
+def _expected(cells: int, n: Column) -> Column:
+    """About the distance between a distribution over ``cells`` and a sample of ``n`` draws
+    from it: the divergence is an eighth of chi-square over n, in nats."""
+    return F.sqrt((cells - 1) / (8 * math.log(2) * F.greatest(n, F.lit(1))))
+
+
 def repeated_words(words: str) -> Column:
     """Words inside 3-word windows that occur twice or more in the array, counted once.
     Windows meet by 64-bit hash within one text: the hash gives up as many low bits as the
@@ -224,10 +232,12 @@ def verdict(measured: DataFrame, refs: References, limits: Limits = PRODUCTION)
     out = out.withColumn("base_failed", (F.col("n_words") < limits.min_words) | (
         100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words")))
     chars = F.aggregate("_classes", F.lit(0), lambda a, x: a + x)
-    long_text = F.col("n_words") >= limits.guard_words
-    most = F.when(long_text, limits.max_class_distance).otherwise(limits.max_short_distance)
-    odd = ((chars >= limits.guard_chars) & (F.col("class_distance") > most)) | (
-        long_text & (F.col("word_distance") > limits.max_word_distance))
+    most_classes = F.greatest(F.lit(limits.max_class_distance),
+                              limits.class_margin + _expected(len(CLASSES), chars))
+    most_words = F.greatest(F.lit(limits.max_word_distance), limits.word_margin + _expected(
+        len(COMMON_WORDS["en"]) + 1, F.col("n_words")))  # the words of one language, the rest
+    odd = ((chars >= limits.guard_chars) & (F.col("class_distance") > most_classes)) | (
+        F.col("word_distance") > most_words)
     out = out.withColumn("kept", ~F.col("base_failed") & ~odd)
     judged = ["class_distance", "word_distance", "base_failed", "kept"]
     rest = [c for c in measured.columns if c not in judged]
