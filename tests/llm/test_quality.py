@@ -86,3 +86,31 @@ def test_rejection_and_clean_loss_by_length(spark):
         report = f"{low}: {sum(bad)} of {len(bad)} bad, {sum(good)} of {len(good)} good rejected"
         print(report)
         assert sum(bad) >= found * len(bad) and sum(good) <= lost * len(good), report
+
+
+def test_languages_without_a_reference_keep_their_good_documents(spark):
+    docs = table(spark, SF01, "documents")
+    good = docs.join(table(spark, SF01, "labels").where("quality = 1"), "doc_id")
+    spanish = good.where("lang = 'es'").select(docs.columns)
+    few = spanish.limit(quality.PRODUCTION.min_reference - 1)
+    others = docs.where("lang <> 'es'")
+    words = "kato hundo domo arbo libro vojo tago nokto suno luno akvo fajro".split()
+    odd = [(-i, " ".join(words[(j * j + j) % 12] + "aeiou"[j % 5] * (j % 7)
+                         + (". Kaj" if j % 9 == 0 else "") for j in range(300)), lang) for i, lang in ((1, "eo"), (5, None))]
+    arabic = "".join(chr(0x627 + i) for i in range(20))
+    odd += [(-9, " ".join(arabic[j % 17:j % 17 + 2 + j % 5] + arabic[j * j % 19]
+                          for j in range(300)), "ar")]
+    new = spark.createDataFrame([(i, x, l, "s", len(x)) for i, x, l in odd],
+                                others.schema)
+    rows = quality.judge(others.union(few).union(new)).where(
+        "(lang = 'es' or doc_id < 0) and not base_failed").collect()
+    assert {r.doc_id for r in rows} >= {-1, -5, -9} and any(r.lang == "es" for r in rows)
+    assert [r.doc_id for r in rows if r.n_words >= 200 and not r.kept] == []
+
+
+def test_junk_without_a_reference_is_still_rejected(spark):
+    docs = table(spark, SF01, "documents")
+    junk = " ".join(f"#{i}$%" + "&|<>"[i % 4] * (i % 7) for i in range(300))
+    new = spark.createDataFrame([(-1, junk, "eo", "s", len(junk))], docs.schema)
+    row = quality.judge(docs.union(new)).where("doc_id = -1").first()
+    assert not row.base_failed and not row.kept

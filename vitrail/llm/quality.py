@@ -8,9 +8,10 @@ from its reference by chance alone, so the limits are at least the distance expe
 sample of its length plus a margin.  DataFrame functions only.
 
 Defined cases: a null text has no words and fails the base rule; a null or unlisted
-``lang`` takes no part in the references but is held against all of them; with fewer than
-``min_reference`` documents a language has no reference, and with no reference at all
-nothing is rejected beyond the base rule; repeated rows get equal verdicts; other columns
+``lang`` takes no part in the references, and with fewer than ``min_reference`` documents
+a language has no reference: such documents are held against the classes of all references
+but not against their words, which say nothing of another language; with no reference at
+all nothing is rejected beyond the base rule; repeated rows get equal verdicts; other columns
 pass through, and the added ones replace columns of the same name.
 """
 
@@ -48,7 +49,8 @@ VOCABULARY = sorted({w for words in COMMON_WORDS.values() for w in words})
 
 #: Character classes; "space" is ``GAP_CHARS``, the rest is "other".
 CLASSES = ["space", "lower", "upper", "digit", "symbol", "mark", "other"]
-CALM = r"[\p{Ll}\x20\x09-\x0D]+"  # what running text mostly consists of
+#: What running text mostly consists of; letters without case and their marks are "lower".
+CALM = r"[\p{Ll}\p{Lo}\p{Lm}\p{M}\x20\x09-\x0D]+"
 NOT_UPPER, NOT_DIGIT = r"[^\p{Lu}]+", r"[^0-9]+"
 NOT_SYMBOL, NOT_MARK = r"[^#*$%&|<>]+", r"""[^.,;:!?'"()\-]+"""
 
@@ -236,8 +238,9 @@ def verdict(measured: DataFrame, refs: References, limits: Limits = PRODUCTION)
                               limits.class_margin + _expected(len(CLASSES), chars))
     most_words = F.greatest(F.lit(limits.max_word_distance), limits.word_margin + _expected(
         len(COMMON_WORDS["en"]) + 1, F.col("n_words")))  # the words of one language, the rest
+    known = F.coalesce(F.col("_lang").isin(list(refs)), F.lit(False))
     odd = ((chars >= limits.guard_chars) & (F.col("class_distance") > most_classes)) | (
-        F.col("word_distance") > most_words)
+        known & (F.col("word_distance") > most_words))
     out = out.withColumn("kept", ~F.col("base_failed") & ~odd)
     judged = ["class_distance", "word_distance", "base_failed", "kept"]
     rest = [c for c in measured.columns if c not in judged]
