@@ -6,10 +6,13 @@ from vitrail.llm import (
     ann,
     byte_bpe,
     chat,
+    hard_negatives,
     jaccard_join,
     line_dedup,
+    mixing,
     packing,
     quality,
+    spelling,
     token_counts,
     toxicity,
     warc,
@@ -28,6 +31,9 @@ def registry() -> dict:
         "op4_warc": warc.op4_warc,
         "op10_ann_forest": ann.op10_ann_forest,
         "op9_jaccard_join": jaccard_join.op9_jaccard_join,
+        "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+        "op12_spelling_variants": spelling.op12_spelling_variants,
+        "op13_mix_sources": mixing.op13_mix_sources,
     }
 
 
@@ -36,4 +42,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_line_dedup": line_dedup.OP2_SQL,
         "op3_chat_format": chat.OP3_SQL,
         "op4_warc": warc.OP4_SQL,
+        "op11_hard_negatives": hard_negatives.OP11_SQL,
+        "op12_spelling_variants": spelling.OP12_SQL,
+        "op13_mix_sources": mixing.OP13_SQL,
     }
