@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from vitrail.operators import split
 
@@ -41,3 +42,57 @@ def test_sample_rows_bounds(spark):
 def test_weights_checked(spark):
     with pytest.raises(ValueError):
         split.hash_split_tag(spark.range(3), ["id"], (0.0, 0.0))
+
+
+def hot_rows(spark, n=90_000):
+    """A third of the rows are equal; the others come in pairs."""
+    return spark.range(n).select(
+        F.when(F.col("id") < n // 3, F.lit(-1)).otherwise(F.col("id") % (n // 3)).alias("k"),
+        F.when(F.col("id") >= n // 3, "x").alias("s"))  # null where hot
+
+
+def counted(df):
+    return {tuple(r)[:-1]: r["count"] for r in df.groupBy(*df.columns).count().collect()}
+
+
+def test_copies_of_a_hot_row_are_drawn_one_by_one(spark):
+    df = hot_rows(spark)
+    kept = counted(split.sample_rows(df, 0.1, seed=3))
+    n, p = 30_000, 0.1
+    assert abs(kept[(-1, None)] - n * p) <= 3 * (n * p * (1 - p)) ** 0.5
+    rest = sum(v for k, v in kept.items() if k[0] != -1)
+    assert abs(rest - 60_000 * p) <= 4 * (60_000 * p * (1 - p)) ** 0.5
+    assert max(v for k, v in kept.items() if k[0] != -1) == 2  # both of some pairs
+    assert 1 in kept.values()                                  # and one of others
+
+
+def test_copies_are_drawn_alike_whatever_the_partitions(spark, monkeypatch):
+    df = hot_rows(spark, 9_000)
+    one = counted(split.sample_rows(df, 0.3, seed=4))
+    assert one == counted(split.sample_rows(df.repartition(5), 0.3, seed=4))
+    assert one != counted(split.sample_rows(df, 0.3, seed=5))
+    monkeypatch.setattr(split, "RUN", 64)  # the hot row is dealt out in 47 runs
+    assert one == counted(split.sample_rows(df.repartition(2), 0.3, seed=4))
+
+
+def test_split_copies_partition_the_table(spark):
+    df = hot_rows(spark, 9_000)
+    parts = split.random_split(df, (0.5, 0.3, 0.2), seed=1)
+    found = [counted(p) for p in parts]
+    assert counted(df) == {k: sum(f.get(k, 0) for f in found) for k in counted(df)}
+    shares = [f[(-1, None)] / 3000 for f in found]
+    assert all(abs(a - b) < 0.03 for a, b in zip(shares, (0.5, 0.3, 0.2)))
+
+
+def test_extreme_fractions_and_empty_tables(spark):
+    df = hot_rows(spark, 90)
+    assert split.sample_rows(df, 0.0, seed=0).count() == 0
+    assert counted(split.sample_rows(df, 1.0, seed=0)) == counted(df)
+    assert split.sample_rows(df.limit(0), 0.5, seed=0).count() == 0
+    assert split.sample_rows(df, 0.5, seed=0).columns == df.columns
+
+
+def test_keyed_draws_need_no_shuffle(spark):
+    df = spark.range(100).withColumn("v", F.lit(1))
+    plan = split.sample_rows(df, 0.5, seed=0, keys=["id"])._jdf.queryExecution().toString()
+    assert "Exchange" not in plan

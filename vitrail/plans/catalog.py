@@ -293,6 +293,33 @@ def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.abs(F.sum("n1") / F.sum("n0") - 0.1) < 0.03).alias("share_holds"))
 
 
+def repeated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines as one column ``k``; a third of them are one and the same row, and those of
+    an order and part of the rest are equal where quantities are."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.when(F.col("l_orderkey") % 3 == 0, F.lit("hot")).otherwise(
+        F.concat_ws("-", (F.col("l_orderkey") % 100).cast("string"),
+                    F.floor("l_quantity").cast("string"))).alias("k"))
+
+
+def q_sample_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 on a table of which a third is one row: what the sample keeps of every value, by
+    draws that SQL repeats exactly."""
+    rows = repeated_rows(spark, sf_dir)
+    kept = split.sample_rows(rows, 0.1, seed=5, method="md5").groupBy("k").agg(
+        F.count(F.lit(1)).alias("n_kept"))
+    return rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).join(kept, "k", "left").select(
+        "k", "n", F.coalesce("n_kept", F.lit(0)).alias("n_kept"))
+
+
+def q_split_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2/E3 on the same table: three parts, counted by value."""
+    tagged = split.random_split_tag(repeated_rows(spark, sf_dir), (0.6, 0.3, 0.1), seed=6,
+                                    method="md5")
+    return tagged.groupBy("k").agg(*[
+        F.count_if(F.col("split") == i).alias(f"n{i}") for i in range(3)])
+
+
 # --------------------------------------------------------------------------- metrics
 # Model-free scoring so every metric has a closed form: the label is the line number
 # (1..7), the prediction a quantity band (1..5), so two classes are never predicted.
@@ -759,6 +786,8 @@ def registry() -> dict[str, Query]:
         "hash_split": q_hash_split,
         "random_split": q_random_split,
         "sample_rows": q_sample_rows,
+        "sample_copies": q_sample_copies,
+        "split_copies": q_split_copies,
         "confusion_matrix": q_confusion_matrix,
         "confusion_one_vs_rest": q_confusion_one_vs_rest,
         "metrics_per_class": q_metrics_per_class,

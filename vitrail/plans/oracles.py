@@ -155,6 +155,27 @@ SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_invented,
        CAST(0 AS BIGINT) AS n_moved, true AS share_holds FROM lineitem
 """
 
+REPEATED = """(SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE
+        CAST(l_orderkey % 100 AS VARCHAR) || '-' || CAST(CAST(floor(l_quantity) AS BIGINT)
+        AS VARCHAR) END AS k FROM lineitem)"""
+
+
+def _draws(seed: int) -> str:
+    return f"""(SELECT k, CAST('0x' || substr(md5(k || '|' || CAST(unnest(range(1, n + 1))
+        AS VARCHAR) || '|{seed}'), 1, 8) AS BIGINT) / 4294967296.0 AS u
+        FROM (SELECT k, count(*) AS n FROM {REPEATED} GROUP BY k))"""
+
+
+SAMPLE_COPIES = f"""
+SELECT k, count(*) AS n, CAST(count(*) FILTER (u < 0.1) AS BIGINT) AS n_kept
+FROM {_draws(5)} GROUP BY k"""
+
+SPLIT_COPIES = f"""
+SELECT k, CAST(count(*) FILTER (u < 0.6) AS BIGINT) AS n0,
+       CAST(count(*) FILTER (u >= 0.6 AND u < 0.9) AS BIGINT) AS n1,
+       CAST(count(*) FILTER (u >= 0.9) AS BIGINT) AS n2
+FROM {_draws(6)} GROUP BY k"""
+
 # ------------------------------------------------------------------ metrics
 SCORED = """(SELECT CAST(l_linenumber AS INTEGER) AS label,
         CAST(floor((l_quantity - 1) / 10) + 1 AS INTEGER) AS prediction FROM lineitem)"""
@@ -504,6 +525,8 @@ def registry() -> dict[str, str]:
         "hash_split": HASH_SPLIT,
         "random_split": RANDOM_SPLIT,
         "sample_rows": SAMPLE_ROWS,
+        "sample_copies": SAMPLE_COPIES,
+        "split_copies": SPLIT_COPIES,
         "confusion_matrix": CONFUSION,
         "confusion_one_vs_rest": CONFUSION_ONE_VS_REST,
         "metrics_per_class": METRICS_PER_CLASS,
