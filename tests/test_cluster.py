@@ -96,3 +96,57 @@ def test_normalise_edges_and_text(spark):
     assert rows == [(1, 2, 1.5)]
     a = spark.createDataFrame([(1, 0)], "id long, cluster int")
     assert graph.describe_assignments(a).first().text == "1 -> 0"
+
+
+def _scan(points, centres, decimals=9):
+    d = np.sqrt(((points[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2))
+    return np.round(d, decimals).argmin(axis=1)
+
+
+def test_blocked_search_equals_the_scan_with_many_centres():
+    rng = np.random.default_rng(1)
+    centres = rng.standard_normal((2500, 8)) + 50.0  # large norms: products lose digits
+    points = np.concatenate([rng.standard_normal((300, 8)) + 50.0, centres[:50],
+                             (centres[:50] + centres[50:100]) / 2])  # centres and near ties
+    squares = (centres * centres).sum(axis=1)
+    place, dist = cluster._nearest_blocked(points, centres, squares, 9)
+    assert (place == _scan(points, centres)).all()
+    assert np.allclose(dist, np.sqrt(((points - centres[place]) ** 2).sum(axis=1)), atol=0)
+
+
+def test_blocked_search_takes_the_first_of_equal_centres():
+    rng = np.random.default_rng(2)
+    grid = rng.integers(-2, 3, (1500, 3)).astype(float)  # most centres stand there many times
+    points = rng.integers(-2, 3, (200, 3)) / 2
+    place, _ = cluster._nearest_blocked(points, grid, (grid * grid).sum(axis=1), 9)
+    assert (place == _scan(points, grid)).all()
+
+
+def test_many_centres_in_a_frame(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((1200, 4))
+    points = rng.standard_normal((500, 4))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)]
+                               + [(-1, None), (-2, [0.0, float("nan"), 0.0, 0.0])],
+                               "id long, p array<double>")
+    got = {r.id: r.cluster for r in cluster.assign_nearest(
+        df, "p", centres.tolist(), [5 * j for j in range(1200)]).collect()}
+    assert got.pop(-1) is None and got.pop(-2) is None
+    want = _scan(points, centres)
+    assert got == {i: 5 * int(w) for i, w in enumerate(want)}
+
+
+def test_many_centres_are_searched_faster_than_one_by_one():
+    import time
+
+    rng = np.random.default_rng(4)
+    centres, points = rng.standard_normal((5000, 64)), rng.standard_normal((1000, 64))
+    squares = (centres * centres).sum(axis=1)
+    cluster._nearest_blocked(points[:10], centres, squares, 9)
+    t0 = time.perf_counter()
+    a, _ = cluster._nearest_blocked(points, centres, squares, 9)
+    t1 = time.perf_counter()
+    b, _ = cluster._exact_nearest(points, centres, 9)
+    t2 = time.perf_counter()
+    assert (a == b).all()
+    assert t2 - t1 > 2 * (t1 - t0)  # 5 times and more on an idle core

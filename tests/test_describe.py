@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+import random
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vitrail.operators import describe
 from vitrail.operators.quantiles import approx_quantiles, exact_quantiles
@@ -88,3 +92,36 @@ def test_quantile_labels_are_distinct(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1001)], "v double")
     row = describe.describe_numeric(df, ["v"], probs=(0.5, 0.999, 1.0)).first()
     assert (row.q50, row.q99_9, row.q100) == (500.0, pytest.approx(999.0), 1000.0)
+
+
+def test_pairwise_correlation_with_gaps(spark):
+    rng = random.Random(8)
+    rows = [tuple(None if rng.random() < 0.3 else v for v in (
+        i + rng.random(), 1e9 + rng.random(), i * 2.0 + rng.gauss(0, 50), 7.0))
+        for i in range(400)]
+    rows += [(math.nan, 1.0, None, None), (math.inf, 2.0, 3.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(7)
+    x = np.array([[math.nan if v is None else v for v in r] for r in rows])
+    got = {(r.i, r.j): r for r in describe.pairwise_correlation(
+        df, ["a", "b", "c", "d"]).collect()}
+    assert len(got) == 16
+    for (i, j), r in got.items():
+        both = np.isfinite(x[:, i]) & np.isfinite(x[:, j])
+        assert r.n == both.sum()
+        if 3 in (i, j):
+            assert r["corr"] is None  # constant
+        else:
+            y = x[both] - np.nanmean(np.where(np.isfinite(x), x, np.nan), axis=0)
+            assert r["corr"] == pytest.approx(np.corrcoef(y[:, i], y[:, j])[0, 1], abs=1e-9)
+
+
+def test_pairwise_correlation_of_many_columns_and_none(spark):
+    d = 40
+    df = spark.range(200).select(*[((F.col("id") * (i + 3)) % 101).cast("double").alias(f"c{i}")
+                                   for i in range(d)])
+    got = describe.pairwise_correlation(df, df.columns).collect()
+    want = {(r.i, r.j): r["corr"] for r in describe.correlation_matrix(df, df.columns).collect()}
+    assert len(got) == d * d
+    assert all(r["corr"] == pytest.approx(want[r.i, r.j], abs=1e-9) for r in got)
+    empty = describe.pairwise_correlation(df.limit(0), ["c0", "c1"]).collect()
+    assert all(r.n == 0 and r["corr"] is None for r in empty)

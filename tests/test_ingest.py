@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
 import sys
 import unicodedata
@@ -141,7 +142,7 @@ def test_blank_lines_count_in_other_charsets(spark, workdir):
     row = delimited.load_table(spark, str(path), ";", encoding="cp1252", accents=False).first()
     assert row.b == "€é"
     with pytest.raises(ValueError):
-        delimited.read_lines(spark, str(path), encoding="shift_jis")
+        delimited.read_lines(spark, str(path), encoding="iso2022_jp")
 
 
 def test_values_that_do_not_fit_are_counted_or_raise(spark, workdir):
@@ -290,3 +291,78 @@ def test_latin1_files(spark, workdir):
     prof = delimited.load_profile(spark, str(path), ";", encoding="ISO-8859-1").first()
     # the long row and the blank line are malformed
     assert (prof.n_rows, prof.n_malformed) == (2, 2)
+
+
+LINES = ["nom;valeur", "Zoë;1", "", "漢字;x", "短い", "カ;3", ""]
+
+
+@pytest.mark.parametrize("encoding", ["UTF-16LE", "UTF-16BE", "UTF-32LE", "UTF-16", "shift_jis",
+                                      "euc_jp", "gb18030", "cp932"])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_multi_byte_files_have_the_profile_of_utf_8(spark, workdir, encoding, end):
+    lines = [x.replace("ë", "e") if not encoding.startswith("UTF") else x
+             for x in LINES]
+    text = end.join(lines) + end
+    (workdir / "a.txt").write_bytes(text.encode(encoding))
+    (workdir / "b.txt").write_bytes(text.encode("utf-8"))
+    a, b = (delimited.load_profile(spark, str(workdir / f), ";", "x", accents=False, encoding=e,
+                                   types=["str", "bin"]).collect()
+            for f, e in (("a.txt", encoding), ("b.txt", "UTF-8")))
+    assert a == b and a[0].n_malformed == 3
+    got = delimited.load_table(spark, str(workdir / "a.txt"), ";", accents=False,
+                               encoding=encoding).collect()
+    assert [r.nom for r in got] == [lines[1].split(";")[0], "漢字", "カ"]
+
+
+def test_wide_files_are_split_like_others(spark, workdir):
+    text = "k;v\n" + "".join(f"{i};é{i}\n" for i in range(5000))
+    (workdir / "a.txt").write_bytes(text.encode("utf-16-le"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7001")
+    try:
+        got = delimited.load_table(spark, str(workdir / "a.txt"), ";", {"k": "long"},
+                                   accents=False, encoding="UTF-16LE")
+        assert got.rdd.getNumPartitions() > 5
+        assert got.count() == 5000 and got.where("v <> concat('é', k)").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_feed_across_characters_fails_loudly(spark, workdir):
+    (workdir / "a.txt").write_bytes("k\n\u0a15\u4e00\n".encode("utf-16-le"))
+    with pytest.raises(Exception, match="across two characters"):
+        delimited.read_lines(spark, str(workdir / "a.txt"), "UTF-16LE").collect()
+
+
+@pytest.mark.parametrize("encoding", ["iso2022_jp", "utf-7", "hz"])
+def test_charsets_with_shift_states_raise(spark, workdir, encoding):
+    (workdir / "a.txt").write_text("x\n")
+    with pytest.raises(ValueError):
+        delimited.read_lines(spark, str(workdir / "a.txt"), encoding)
+
+
+def test_utf_16_without_a_mark_asks_for_the_order(spark, workdir):
+    (workdir / "a.txt").write_bytes("xy\n".encode("utf-16-le"))
+    with pytest.raises(ValueError, match="byte order"):
+        delimited.read_lines(spark, str(workdir / "a.txt"), "UTF-16")
+
+
+def test_fault_examples(spark):
+    rows = ["k;n", *[f"{i};x" for i in range(30)], *["only"] * 40, *["7;8;9"], "", "", "1;2"]
+    df = spark.createDataFrame([(x,) for x in rows], "value string")
+    header = df.limit(1)
+    found = []
+    for partitions in (1, 5):
+        parsed = delimited.parse_lines(df.repartition(partitions), ";", header_source=header)
+        found.append(sorted(map(tuple, delimited.fault_examples(
+            parsed, ["str", "bin"], k=3).collect()), key=str))
+    assert found[0] == found[1]
+    by_fault = {}
+    for column, fault, rank, line, n in found[0]:
+        by_fault.setdefault((column, fault), []).append((rank, line, n))
+    assert by_fault[None, "blank"] == [(1, "", 2)]
+    assert {x[1:] for x in by_fault[None, "width"]} == {("only", 40), ("7;8;9", 1)}
+    first = sorted((f"{i};x" for i in range(30)),
+                   key=lambda x: hashlib.md5(x.encode()).hexdigest())[:3]
+    assert sorted(by_fault["n", "type"]) == [(i + 1, x, 1) for i, x in enumerate(first)]
+    assert set(by_fault) == {(None, "blank"), (None, "width"), ("n", "type")}

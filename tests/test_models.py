@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -75,7 +76,7 @@ def test_model_save_load_same_predictions(spark, workdir):
     clf = models.fit_classifier(df, models.logistic_lbfgs(), "label", ["f0", "f1"])
     path = str(workdir / "model")
     clf.save(path)
-    loaded = models.Classifier.load(path, "label", ["f0", "f1"], clf.label_type)
+    loaded = models.Classifier.load(path)
     a = clf.transform(df).select("f0", "f1", "prediction").collect()
     b = loaded.transform(df).select("f0", "f1", "prediction").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
@@ -173,3 +174,60 @@ def test_labelled_file_to_naive_bayes_summary(spark, workdir):
     assert pts.count() == 300 and {r.label for r in pts.select("label").distinct().collect()} == {1.0, 2.0, 3.0}
     assert {r.prediction for r in scored.select("prediction").distinct().collect()} <= {1.0, 2.0, 3.0}
     assert summary.method == "Naive Bayes" and 0.0 <= summary.f_measure <= 1.0
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("string", ["no", "yes"]), ("long", [3, 11]), ("double", [0.5, 2.0]), ("boolean", [False, True]),
+])
+def test_saved_model_describes_itself(spark, workdir, kind, values):
+    rows = [(values[i % 2], float(i % 2) * 3 + 0.5, float(i % 3)) for i in range(60)]
+    df = spark.createDataFrame(rows, f"y {kind}, b double, a double")
+    clf = models.fit_classifier(df, models.decision_tree("entropy", 3, 32), "y", ["b", "a"])
+    clf.save(str(workdir / "m"))
+    loaded = models.Classifier.load(str(workdir / "m"))
+    assert (loaded.label, loaded.features) == ("y", ["b", "a"])
+    assert loaded.label_type.simpleString() == df.schema["y"].dataType.simpleString()
+    out = loaded.transform(df.select("a", "b", "y"))  # columns in another order
+    assert out.schema["prediction"].dataType == df.schema["y"].dataType
+    assert out.where("y <> prediction or prediction is null").count() == 0
+
+
+def test_load_refuses_what_it_does_not_know(spark, workdir):
+    df = _two_class(spark)
+    clf = models.fit_classifier(df, models.naive_bayes(1.0), "label", ["f0", "f1"])
+    PipelineModel(clf.model.stages[:-1]).write().save(str(workdir / "bare"))
+    with pytest.raises(ValueError, match="no classifier"):
+        models.Classifier.load(str(workdir / "bare"))
+    clf.card._set(version=models.MODEL_VERSION + 1)
+    clf.save(str(workdir / "later"))
+    with pytest.raises(ValueError, match="version"):
+        models.Classifier.load(str(workdir / "later"))
+
+
+@pytest.mark.parametrize("estimator", [models.gradient_boosted_trees, models.random_forest])
+def test_unseen_categories_are_scored_and_counted(spark, workdir, estimator):
+    rows = [(i % 2, float(i % 3), float(i % 2) * 2 + 0.1 * (i % 5)) for i in range(120)]
+    train = spark.createDataFrame(rows, "y int, c double, x double")
+    clf = models.fit_classifier(train, estimator(5, seed=1), "y", ["c", "x"], max_categories=3)
+    assert clf.unseen(train).collect() == [("c", 120, 0)]
+    new = spark.createDataFrame([(0, 7.0, 0.1), (1, 9.0, 2.1), (1, 2.0, 2.1)],
+                                "y int, c double, x double")
+    clf.save(str(workdir / "m"))
+    for model in (clf, models.Classifier.load(str(workdir / "m"))):
+        assert [r.prediction for r in model.transform(new).collect()] == [0, 1, 1]
+        assert [tuple(r) for r in model.unseen(new).collect()] == [("c", 3, 2)]
+
+
+def test_unseen_categories_can_be_refused(spark):
+    rows = [(i % 2, float(i % 3), float(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "y int, c double, x double")
+    clf = models.fit_classifier(df, models.decision_tree(), "y", ["c", "x"], max_categories=3,
+                                unseen="error")
+    with pytest.raises(Exception, match="invalid|unseen"):
+        clf.transform(df.withColumn("c", F.lit(8.0))).collect()
+
+
+def test_models_without_categories_have_nothing_unseen(spark):
+    df = _two_class(spark)
+    clf = models.fit_classifier(df, models.naive_bayes(1.0), "label", ["f0", "f1"])
+    assert clf.categories is None and clf.unseen(df).count() == 0

@@ -4,6 +4,7 @@ results are unpivoted from the single aggregate row, never computed per column."
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
@@ -63,6 +64,65 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         entries, "i int, j int, column_i string, column_j string, corr double")
 
 
+def pairwise_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """D7 with gaps: ``(i, j, column_i, column_j, n, corr)`` for all ordered pairs, each over
+    the ``n`` rows that have both columns; NULL, NaN and infinite values are gaps.
+
+    One pass: every task adds up masked Gram matrices (presence, values, squares, products)
+    of its Arrow batches and hands on one row per column; they are added after one small
+    shuffle of columns x columns numbers a task.  Values are shifted by rough medians (of
+    at most 1,000 rows) first, so that neither large means nor odd values elsewhere cost
+    digits; only a pair whose rows all lie far from the column's median, seen by their own
+    spread, loses some.  ``corr`` is NULL where fewer than two rows have both or one of the
+    columns is constant on them."""
+    d = len(cols)
+    numbers = df.select(F.transform(
+        F.array(*[F.col(f"`{c}`").cast("double") for c in cols]),
+        lambda x: F.coalesce(x, F.lit(float("nan")))).alias("x"))
+    x = [F.col("x")[i] for i in range(d)]
+    first = numbers.limit(1000).select(*[
+        F.median(F.when(F.abs(v) < float("inf"), v)).alias(f"m{i}") for i, v in enumerate(x)]).first()
+    shift = [float(m) if m is not None and math.isfinite(m) else 0.0 for m in first]
+
+    def gram(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros((4, d, d))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            there = np.isfinite(x)
+            x = np.where(there, x - np.array(shift), 0.0)
+            m = there.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        # of column i with every j: rows with both, and i's sums, squares and products there
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(d, dtype=np.int32))] + [
+                pa.array(list(t), pa.list_(pa.float64())) for t in total],
+            ["i", "n", "s", "q", "p"])
+
+    parts = numbers.mapInArrow(gram, "i int, n array<double>, s array<double>, "
+                                     "q array<double>, p array<double>")
+    pairs = parts.select("i", F.posexplode(F.arrays_zip("n", "s", "q", "p")).alias("j", "v"))
+    sums = pairs.groupBy("i", "j").agg(*[F.sum(f"v.{c}").alias(c) for c in "nsqp"])
+    # the other column's sums over the same rows stand at (j, i)
+    other = sums.select(F.col("j").alias("i"), F.col("i").alias("j"),
+                        F.col("s").alias("so"), F.col("q").alias("qo"))
+    both = sums.join(other, ["i", "j"])
+    n = F.col("n")
+    spread = (F.col("q") - F.col("s") * F.col("s") / n) * (
+        F.col("qo") - F.col("so") * F.col("so") / n)
+    # what rounding leaves of a constant column's spread is none
+    least = F.lit(1e-24) * F.col("q") * F.col("qo")
+    corr = F.when((n >= 2) & (spread > least), F.greatest(F.lit(-1.0), F.least(
+        F.lit(1.0), (F.col("p") - F.col("s") * F.col("so") / n) / F.sqrt(spread))))
+    names = F.array(*[F.lit(c) for c in cols])
+    return both.select("i", "j", names[F.col("i")].alias("column_i"),
+                       names[F.col("j")].alias("column_j"), n.cast("long").alias("n"),
+                       F.when(F.col("i") == F.col("j"), F.when(corr.isNotNull(), 1.0))
+                       .otherwise(corr).alias("corr"))
+
+
 def describe_numeric(df: DataFrame, cols: Sequence[str],
                      probs: Sequence[float] = (0.25, 0.5, 0.75),
                      exact: bool = True) -> DataFrame:

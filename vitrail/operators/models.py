@@ -3,11 +3,13 @@
 Labels of any value set (1..7, {1, 2}, strings) are indexed to 0..n-1 before the fit, and
 every classifier is one ``PipelineModel``
 
-    VectorAssembler -> [VectorIndexer] -> estimator -> IndexToString
+    VectorAssembler -> [VectorIndexer] -> estimator -> IndexToString -> LabelRestorer
 
 whose predictions come back in the original label space -- Spark's Naive Bayes would
-otherwise silently predict indices.  The label indexer is no stage of it: scoring needs no
-label, and rows whose label the training set lacks are scored like any other.  Training and
+otherwise silently predict indices.  The last stage knows the label, its type, the features
+and their order, so a saved model needs no explanation.  The label indexer is no stage of
+it: scoring needs no label, and rows whose label the training set lacks are scored like any
+other.  Categories that the training set lacks fall into an extra bucket of their feature.  Training and
 scoring run in the JVM; only fitted parameters (classes x features) reach the driver.
 """
 
@@ -16,8 +18,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
+from pyspark import StorageLevel, keyword_only
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -32,7 +34,10 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
     VectorIndexer,
+    VectorIndexerModel,
 )
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,12 +132,13 @@ def index_labels(df: DataFrame, label: str, order: str = "alphabetAsc",
 
 
 def index_features(df: DataFrame, feature_cols: Sequence[str], max_categories: int = 4,
-                   output: str = "indexed_features"):
+                   output: str = "indexed_features", unseen: str = "keep"):
     """``VectorIndexer`` over assembled features; a feature with at most
-    ``max_categories`` distinct values becomes categorical."""
+    ``max_categories`` distinct values becomes categorical.  A value that is in no map gets
+    the index after the last one (``unseen="keep"``), or raises (``"error"``)."""
     assembled = VectorAssembler(inputCols=list(feature_cols), outputCol=FEATURES).transform(df)
-    model = VectorIndexer(inputCol=FEATURES, outputCol=output,
-                          maxCategories=max_categories).fit(assembled)
+    model = VectorIndexer(inputCol=FEATURES, outputCol=output, maxCategories=max_categories,
+                          handleInvalid=unseen).fit(assembled)
     return model, assembled
 
 
@@ -143,39 +149,113 @@ def category_maps(model) -> list[tuple[int, float, int]]:
             for v, i in sorted(mapping.items())]
 
 
+def unseen_categories(df: DataFrame, model, feature_cols: Sequence[str]) -> DataFrame:
+    """``(feature, n, n_unseen)`` for every categorical feature of a fitted
+    ``VectorIndexerModel``: how many rows hold a value that its map lacks.  One aggregate;
+    NULL is no value.  The maps hold at most ``max_categories`` values each."""
+    maps = {feature_cols[int(f)]: [float(v) for v in m] for f, m in model.categoryMaps.items()}
+    names = [c for c in feature_cols if c in maps]
+    spark = df.sparkSession
+    if not names:
+        return spark.createDataFrame([], "feature string, n long, n_unseen long")
+    counts = df.agg(*[F.count(F.col(c)).alias(f"n_{i}") for i, c in enumerate(names)], *[
+        F.count_if(~F.col(c).cast("double").isin(maps[c])).alias(f"u_{i}")
+        for i, c in enumerate(names)])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"n_{i}").alias("n"),
+                              F.col(f"u_{i}").alias("n_unseen")) for i, c in enumerate(names)])
+    return counts.select(F.inline(rows))
+
+
+#: What :class:`LabelRestorer` writes; a reader refuses a higher number.
+MODEL_VERSION = 1
+
+
+class LabelRestorer(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Last stage of a pipeline: ``prediction`` in the type of the label (the index goes to
+    ``prediction_idx``), and what is needed to use the pipeline elsewhere: the label's name
+    and type, the features in their order, the version of this record."""
+
+    label = Param(Params._dummy(), "label", "name of the label", TypeConverters.toString)
+    labelType = Param(Params._dummy(), "labelType", "type of the label", TypeConverters.toString)
+    features = Param(Params._dummy(), "features", "features in order",
+                     TypeConverters.toListString)
+    version = Param(Params._dummy(), "version", "version of this record", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, label=None, labelType=None, features=None, version=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        kind = T.StructType.fromDDL(f"x {self.getOrDefault('labelType')}")["x"].dataType
+        return (df.withColumnRenamed("prediction", "prediction_idx")
+                  .withColumn("prediction", F.col(PREDICTED).cast(kind)).drop(PREDICTED))
+
+
 @dataclass
 class Classifier:
-    """A fitted classification pipeline and the names it reads / writes."""
+    """A fitted classification pipeline, which names what it reads."""
 
     model: PipelineModel
-    label: str
-    features: list[str]
-    label_type: T.DataType
+
+    def _stage(self, kind: type):
+        return next((s for s in self.model.stages if isinstance(s, kind)), None)
+
+    @property
+    def card(self) -> LabelRestorer:
+        return self.model.stages[-1]
+
+    @property
+    def label(self) -> str:
+        return self.card.getOrDefault("label")
+
+    @property
+    def features(self) -> list[str]:
+        return list(self.card.getOrDefault("features"))
+
+    @property
+    def label_type(self) -> T.DataType:
+        return T.StructType.fromDDL(f"x {self.card.getOrDefault('labelType')}")["x"].dataType
 
     @property
     def labels(self) -> list[str]:
-        return list(self.model.stages[-1].getLabels())
+        return list(self._stage(IndexToString).getLabels())
 
     @property
     def estimator_model(self):
-        return self.model.stages[-2]
+        return self.model.stages[-3]
+
+    @property
+    def categories(self):
+        """The fitted ``VectorIndexerModel`` where the pipeline has one."""
+        return self._stage(VectorIndexerModel)
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds ``prediction`` in the original label space (and ``prediction_idx``)."""
-        out = self.model.transform(df)
-        return (out.withColumnRenamed("prediction", "prediction_idx")
-                   .withColumn("prediction", F.col(PREDICTED).cast(self.label_type))
-                   .drop(PREDICTED))
+        return self.model.transform(df)
+
+    def unseen(self, df: DataFrame) -> DataFrame:
+        """``(feature, n, n_unseen)``: rows with categories the training set lacks."""
+        if self.categories is None:
+            return df.sparkSession.createDataFrame([], "feature string, n long, n_unseen long")
+        return unseen_categories(df, self.categories, self.features)
 
     def save(self, path: str) -> None:
-        """A16 sink: the whole pipeline (assembler, model, label map)."""
+        """A16 sink: the whole pipeline (assembler, category maps, model, label map, card)."""
         self.model.write().overwrite().save(path)
 
     @classmethod
-    def load(cls, path: str, label: str, features: Sequence[str],
-             label_type: T.DataType) -> Classifier:
-        """A16 source."""
-        return cls(PipelineModel.load(path), label, list(features), label_type)
+    def load(cls, path: str) -> Classifier:
+        """A16 source: the path alone.  Raises for pipelines that were not saved by
+        :meth:`save` and for those of a later version."""
+        model = PipelineModel.load(path)
+        card = model.stages[-1] if model.stages else None
+        if not isinstance(card, LabelRestorer):
+            raise ValueError(f"{path} holds no classifier with a description")
+        if card.getOrDefault("version") > MODEL_VERSION:
+            raise ValueError(f"{path} has version {card.getOrDefault('version')}, "
+                             f"this library reads up to {MODEL_VERSION}")
+        return cls(model)
 
 
 def fit_classifier(train: DataFrame, estimator, label: str, features: Sequence[str],
@@ -183,6 +263,7 @@ def fit_classifier(train: DataFrame, estimator, label: str, features: Sequence[s
                    max_categories: int | None = None,
                    label_order: str = "alphabetAsc",
                    invalid_features: str = "error",
+                   unseen: str = "keep",
                    storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Classifier:
     """fit ``assembler -> [vector indexer] -> estimator -> label map``.
 
@@ -193,6 +274,10 @@ def fit_classifier(train: DataFrame, estimator, label: str, features: Sequence[s
     raises by default (``invalid_features="error"``): ``"skip"`` would silently drop
     rows, also when scoring, so it has to be asked for.
 
+    With ``max_categories`` a value that the maps lack falls into the extra bucket of its
+    feature (``unseen="keep"``; :meth:`Classifier.unseen` counts them) or fails the scoring
+    (``"error"``); trees need ``maxBins`` of at least ``max_categories + 1`` for it.
+
     Label and features alone are read, and persisted (``storage_level``; ``DISK_ONLY``
     suits training sets far larger than executor memory) around an iterative fit; a fit
     of one pass (Naive Bayes) reads its input as it is."""
@@ -212,16 +297,19 @@ def fit_classifier(train: DataFrame, estimator, label: str, features: Sequence[s
         if max_categories is not None:
             feat_col = "indexed_features"
             stages.append(VectorIndexer(inputCol=FEATURES, outputCol=feat_col,
-                                        maxCategories=max_categories)
+                                        maxCategories=max_categories, handleInvalid=unseen)
                           .fit(assembler.transform(source)))
-        ready = indexer.transform(rows)
+        plain = isinstance(label_type, (T.NumericType, T.StringType))
+        ready = indexer.transform(rows if plain else rows.withColumn(
+            label, F.col(label).cast("string")))
         for stage in stages:
             ready = stage.transform(ready)
         fitted = estimator.copy().setLabelCol(LABEL_IDX).setFeaturesCol(feat_col).fit(
             ready.select(LABEL_IDX, feat_col))
         names = IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=indexer.labels)
-        return Classifier(PipelineModel([*stages, fitted, names]), label, list(features),
-                          label_type)
+        card = LabelRestorer(label=label, labelType=label_type.simpleString(),
+                             features=list(features), version=MODEL_VERSION)
+        return Classifier(PipelineModel([*stages, fitted, names, card]))
     finally:
         if iterative:
             rows.unpersist()

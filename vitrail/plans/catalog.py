@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vitrail.functions import text
 from vitrail.functions.numeric import round_sig, round_to
-from vitrail.operators import cluster, describe, graph, metrics, models, split
+from vitrail.operators import cluster, describe, graph, metrics, models, numbering, split
 from vitrail.session import cut_lineage, remove_path, scratch_path
 from vitrail.sources import delimited, points
 
@@ -53,6 +53,17 @@ def q_corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "column_i", "column_j", round_to("corr", 9).alias("corr"))
 
 
+def q_corr_pairwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D7 where three of four columns have gaps: every pair over the rows that have both."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") != 7, F.col("l_quantity")).alias("quantity"),
+        F.col("l_extendedprice").alias("price"),
+        F.when(F.col("l_orderkey") % 7 != 0, F.col("l_discount")).alias("discount"),
+        F.when(F.col("l_partkey") % 5 != 0, F.col("l_tax")).alias("tax"))
+    cm = describe.pairwise_correlation(li, li.columns)
+    return cm.select("i", "j", "column_i", "column_j", "n", round_to("corr", 9).alias("corr"))
+
+
 def q_describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     d = describe.describe_numeric(li, LINEITEM_FEATURES)
@@ -149,9 +160,9 @@ def q_ingest_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM {view} GROUP BY flag, year(ship_day)""")
 
 
-def q_ingest_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A7 + A9: values that their type cannot hold, counted by column.  A quantity of every
-    tenth order is text, the line number of every seventh is too large for its type."""
+def dirty_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(lines with a header, the header).  A quantity of every tenth order is text, the line
+    number of every seventh is too large for its type."""
     li = table(spark, sf_dir, "lineitem")
     key = F.col("l_orderkey")
     lines = li.select(F.concat_ws(
@@ -161,12 +172,33 @@ def q_ingest_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 3 == 0, F.lit("")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")),
     ).alias("value"))
     header = spark.createDataFrame([("key;line;quantity;day",)], "value string")
-    parsed = delimited.parse_lines(header.unionAll(lines), SEP, header_source=header)
-    row = delimited.profile(parsed, "lineitem", ["long", "bin", "number", "date"])
+    return header.unionAll(lines), header
+
+
+DIRTY_TYPES = ["long", "bin", "number", "date"]
+
+
+def q_ingest_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 + A9: values that their type cannot hold, counted by column."""
+    lines, header = dirty_lines(spark, sf_dir)
+    parsed = delimited.parse_lines(lines, SEP, header_source=header)
+    row = delimited.profile(parsed, "lineitem", DIRTY_TYPES)
     return row.select("n_rows", "n_malformed", F.explode("n_bad").alias("b")).select(
         F.col("b.column").alias("column"), F.col("b.n").alias("n_bad"), "n_rows", "n_malformed")
 
 
+def q_ingest_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + A7: examples of every fault: the dirty lines, of which each of order 11, 22, ...
+    has lost its last field, and a blank one."""
+    lines, header = dirty_lines(spark, sf_dir)
+    short = F.try_to_number(F.substring_index("value", SEP, 1), F.lit("999999999999")) % 11 == 0
+    lines = lines.select(F.when(short, F.substring_index("value", SEP, 3)).otherwise(
+        F.col("value")).alias("value"))
+    blank = spark.createDataFrame([("",), ("",)], "value string")
+    parsed = delimited.parse_lines(lines.unionAll(blank), SEP, header_source=header)
+    return delimited.fault_examples(parsed, DIRTY_TYPES, k=5)
+
+
 # Queries on files: a whole table is written as delimited text below the session's shared
 # folder and loaded the way users load theirs; the files go once the result is kept.
 
@@ -201,6 +233,21 @@ def q_ingest_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(names)), "position int, name string")
 
 
+def q_ingest_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: the lines of the ingest queries written as UTF-16, blank line included, have the
+    profile that they have as UTF-8."""
+    path = scratch_path(spark, "utf16")
+    raw = F.encode("value", "UTF-16LE").cast("string")  # its bytes, written as they are
+    lineitem_lines(spark, sf_dir).select(raw.alias("value")).write.option(
+        "encoding", "UTF-16LE").option("lineSep", "\n").text(path)
+    lines = delimited.read_lines(spark, path, "UTF-16LE")
+    header = spark.createDataFrame([(SEP.join(INGEST_NAMES),)], "value string")
+    found = cut_lineage(delimited.profile(
+        delimited.parse_lines(lines, SEP, header_source=header), "lineitem"))
+    remove_path(spark, path)
+    return found
+
+
 POINT_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                  "l_discount", "l_tax", "l_returnflag", "l_linenumber"]
 
@@ -246,6 +293,48 @@ def q_libsvm_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def q_libsvm_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines as libsvm text, of which some orders are spoiled in one way each; what
+    was wrong is counted, and the good lines' values are added up from their vectors."""
+    li, key = table(spark, sf_dir, "lineitem"), F.col("l_orderkey") % 20
+    q, d, t = (F.col(c).cast("string") for c in ("l_quantity", "l_discount", "l_tax"))
+    label = F.when(key == 1, F.lit("one")).otherwise(F.col("l_linenumber").cast("string"))
+    first = F.when(key == 2, F.lit("0:")).when(key == 3, F.lit("4:")).otherwise(F.lit("1:"))
+    third = F.when(key == 4, F.lit("2:")).otherwise(F.lit("3:"))
+    lines = li.select(F.concat(
+        label, F.lit(" "), first, q, F.lit(" 2:"), F.when(key == 5, F.lit("x")).otherwise(d),
+        F.lit("  "), third, t, F.when(key == 6, F.lit(" # of order six")).otherwise(F.lit(""))
+    ).alias("value")).unionAll(spark.createDataFrame([("",), ("# no point",)], "value string"))
+    counts = points.libsvm_profile(points.tag_libsvm(lines)).first()  # one row
+    good = points.parse_libsvm(lines).select("label", vector_to_array("features").alias("x"))
+    return good.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), *[round_sig(F.sum(F.col("x")[i])).alias(f"x{i}")
+                                        for i in range(3)]).select("*", *[
+            F.lit(counts[f"n_{f}"]).alias(f"n_{f}") for f in points.LIBSVM_FAULTS])
+
+
+def q_zip_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels and predictions written apart, in files of different number and size, are
+    paired line by line and tabled."""
+    li = table(spark, sf_dir, "lineitem")
+    keys = [F.col(c) for c in SPLIT_COLUMNS]
+    scored = li.select(*SPLIT_COLUMNS, F.col("l_linenumber").cast("string").alias("label"),
+                       (F.floor((F.col("l_quantity") - 1) / 10) + 1).cast("string").alias("p"))
+    paths = [scratch_path(spark, "zip"), scratch_path(spark, "zip")]
+    for path, column, files in zip(paths, ("label", "p"), (5, 3)):
+        scored.repartitionByRange(files, *keys).sortWithinPartitions(*keys).select(
+            F.col(column).alias("value")).write.text(path)
+    labels, found = (numbering.file_order(spark.read.text(p)) for p in paths)
+    paired = numbering.pair_rows(labels.withColumnRenamed("value", "label"),
+                                 found.withColumnRenamed("value", "prediction"))
+    out = cut_lineage(metrics.confusion_matrix(paired.select(
+        F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias(
+            "prediction"))))
+    for path in paths:
+        remove_path(spark, path)
+    return out
+
+
 # --------------------------------------------------------------------------- splits
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
@@ -528,6 +617,20 @@ def q_rf_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(clf, test, "band", 0.6)
 
 
+def q_gbt_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """line numbers above 4 are categories that the training set lacks; by line
+    number, all rows are scored, and those with a new number are counted as such."""
+    data = banded(spark, sf_dir)
+    clf = models.fit_classifier(data.where("l_linenumber <= 4"),
+                                models.gradient_boosted_trees(10, seed=11), "big",
+                                SMALL_FEATURES, max_categories=8)
+    scored = clf.transform(data).groupBy("l_linenumber").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isin(0, 1)).alias("n_scored"),
+        (F.avg((F.col("big") != F.col("prediction")).cast("double")) <= 0.05).alias("error_holds"))
+    unseen = {r["feature"]: r["n_unseen"] for r in clf.unseen(data).collect()}
+    return scored.withColumn("n_unseen", F.lit(unseen["l_linenumber"]).cast("long"))
+
+
 def q_rf_one_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A forest of one whole tree over all rows and features is the decision tree."""
     data = banded(spark, sf_dir)
@@ -592,7 +695,7 @@ def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     clf = models.fit_classifier(data, models.logistic_lbfgs(), "big", SMALL_FEATURES)
     path = scratch_path(spark, "model")
     clf.save(path)
-    loaded = models.Classifier.load(path, "big", SMALL_FEATURES, clf.label_type)
+    loaded = models.Classifier.load(path)
     remove_path(spark, path)
     # score with both models in one pass: the line key is not unique, so no join
     first = clf.transform(data).select(*data.columns, F.col("prediction").alias("p1"))
@@ -623,6 +726,15 @@ def q_assign_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assigned.select("vec_id", "label", "cluster", round_to("distance", 6).alias("distance"))
 
 
+def q_assign_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2/H2 with many centres: the means of 97 groups of vectors."""
+    emb = _embeddings(spark, sf_dir).withColumn("g", F.pmod("vec_id", F.lit(97)).cast("int"))
+    centres = cluster.centres_by_label(emb, "g")
+    assigned = cluster.assign_nearest(emb, "embedding", [c for _, c in centres],
+                                      [int(g) for g, _ in centres])
+    return assigned.select("vec_id", "cluster", round_to("distance", 6).alias("distance"))
+
+
 def q_wssse(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned, _ = _assigned(spark, sf_dir)
     s = cluster.distance_sums(assigned)
@@ -670,22 +782,36 @@ def q_gmm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = sum(w for _, w, _, _ in found)
     even = all(abs(c[i][j] - c[j][i]) <= 1e-9 * (1 + abs(c[i][j]))
                for _, _, _, c in found for i in range(len(c)) for j in range(len(c)))
-    return data.agg(F.round(F.count(F.lit(1)) * F.lit(total)).cast("bigint").alias("n")).select(
-        "n", F.lit(len(found)).alias("k"), F.lit(len(found[0][2])).alias("d"),
-        F.lit(even).alias("symmetric"))
+    li = table(spark, sf_dir, "lineitem")
+    ends = li.agg(F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{f.__name__}{j}") for f in (
+        F.min, F.max) for j, c in enumerate(LINEITEM_FEATURES)])
+    within = F.lit(True)
+    for _, _, mean, _ in found:
+        for j, m in enumerate(mean):
+            slack = 1e-9 * (1 + abs(m))
+            within = within & F.lit(float(m)).between(F.col(f"min{j}") - slack,
+                                                      F.col(f"max{j}") + slack)
+    return ends.select(F.round(F.col("rows") * F.lit(total)).cast("bigint").alias("n"),
+                       F.lit(len(found)).alias("k"), F.lit(len(found[0][2])).alias("d"),
+                       F.lit(even).alias("symmetric"), within.alias("means_within"))
 
 
 def q_gmm_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H4: the mixture's mean and covariance are those of the data.  The means are given as
+    their relative distance from the columns' means, which no rounding of a digit can move."""
     model = cluster.gaussian_mixture(_gmm_points(spark, sf_dir), k=6, seed=7)
     mean, cov = cluster.mixture_moments(model)
     dims = len(LINEITEM_FEATURES)
-    rows = [(i, j, float(mean[i]), float(cov[i][j])) for i in range(dims) for j in range(dims)]
-    df = spark.createDataFrame(rows, "i int, j int, mean_i double, cov_ij double")
+    average = table(spark, sf_dir, "lineitem").agg(*[
+        F.avg(c).alias(f"a{i}") for i, c in enumerate(LINEITEM_FEATURES)]).first()
+    rows = [(i, j, abs(float(mean[i]) / average[f"a{i}"] - 1), float(cov[i][j]))
+            for i in range(dims) for j in range(dims)]
+    df = spark.createDataFrame(rows, "i int, j int, mean_off double, cov_ij double")
     # a covariance of independent columns is near 0; compare it on the scale of both columns
     scale = {(r[0], r[1]): (cov[r[0]][r[0]] * cov[r[1]][r[1]]) ** 0.5 for r in rows}
     scaled = F.create_map(*[x for (i, j), v in scale.items() for x in (
         F.lit(i * dims + j), F.lit(float(v)))])
-    return df.select("i", "j", round_sig("mean_i", 4).alias("mean_i"), round_to(
+    return df.select("i", "j", round_to("mean_off", 6).alias("mean_off"), round_to(
         F.col("cov_ij") / scaled[F.col("i") * dims + F.col("j")], 4).alias("cov_ij"))
 
 
@@ -769,11 +895,14 @@ def registry() -> dict[str, Query]:
         "class_distribution": q_class_distribution,
         "col_stats": q_col_stats,
         "corr_matrix": q_corr_matrix,
+        "corr_pairwise": q_corr_pairwise,
         "describe_numeric": q_describe_numeric,
         "ingest_delimited": q_ingest_delimited,
         "ingest_file": q_ingest_file,
         "ingest_header": q_ingest_header,
         "ingest_dirty": q_ingest_dirty,
+        "ingest_examples": q_ingest_examples,
+        "ingest_charset": q_ingest_charset,
         "ingest_malformed": q_ingest_malformed,
         "ingest_profile": q_ingest_profile,
         "ingest_typed": q_ingest_typed,
@@ -783,6 +912,8 @@ def registry() -> dict[str, Query]:
         "parse_points_semicolon": q_parse_points_semicolon,
         "strip_accents": q_strip_accents,
         "libsvm_roundtrip": q_libsvm_roundtrip,
+        "libsvm_dirty": q_libsvm_dirty,
+        "zip_predictions": q_zip_predictions,
         "hash_split": q_hash_split,
         "random_split": q_random_split,
         "sample_rows": q_sample_rows,
@@ -807,6 +938,7 @@ def registry() -> dict[str, Query]:
         "dt_exact": q_dt_exact,
         "gbt_classify": q_gbt_classify,
         "gbt_stump": q_gbt_stump,
+        "gbt_unseen": q_gbt_unseen,
         "rf_classify": q_rf_classify,
         "rf_one_tree": q_rf_one_tree,
         "mlp_classify": q_mlp_classify,
@@ -814,6 +946,7 @@ def registry() -> dict[str, Query]:
         "svm_linear": q_svm_linear,
         "model_roundtrip": q_model_roundtrip,
         "assign_nearest_centroid": q_assign_nearest_centroid,
+        "assign_many": q_assign_many,
         "wssse": q_wssse,
         "cluster_label_counts": q_cluster_label_counts,
         "cluster_crosstab": q_cluster_crosstab,

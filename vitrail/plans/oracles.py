@@ -46,6 +46,18 @@ def _corr_matrix() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _corr_pairwise() -> str:
+    cols = {"quantity": "CASE WHEN l_linenumber <> 7 THEN l_quantity END",
+            "price": "l_extendedprice",
+            "discount": "CASE WHEN l_orderkey % 7 <> 0 THEN l_discount END",
+            "tax": "CASE WHEN l_partkey % 5 <> 0 THEN l_tax END"}
+    return " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS i, CAST({j} AS INTEGER) AS j, '{a}' AS column_i, "
+        f"'{b}' AS column_j, count(*) FILTER ({x} IS NOT NULL AND {y} IS NOT NULL) AS n, "
+        f"round(corr({x}, {y}), 9) AS corr FROM lineitem"
+        for i, (a, x) in enumerate(cols.items()) for j, (b, y) in enumerate(cols.items()))
+
+
 DESCRIBE_NUMERIC = f"""
 SELECT CAST(idx AS INTEGER) AS idx, feature, count(v) AS count, {sig('avg(v)')} AS mean,
        {sig('stddev_samp(v)')} AS std, min(v) AS min,
@@ -88,6 +100,27 @@ UNION ALL SELECT 'quantity', quantity, n, 0 FROM c
 UNION ALL SELECT 'day', 0, n, 0 FROM c
 """
 
+DIRTY = """(SELECT l_orderkey AS key, CAST(l_orderkey AS VARCHAR) || ';' ||
+  CASE WHEN l_orderkey % 7 = 0 THEN '3000000000' ELSE CAST(l_linenumber AS VARCHAR) END || ';' ||
+  CASE WHEN l_orderkey % 10 = 0 THEN 'n/a' ELSE CAST(l_quantity AS VARCHAR) END AS three,
+  CASE WHEN l_orderkey % 3 = 0 THEN '' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS day
+  FROM lineitem)"""
+
+INGEST_EXAMPLES = f"""
+WITH faults AS (
+  SELECT CAST(NULL AS VARCHAR) AS "column", 'width' AS fault, three AS line FROM {DIRTY}
+  WHERE key % 11 = 0
+  UNION ALL SELECT NULL, 'blank', '' FROM range(2)
+  UNION ALL SELECT 'line', 'type', three || ';' || day FROM {DIRTY}
+  WHERE key % 11 <> 0 AND key % 7 = 0
+  UNION ALL SELECT 'quantity', 'type', three || ';' || day FROM {DIRTY}
+  WHERE key % 11 <> 0 AND key % 10 = 0),
+counted AS (SELECT "column", fault, line, count(*) AS n FROM faults GROUP BY ALL)
+SELECT "column", fault, CAST(row_number() OVER (PARTITION BY "column", fault ORDER BY md5(line))
+       AS INTEGER) AS rank, line, n
+FROM counted QUALIFY row_number() OVER (PARTITION BY "column", fault ORDER BY md5(line)) <= 5
+"""
+
 INGEST_MALFORMED = f"""
 SELECT l_orderkey, l_linenumber FROM lineitem WHERE {SPOILED}
 UNION ALL SELECT CAST(NULL AS BIGINT), CAST(NULL AS INTEGER)
@@ -136,6 +169,18 @@ FROM documents
 
 LIBSVM_ROUNDTRIP = PARSE_POINTS
 
+LIBSVM_DIRTY = f"""
+WITH c AS (SELECT {", ".join(f"CAST(count(*) FILTER (l_orderkey % 20 = {k}) AS BIGINT) AS n_{f}"
+                             for f, k in (("label", 1), ("token", 5), ("index", 2),
+                                          ("repeat", 4), ("order", 3)))} FROM lineitem)
+SELECT CAST(l_linenumber AS DOUBLE) AS label, count(*) AS n, {sig('sum(l_quantity)')} AS x0,
+       {sig('sum(l_discount)')} AS x1, {sig('sum(l_tax)')} AS x2,
+       any_value(n_label) AS n_label, any_value(n_token) AS n_token,
+       any_value(n_index) AS n_index, any_value(n_repeat) AS n_repeat,
+       any_value(n_order) AS n_order
+FROM lineitem, c WHERE l_orderkey % 20 NOT BETWEEN 1 AND 5 GROUP BY l_linenumber
+"""
+
 # ------------------------------------------------------------------ splits
 HASH_U = ("(CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8)) AS BIGINT)"
           " / 4294967296.0)")
@@ -378,6 +423,11 @@ BAND, BIG, TERCILE = ("floor((l_quantity - 1) / 10)", "(l_quantity > 25)",
                       "floor((l_quantity - 1) / 17)")
 DT_CLASSIFY = _judged(BAND, f"{HASH_U} >= 0.6")
 GBT_CLASSIFY = _judged(BIG, f"{HASH_U} >= 0.7")
+GBT_UNSEEN = """
+SELECT l_linenumber, count(*) AS n, count(*) AS n_scored, true AS error_holds,
+       (SELECT count(*) FROM lineitem WHERE l_linenumber > 4) AS n_unseen
+FROM lineitem GROUP BY l_linenumber"""
+
 RF_CLASSIFY = _judged(BAND, f"{HASH_U} >= 0.7")
 MLP_CLASSIFY = _judged(TERCILE, f"{HASH_U} >= 0.6")
 SVM_LINEAR = _judged("(l_quantity > l_discount * 500)", "true")
@@ -433,6 +483,12 @@ ASSIGN_NEAREST_CENTROID = f"""
 SELECT vec_id, label, cluster, round(distance, 6) AS distance FROM {ASSIGNED}
 """
 
+ASSIGN_MANY = f"""
+WITH embeddings AS (SELECT vec_id, CAST(vec_id % 97 AS INTEGER) AS label, embedding
+                    FROM embeddings)
+SELECT vec_id, cluster, round(distance, 6) AS distance FROM {ASSIGNED}
+"""
+
 WSSSE = f"""
 SELECT count(*) AS n, {sig('sum(distance)')} AS sum_distance,
        {sig('sum(distance * distance)')} AS sum_sq_distance
@@ -460,7 +516,8 @@ FROM embeddings
 """
 
 GMM_FIT = """
-SELECT count(*) AS n, CAST(6 AS INTEGER) AS k, CAST(4 AS INTEGER) AS d, true AS symmetric
+SELECT count(*) AS n, CAST(6 AS INTEGER) AS k, CAST(4 AS INTEGER) AS d, true AS symmetric,
+       true AS means_within
 FROM lineitem
 """
 
@@ -469,7 +526,7 @@ def _gmm_moments() -> str:
     cols = LINEITEM_FEATURES
     return " UNION ALL ".join(
         f"SELECT CAST({i} AS INTEGER) AS i, CAST({j} AS INTEGER) AS j, "
-        f"{sig(f'avg({a})', 4)} AS mean_i, round(covar_pop({a}, {b}) "
+        f"CAST(0 AS DOUBLE) AS mean_off, round(covar_pop({a}, {b}) "
         f"/ (stddev_pop({a}) * stddev_pop({b})), 4) AS cov_ij FROM lineitem"
         for i, a in enumerate(cols) for j, b in enumerate(cols))
 
@@ -508,11 +565,14 @@ def registry() -> dict[str, str]:
         "class_distribution": CLASS_DISTRIBUTION,
         "col_stats": COL_STATS,
         "corr_matrix": _corr_matrix(),
+        "corr_pairwise": _corr_pairwise(),
         "describe_numeric": DESCRIBE_NUMERIC,
         "ingest_delimited": INGEST_DELIMITED,
         "ingest_file": INGEST_FILE,
         "ingest_header": INGEST_HEADER,
         "ingest_dirty": INGEST_DIRTY,
+        "ingest_examples": INGEST_EXAMPLES,
+        "ingest_charset": INGEST_PROFILE,
         "ingest_malformed": INGEST_MALFORMED,
         "ingest_profile": INGEST_PROFILE,
         "ingest_typed": INGEST_TYPED,
@@ -522,6 +582,8 @@ def registry() -> dict[str, str]:
         "parse_points_semicolon": PARSE_POINTS_SEMICOLON,
         "strip_accents": STRIP_ACCENTS,
         "libsvm_roundtrip": LIBSVM_ROUNDTRIP,
+        "libsvm_dirty": LIBSVM_DIRTY,
+        "zip_predictions": CONFUSION,
         "hash_split": HASH_SPLIT,
         "random_split": RANDOM_SPLIT,
         "sample_rows": SAMPLE_ROWS,
@@ -545,6 +607,7 @@ def registry() -> dict[str, str]:
         "dt_exact": DT_EXACT,
         "gbt_classify": GBT_CLASSIFY,
         "gbt_stump": GBT_STUMP,
+        "gbt_unseen": GBT_UNSEEN,
         "rf_classify": RF_CLASSIFY,
         "rf_one_tree": ALL_SAME,
         "mlp_classify": MLP_CLASSIFY,
@@ -553,6 +616,7 @@ def registry() -> dict[str, str]:
         "model_roundtrip": MODEL_ROUNDTRIP,
         "lr_saturated": LR_SATURATED,
         "assign_nearest_centroid": ASSIGN_NEAREST_CENTROID,
+        "assign_many": ASSIGN_MANY,
         "wssse": WSSSE,
         "cluster_label_counts": CLUSTER_LABEL_COUNTS,
         "cluster_crosstab": _crosstab(range(10)),

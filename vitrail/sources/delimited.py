@@ -21,7 +21,8 @@ import codecs
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,25 +45,79 @@ TYPE_WORDS: dict[str, T.DataType] = {
 WIDE_WORDS: dict[str, T.DataType] = {"long": T.LongType(), "double": T.DoubleType()}
 
 
+# Charsets of several bytes per character in which a line feed is one byte
+# that is part of no other character, and those in which it is as wide as all others.
+MULTI_BYTE = ("shift_jis", "shift_jis_2004", "cp932", "euc_jp", "euc_kr", "cp949", "gb2312",
+              "gbk", "gb18030", "big5", "big5hkscs")
+WIDE = {"utf-16-le": "UTF-16LE", "utf-16-be": "UTF-16BE",
+        "utf-32-le": "UTF-32LE", "utf-32-be": "UTF-32BE"}
+
+
 def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8",
                partitions: int | None = None) -> DataFrame:
     """A1: one row per line, column ``value``, blank lines included.  Splits follow
     ``maxPartitionBytes``; ``partitions`` deals the lines anew, for small inputs that one
     split would leave to one task.
 
-    The text source hands on the bytes of a line.  They are UTF-8, or, in a charset of one
+    The text source hands on the bytes of a line.  They are UTF-8; or, in a charset of one
     byte per character, read as ISO-8859-1 and then put right by a table of the 128 upper
-    characters derived from the codec."""
-    lines = spark.read.text(path if isinstance(path, str) else list(path))
+    characters derived from the codec; or, in a charset of ``MULTI_BYTE`` or ``WIDE``,
+    decoded by the codec, batch by batch.  Bytes that are no character become U+FFFD.
+    Wide files are split at line feeds of their width; ``UTF-16`` and ``UTF-32`` take the
+    byte order from the mark that opens the first file.  A line of a wide file whose bytes
+    don't make whole characters fails the job: its separator lay across two characters.
+    Charsets with shift states raise."""
+    paths = path if isinstance(path, str) else list(path)
+    name = codecs.lookup(encoding).name
+    if name in ("utf-16", "utf-32"):
+        name = _byte_order(spark, paths, name)
+    reader = spark.read
+    if name in WIDE:
+        reader = reader.option("encoding", WIDE[name]).option("lineSep", "\n")
+    lines = reader.text(paths)
     if partitions is not None:
         lines = lines.repartition(partitions)
-    if codecs.lookup(encoding).name == "utf-8":
+    if name == "utf-8":
         return lines
+    if name in WIDE or name in MULTI_BYTE:
+        raw = F.col("value").cast("binary")
+        if name in WIDE:
+            width = 2 if "16" in name else 4
+            raw = F.when(F.octet_length(raw) % width == 0, raw).otherwise(F.raise_error(F.lit(
+                f"a line feed of {WIDE[name]} across two characters")).cast("binary"))
+        return lines.select(_decoder(name)(raw).alias("value"))
     wrong, right = _upper_characters(encoding)
     latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     return lines.select((F.translate(latin, wrong, right) if wrong else latin).alias("value"))
 
 
+def _decoder(name: str):
+    """An Arrow function from the bytes of lines to text, without a carriage return at the
+    end."""
+
+    @F.arrow_udf("string")
+    def decode(raw: pa.Array) -> pa.Array:
+        return pa.array([None if b is None else b.decode(name, "replace").removesuffix("\r")
+                         for b in raw.to_pylist()], pa.string())
+
+    return decode
+
+
+def _byte_order(spark: SparkSession, paths: str | list[str], name: str) -> str:
+    """``utf-16`` or ``utf-32`` with the byte order of the mark that opens the first file."""
+    first = spark.read.format("binaryFile").load(paths).agg(F.min("path")).first()[0]
+    row = None if first is None else spark.read.text(first).select(
+        F.substring(F.col("value").cast("binary"), 1, 4).alias("b")).limit(1).first()
+    opens = b"" if row is None else bytes(row["b"])
+    little, big = {"utf-16": (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE),
+                   "utf-32": (codecs.BOM_UTF32_LE, codecs.BOM_UTF32_BE)}[name]
+    if opens.startswith(little):
+        return f"{name}-le"
+    if opens.startswith(big) or not opens:
+        return f"{name}-be"
+    raise ValueError(f"{first} opens with no byte order mark: say {name}le or {name}be")
+
+
 def _upper_characters(encoding: str) -> tuple[str, str]:
     """(as ISO-8859-1, as ``encoding``) for the bytes that differ; raises for charsets that
     do not extend ASCII by one byte per character."""
@@ -234,6 +289,32 @@ def profile(parsed: Parsed, name: str,
     return parsed.rows.agg(*counts)
 
 
+def fault_examples(parsed: Parsed, types: Sequence[str] | Mapping[str, str] | None = None,
+                   k: int = 5) -> DataFrame:
+    """A6 + A7: ``(column, fault, rank, line, n)``: for every kind of fault up to ``k``
+    different lines that show it, each with its number of copies.
+
+    Faults are ``blank`` and ``width`` (column NULL) and, per column, ``type``: a value that
+    the declared type cannot hold, in a line of the right width.  The lines are those with
+    the smallest MD5, so any partitioning or engine names the same.  Copies of a line are
+    counted map-side, and a task hands on ``k`` lines of each kind at most to the last step."""
+    wide = F.when(F.length("value") == 0, "blank").otherwise("width")
+    faults = [F.when(F.col(MALFORMED), F.struct(F.lit(None).cast("string").alias("column"),
+                                                wide.alias("fault")))]
+    for i, field in enumerate(_typed_fields(parsed.names, types)):
+        plain = strip_quotes(F.col(f"_c{i}"))
+        failed = ~F.col(MALFORMED) & plain.isNotNull() & plain.try_cast(field.dataType).isNull()
+        faults.append(F.when(failed, F.struct(F.lit(field.name).alias("column"),
+                                              F.lit("type").alias("fault"))))
+    shown = parsed.rows.select("value", F.explode(F.filter(
+        F.array(*faults), lambda f: f.isNotNull())).alias("f"))
+    lines = shown.groupBy("f.column", "f.fault", F.col("value").alias("line")).agg(
+        F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("column", "fault").orderBy(F.md5("line"))
+    return lines.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+        "column", "fault", "rank", "line", "n")
+
+
 def _typed_fields(names: Sequence[str],
                   types: Sequence[str] | Mapping[str, str] | None) -> list[T.StructField]:
     if types is None:

@@ -12,8 +12,12 @@ import re
 from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vitrail.sources.delimited import first_file_lines, read_lines
 
 
 def _tokens(sep: str):
@@ -23,18 +27,51 @@ def _tokens(sep: str):
 BAD = "_bad"
 
 
+def first_point_line(lines: DataFrame) -> str | None:
+    """The first line that is not blank, in the order of the frame's partitions: right for
+    one file or a frame put in order.  For several files Spark orders splits by size; give
+    ``header_source=delimited.first_file_lines(...)`` then."""
+    row = lines.where(F.length(F.trim("value")) > 0).select("value").limit(1).first()
+    return None if row is None else row["value"]
+
+
+def _is_number_line(line: str, sep: str) -> bool:
+    try:
+        for token in re.split(re.escape(sep) if sep != " " else " +", line.strip()):
+            float(token)
+    except ValueError:
+        return False
+    return True
+
+
+def _common_width(lines: DataFrame, sep: str) -> int:
+    """The most frequent number of fields among lines that are not blank, the larger of
+    equals; 0 without lines.  One map-side combined aggregate."""
+    widths = lines.where(F.length(F.trim("value")) > 0).groupBy(
+        F.size(_tokens(sep)).alias("w")).count().orderBy(F.desc("count"), F.desc("w"))
+    row = widths.limit(1).first()
+    return 0 if row is None else row["w"]
+
+
 def tag_labeled_points(lines: DataFrame, sep: str = " ", label_index: int = 0,
                        feature_indices: Sequence[int] | None = None,
-                       width: int | None = None, drop_header: bool = False) -> DataFrame:
+                       width: int | None = None, drop_header: bool = False,
+                       header_source: DataFrame | None = None) -> DataFrame:
     """``value, label double, features array<double>, _bad`` for every line that
-    is not blank.  A line is bad when a field is no number or the width is not ``width``
-    (by default that of the first line; one small job reads it)."""
+    is not blank.  A line is bad when a field is no number or the width is not ``width``,
+    by default the most frequent one (one small aggregate), so that a short or odd first
+    line spoils nothing.
+
+    ``drop_header`` drops every line equal to the first line of ``header_source`` (by
+    default of ``lines``), unless that line is all numbers: then no file has a header and
+    the line is data."""
     lines = lines.where(F.length(F.trim("value")) > 0)
-    first = lines.select("value").limit(1).select("value", F.size(_tokens(sep)).alias("n")).first()
-    if drop_header and first is not None:
-        lines = lines.where(F.col("value") != F.lit(first["value"]))
+    if drop_header:
+        first = first_point_line(header_source if header_source is not None else lines)
+        if first is not None and not _is_number_line(first, sep):
+            lines = lines.where(F.col("value") != F.lit(first))
     if width is None:
-        width = first["n"] if first is not None else 0
+        width = _common_width(lines, sep)
     parts = _tokens(sep)
     numbers = F.transform(parts, lambda x: x.try_cast("double"))
     wanted = list(feature_indices) if feature_indices is not None else [
@@ -48,13 +85,15 @@ def tag_labeled_points(lines: DataFrame, sep: str = " ", label_index: int = 0,
 def parse_labeled_points(lines: DataFrame, sep: str = " ", label_index: int = 0,
                          feature_indices: Sequence[int] | None = None,
                          as_vector: bool = True, drop_header: bool = False,
-                         width: int | None = None) -> DataFrame:
+                         width: int | None = None,
+                         header_source: DataFrame | None = None) -> DataFrame:
     """Lines of numbers -> ``label double, features``.
 
     ``feature_indices=None`` takes every field except the label, in order (A12: label
     first; A13: label at index 8, features 0..7).  Blank and bad lines are left out;
     :func:`tag_labeled_points` shows them and :func:`points_profile` counts them."""
-    tagged = tag_labeled_points(lines, sep, label_index, feature_indices, width, drop_header)
+    tagged = tag_labeled_points(lines, sep, label_index, feature_indices, width, drop_header,
+                                header_source)
     out = tagged.where(~F.col(BAD)).select("label", "features")
     if as_vector:
         # bad lines reach the vector builder too if their filter runs after it
@@ -63,6 +102,16 @@ def parse_labeled_points(lines: DataFrame, sep: str = " ", label_index: int = 0,
     return out
 
 
+def load_labeled_points(spark: SparkSession, path: str | Sequence[str], sep: str = " ",
+                        label_index: int = 0, feature_indices: Sequence[int] | None = None,
+                        as_vector: bool = True, drop_header: bool = False,
+                        width: int | None = None, encoding: str = "UTF-8") -> DataFrame:
+    """A12 / A13 on file(s), of which the first in path order, or all, may have a header."""
+    first = first_file_lines(spark, path, encoding) if drop_header else None
+    return parse_labeled_points(read_lines(spark, path, encoding), sep, label_index,
+                                feature_indices, as_vector, drop_header, width, first)
+
+
 def points_profile(tagged: DataFrame) -> DataFrame:
     """``(n_rows, n_bad)`` of tagged points or edges."""
     return tagged.agg(F.count_if(~F.col(BAD)).alias("n_rows"), F.count_if(BAD).alias("n_bad"))
@@ -85,6 +134,68 @@ def parse_edges(lines: DataFrame, sep: str = " ") -> DataFrame:
     return tag_edges(lines, sep).where(~F.col(BAD)).select("src", "dst", "weight")
 
 
+# What can be wrong with a libsvm line, in the order in which it is looked for (fixed values).
+LIBSVM_FAULTS = ("label", "token", "index", "repeat", "order")
+
+
+def tag_libsvm(lines: DataFrame, num_features: int | None = None) -> DataFrame:
+    """``value, label double, indices array<int> (from 0), values array<double>, fault``
+    for every line that is neither blank nor a comment (``#`` to the end of the line).
+
+    ``fault`` is NULL for a good line, else the first of: ``label`` is no number; a ``token``
+    is not ``index:value`` with a whole number and a number; an ``index`` is below 1 or above
+    ``num_features``; a ``repeat``ed index; indices out of ``order``.  One narrow projection;
+    the line is split once, behind a generate."""
+    body = F.trim(F.regexp_replace("value", r"#.*$", ""))
+    parts = F.split(body, r"\s+")
+    pairs = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda t: F.struct(
+        F.substring_index(t, ":", 1).try_cast("int").alias("i"),
+        F.when(t.contains(":"), F.substring_index(t, ":", -1).try_cast("double")).alias("v"),
+        (F.size(F.split(t, ":")) == 2).alias("two")))
+    split = lines.select(F.inline(F.array(F.struct(
+        F.col("value"), F.length(body).alias("_n"),
+        F.get(parts, F.lit(0)).try_cast("double").alias("label"), pairs.alias("_p")))))
+    split = split.where("_n > 0")
+    at = F.transform("_p", lambda p: p["i"])
+    top = F.lit(num_features if num_features is not None else (1 << 31) - 1)
+    rising = F.zip_with(F.slice(at, 1, F.greatest(F.size(at) - 1, F.lit(0))),
+                        F.slice(at, 2, F.greatest(F.size(at) - 1, F.lit(0))), lambda a, b: a < b)
+    fault = (F.when(F.col("label").isNull(), "label")
+             .when(F.exists("_p", lambda p: ~p["two"] | p["i"].isNull() | p["v"].isNull()), "token")
+             .when(F.exists(at, lambda i: (i < 1) | (i > top)), "index")
+             .when(F.size(F.array_distinct(at)) < F.size(at), "repeat")
+             .when(F.exists(rising, lambda x: ~x), "order"))
+    return split.select("value", "label", F.transform(at, lambda i: i - 1).alias("indices"),
+                        F.transform("_p", lambda p: p["v"]).alias("values"),
+                        fault.alias("fault"))
+
+
+def libsvm_profile(tagged: DataFrame) -> DataFrame:
+    """``(n_rows, n_label, n_token, n_index, n_repeat, n_order)``: good lines and those with
+    each fault, from one aggregate."""
+    return tagged.agg(F.count_if(F.col("fault").isNull()).alias("n_rows"), *[
+        F.count_if(F.col("fault") == f).alias(f"n_{f}") for f in LIBSVM_FAULTS])
+
+
+def sparse_vector(indices: Column, values: Column, size: int) -> Column:
+    """A sparse ML vector from its indices (ascending, from 0) and values.  The type can't be
+    cast to, but read: the vector goes through its JSON form, in the JVM."""
+    kind = T.StructType([T.StructField("v", VectorUDT())])
+    form = F.struct(F.struct(F.lit(0).alias("type"), F.lit(int(size)).alias("size"),
+                             indices.alias("indices"), values.alias("values")).alias("v"))
+    return F.from_json(F.to_json(form), kind)["v"]
+
+
+def parse_libsvm(lines: DataFrame, num_features: int | None = None) -> DataFrame:
+    """The good lines as ``label double, features vector`` (sparse).  Without
+    ``num_features`` it is the largest index of a good line (one aggregate)."""
+    good = tag_libsvm(lines, num_features).where(F.col("fault").isNull())
+    if num_features is None:
+        num_features = (good.agg(F.max(F.array_max("indices"))).first()[0] or -1) + 1
+    return good.select("label", sparse_vector(F.col("indices"), F.col("values"),
+                                              num_features).alias("features"))
+
+
 def read_libsvm(spark: SparkSession, path: str, num_features: int | None = None) -> DataFrame:
     """Libsvm file(s) -> ``label double, features vector`` (sparse)."""
     reader = spark.read.format("libsvm")
