@@ -71,10 +71,65 @@ def test_blocks_change_nothing(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((300, 8)))]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     lists = []
-    for block in (4096, 7):
-        s = ann.Settings(trees=2, leaves=4, search_share=5.0, block=block)
+    for rows_, queries in ((8192, 4096), (7, 3)):
+        s = ann.Settings(trees=2, leaves=4, visited=1.0, candidates=1e9, rows=rows_,
+                         queries=queries)
         out = ann.nearest(df, lambda i: i % 20 == 0, 10, s).orderBy("query_id", "rank")
         lists.append([(r.query_id, r.rank, r.vec_id) for r in out.collect()])
     assert lists[0] == lists[1]
     want = brute(rows, 10)
     assert [v for _, _, v in lists[0]] == [j for q in sorted(want) for j in want[q]]
+
+
+@pytest.mark.parametrize("candidates", [1e9, 12.0])
+def test_ties_go_to_the_smaller_id_whatever_is_scored(spark, candidates):
+    # integer vectors: most scores stand many times, far beyond the length of a list
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.integers(-2, 3, (1500, 6)).astype(float))
+            if v.any()]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    s = ann.Settings(candidates=candidates)
+    got = {}
+    for r in ann.nearest(df, lambda i: i % 20 == 0, 20, s).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    want = brute(rows)
+    vectors = dict(rows)
+    if candidates > 1e6:
+        assert {q: [i for i, _ in f] for q, f in got.items()} == want
+    for q, found in got.items():
+        assert found == sorted(found, key=lambda f: (-f[1], f[0]))
+        assert all(s == float(np.dot(vectors[q], vectors[i])) for i, s in found)
+    # whoever is scored at all is listed in that order: at the last score no smaller id is left
+    hits = sum(len(set(want[q]) & {i for i, _ in f}) for q, f in got.items())
+    assert hits / sum(map(len, want.values())) >= 0.9
+
+
+def test_a_hot_vector_asks_once(spark):
+    rows = [(i, [1.0, 0.0, 0.5]) for i in range(400)] + [
+        (1000 + i, [math.cos(i), math.sin(i), 0.1]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.nearest(df, lambda i: i % 20 == 0, 20).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    for q in range(0, 400, 20):
+        assert got[q] == [i for i in range(22) if i != q][:20]
+    assert set(got) == {i for i, _ in rows if i % 20 == 0}
+
+
+def test_the_scored_share_falls_as_the_table_grows():
+    rng = np.random.default_rng(5)
+    shares, recalls = [], []
+    for n in (1000, 4000, 16000):
+        x = rng.standard_normal((n, 24))
+        s = ann.Settings()
+        forest = ann.grow(x[:s.sample], float(np.linalg.norm(x, axis=1).max()), s)
+        leaves = forest.leaves(x)
+        q = x[:40]
+        sums = ann.sums_of_worth(forest.worth(q, s.visited), leaves)
+        rank = int(s.candidates * n ** 0.5)
+        line = -np.partition(-sums, rank, axis=1)[:, rank]
+        passed = sums >= line[:, None]
+        best = np.argsort(-(q @ x.T), axis=1)[:, :21]
+        shares.append(passed.mean())
+        recalls.append(np.take_along_axis(passed, best, axis=1).mean())
+    assert shares[0] > 1.7 * shares[1] > 2.8 * shares[2] and min(recalls) >= 0.9
