@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrail.llm.common import carried, packed, table, text_of, unpacked
+from vitrail.llm.common import bounded_batches, carried, packed, table, text_of, unpacked
 
 #: Characters from which on a text is pre-split, and of each part about.
 PART_CHARS = 1 << 16
@@ -83,6 +83,7 @@ def decoder(ranks: str, pattern: str):
 
 def encode_texts(docs: DataFrame, ranks: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` plus ``ids``."""
+    bounded_batches(docs.sparkSession)
     names = carried(docs, ["ids"])
     rows = docs.select(packed(names), encoder(ranks, pattern)(text_of(text)).alias("_ids"))
     return rows.select(*unpacked(names), F.col("_ids").alias("ids"))

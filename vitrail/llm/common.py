@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,21 @@ def unpacked(names: list[str]) -> list[Column]:
     return [F.col("_row")[c].alias(c) for c in names]
 
 
+#: Bytes of rows that Spark hands to a Python worker at once.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Makes Arrow batches of whole texts no larger than ``BATCH_BYTES``: lowers the
+    session's setting (64 MB by default, which both sides of every task would hold), and
+    leaves a smaller one as it is."""
+    now = spark.conf.get(_BATCH_CONF, None)
+    number = int(re.sub(r"\D", "", now)) if now and re.fullmatch(r"\d+b?", now) else None
+    if number is None or number > BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -9,39 +9,45 @@
 4. Stars: in every n-gram's group each class is held against the group's pivot, the class
    with the fewest rarer n-grams, which in a group of edited copies is nearest to the
    original.  Links found so make components.
-5. The rest: classes of different components that share a prefix n-gram are held against
-   each other, all of them, so no link between components is lost; pairs inside a component
-   cannot change it and are not formed.
+5. The rest: in every n-gram's group that still holds classes of different components,
+   these are held against each other where they lie, all of them, so no link between
+   components is lost; only pairs that pass all filters leave the group.  Pairs inside a
+   component cannot change it and are not looked at.
 
 A pair must pass the length filter and the positional filter at a shared n-gram, and then
 the suffix filter: histograms of both sets by hash bin bound the size of their difference
 from below.  What passes is verified once, on the words themselves.
 
-Groups are split by a salt where the sketch says that an n-gram is very frequent, minima
-are map-side combined, and joins on n-grams can be split by adaptive execution.  The sketch
-(4 MB) and a filter of the ids to verify (``FILTER_BITS``) have fixed sizes.
+Groups are split by a salt where the sketch says that an n-gram is very frequent, and in
+step 5 into tiles of ``TILE_ROWS`` classes a side; minima are map-side combined, and joins
+on n-grams can be split by adaptive execution.  The sketch (4 MB) and a filter of the ids
+to verify (``FILTER_BITS``) have fixed sizes: where a corpus fills them, the order of
+n-grams gets coarser and the filter lets more through, and the results stay the same.  The
+tasks' sketches are added up in two steps, so that none meets more of them than the square
+root of their number.
 
 Defined cases: null and empty texts have empty sets and link with nothing; a text with
-fewer words than an n-gram is one n-gram; rows that share a ``doc_id`` are one document
-with several texts; rows with a null id are documents by their text, and those in no other
-document's component have a null component; ids must be below ``2 ** 62``; other columns
-pass through, and the added ones replace columns of the same name.
+fewer words than an n-gram is one n-gram; a very long text is hashed whole, at some 60 bytes
+of memory for each of its bytes; rows that share a ``doc_id`` are one document with several texts
+for components, while :func:`one_of_each` tells them apart; rows with a null id are
+documents by their text, and those in no other document's component have a null component;
+ids must be below ``2 ** 62``; other columns pass through, and the added ones replace
+columns of the same name.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrail.llm.common import carried, table, text_of, written
+from vitrail.llm.common import bounded_batches, carried, table, text_of, written
 from vitrail.llm.components import components
 
 SKETCH_BITS, SKETCH_BLOCK = 20, 4096
@@ -49,6 +55,8 @@ FILTER_BITS = 24
 BINS = 64
 #: Rows of one n-gram, beyond its bucket's usual noise, from which its group is salted.
 SALT_ROWS = 5000
+#: Classes on each side of a tile of a group.
+TILE_ROWS = 2000
 #: Where rows without an id get ids from their text; no component is named after those
 #: unless it has no others, as they are larger.
 NO_DOC = 1 << 62
@@ -124,31 +132,57 @@ def sketch(texts: DataFrame, words: int) -> np.ndarray:
         hasher, size = Hasher(words), 1 << SKETCH_BITS
         counts = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            found = [hasher.ngrams(t.as_py()) for t in batch.column(0)]
-            if found:
-                counts += np.bincount(buckets(np.concatenate(found)), minlength=size)
-        blocks = counts.astype(np.float64).reshape(-1, SKETCH_BLOCK)
-        used = np.flatnonzero(blocks.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int32)), pa.array(list(blocks[used]), pa.list_(pa.float64()))],
-            ["block", "counts"])
-
-    parts = texts.mapInArrow(count, "block int, counts array<double>")
-    total = parts.groupBy("block").agg(
-        vector_to_array(Summarizer.sum(array_to_vector("counts"))).alias("counts"))
-    out = np.zeros((1 << SKETCH_BITS) // SKETCH_BLOCK * SKETCH_BLOCK)
-    out = out.reshape(-1, SKETCH_BLOCK)
+            for t in batch.column(0):
+                np.add.at(counts, buckets(hasher.ngrams(t.as_py())), 1)
+        yield from blocks_of(counts, SKETCH_BLOCK)
+
+    parts = texts.mapInArrow(count, "block int, part int, counts array<int>")
+    groups = max(1, math.isqrt(texts.rdd.getNumPartitions()))
+    add = added_counts(SKETCH_BLOCK)
+    total = parts.withColumn("part", F.pmod("part", F.lit(groups)))
+    for keys in (["block", "part"], ["block"]):
+        total = total.groupBy(*keys).applyInArrow(add, "block int, part int, counts array<int>")
+    out = np.zeros(1 << SKETCH_BITS, dtype=np.int32).reshape(-1, SKETCH_BLOCK)
     for r in total.toLocalIterator():
         out[r["block"]] = r["counts"]
-    return np.minimum(out.ravel(), 2 ** 31 - 1).astype(np.int32)
+    return out.ravel()
 
 
-SETS = ("id long, n int, s1 long, s2 long, bins binary, "
+def blocks_of(counts: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
+    """The blocks of a task's counts that are not empty, under the task's number."""
+    from pyspark import TaskContext
+
+    context = TaskContext.get()
+    blocks = np.minimum(counts, 2 ** 31 - 1).astype(np.int32).reshape(-1, size)
+    used = np.flatnonzero(blocks.any(axis=1)).astype(np.int32)
+    part = np.full(len(used), context.partitionId() if context else 0, dtype=np.int32)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(used), pa.array(part), pa.array(list(blocks[used]), pa.list_(pa.int32()))],
+        ["block", "part", "counts"])
+
+
+def added_counts(size: int):
+    """Of the rows of one block: one row of their sums."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = np.zeros(size, dtype=np.int64)
+        for chunk in rows["counts"].chunks:
+            flat = chunk.flatten().to_numpy(zero_copy_only=False)
+            total += flat.reshape(-1, size).sum(axis=0, dtype=np.int64)
+        return pa.table({
+            "block": rows["block"].slice(0, 1), "part": rows["part"].slice(0, 1),
+            "counts": pa.array([np.minimum(total, 2 ** 31 - 1).astype(np.int32)],
+                               pa.list_(pa.int32()))})
+
+    return add
+
+
+SETS = ("id long, digest long, n int, s1 long, s2 long, bins binary, "
         "prefix array<struct<h:long,salts:int>>")
 
 
 def gram_sets(rows: DataFrame, counts: np.ndarray, s: Similarity) -> DataFrame:
-    """(id, text) to ``SETS``: size, signature, histogram and prefix of every set."""
+    """(id, digest, text) to ``SETS``: size, signature, histogram and prefix of every set."""
     shared = rows.sparkSession.sparkContext.broadcast(counts)  # 4 MB
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,11 +191,12 @@ def gram_sets(rows: DataFrame, counts: np.ndarray, s: Similarity) -> DataFrame:
         kind = pa.list_(pa.struct([("h", pa.int64()), ("salts", pa.int32())]))
         for batch in batches:
             out = []
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for id_, digest, text in zip(batch.column(0).to_pylist(),
+                                         batch.column(1).to_pylist(), batch.column(2)):
                 grams = hasher.ngrams(text.as_py())
                 n = len(grams)
                 if not n:
-                    out.append((id_, 0, 0, 0, b"", None))
+                    out.append((id_, digest, 0, 0, 0, b"", None))
                     continue
                 often = held[buckets(grams)]
                 take = s.prefix(n)
@@ -172,23 +207,23 @@ def gram_sets(rows: DataFrame, counts: np.ndarray, s: Similarity) -> DataFrame:
                 near = near[np.argsort(often[near], kind="stable")][:take]
                 salts = np.maximum(1, np.ceil((often[near] - noise) / SALT_ROWS)).astype(np.int32)
                 bins = np.bincount((grams & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
-                out.append((id_, n, int(hasher.mixed(grams).sum().astype(np.int64)),
+                out.append((id_, digest, n, int(hasher.mixed(grams).sum().astype(np.int64)),
                             int(np.bitwise_xor.reduce(hasher.mixed(~grams)).astype(np.int64)),
                             np.minimum(bins, 65535).astype("<u2").tobytes(),
                             pa.StructArray.from_arrays(
                                 [pa.array(grams[near].astype(np.int64)), pa.array(salts)],
                                 ["h", "salts"])))
-            ids, ns, s1, s2, bins, prefix = list(zip(*out)) or [()] * 6
+            ids, digests, ns, s1, s2, bins, prefix = list(zip(*out)) or [()] * 7
             flat = [p for p in prefix if p is not None]
             sizes = np.cumsum([0] + [0 if p is None else len(p) for p in prefix])
             values = pa.concat_arrays(flat) if flat else pa.array([], kind.value_type)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(ns, pa.int32()), pa.array(s1, pa.int64()),
+                [pa.array(ids, pa.int64()), pa.array(digests, pa.int64()), pa.array(ns, pa.int32()), pa.array(s1, pa.int64()),
                  pa.array(s2, pa.int64()), pa.array(bins, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), values)],
                 [c.split()[0] for c in SETS.split(", ")])
 
-    return rows.select("id", "text").mapInArrow(describe, SETS)
+    return rows.select("id", "digest", "text").mapInArrow(describe, SETS)
 
 
 # ------------------------------------------------------------------ filters
@@ -327,42 +362,132 @@ def meeting_rows(sets: DataFrame) -> DataFrame:
         F.col("pivot.at").alias("pat"))
 
 
+def mixed_rows(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """(h, id, n, at, c) of the groups that hold classes of different components."""
+    rows = met.select("h", "id", "n", "at").join(
+        labels.select(F.col("node").alias("id"), "component"), "id", "left").select(
+        "h", "id", "n", "at", F.coalesce("component", "id").alias("c"))
+    mixed = rows.groupBy("h").agg(F.min("c").alias("c0"), F.max("c").alias("c1"),
+                                  F.count(F.lit(1)).alias("members")).where("c0 <> c1")
+    return written(rows.join(mixed.select("h", "members"), "h"), "jaccard-mixed")
+
+
+def star_pairs(rows: DataFrame, s: Similarity) -> DataFrame:
+    """One class of each component in a group, held against the group's best."""
+    best = F.min(F.struct("at", "n", "id", "c"))
+    one = rows.groupBy("h", "c").agg(best.alias("x")).select("h", "x.*")
+    top = rows.groupBy("h").agg(best.alias("y")).select(
+        "h", *[F.col(f"y.{c}").alias(f"b_{c}") for c in ("at", "n", "id", "c")])
+    met = one.select("h", *[F.col(c).alias(f"a_{c}") for c in ("at", "n", "id", "c")]).join(
+        top, "h").where((F.col("a_c") != F.col("b_c")) & may_pair("a_", "b_", s))
+    return met.select(*ordered("a_id", "b_id")).distinct()
+
+
+def pairs_in_place(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b), a < b, of rows (h, i, j, block, id, n, at, c, bins) sorted by tile
+    (h, i, j) that pass all filters.  A tile pairs the classes of blocks i and j of a group;
+    it is held whole, twice ``TILE_ROWS`` rows or so."""
+
+    def of_tiles(t: pa.Table) -> pa.RecordBatch:
+        key = np.stack([t[k].to_numpy() for k in ("h", "i", "j")], axis=1)
+        block, id_, n, at, c = (t[k].to_numpy() for k in ("block", "id", "n", "at", "c"))
+        n, at = n.astype(np.int64), at.astype(np.int64)
+        bins = np.frombuffer(b"".join(t["bins"].to_pylist()), "<u2").reshape(-1, BINS)
+        full = (bins == 65535).any(axis=1)
+        new = np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]) if len(key) else []
+        start = np.flatnonzero(new)
+        size = np.diff(np.append(start, len(key)))
+        left_in = np.repeat(start + size, size) - np.arange(len(key)) if len(key) else key
+        across = key[:, 1] != key[:, 2] if len(key) else np.empty(0, bool)
+        out, rows, away = [], np.arange(len(key)), 1
+        while True:  # every row with the one so many places after it in its tile
+            rows = rows[left_in[rows] > away]
+            if not len(rows):
+                break
+            x, y = rows, rows + away
+            may = (c[x] != c[y]) & ~(across[x] & (block[x] == block[y]))
+            may &= 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+            rest = np.minimum(n[x] - at[x], n[y] - at[y])
+            may &= (100 + percent) * rest >= percent * (n[x] + n[y])
+            x, y = x[may], y[may]
+            if len(x):
+                apart = np.abs(bins[x].astype(np.int32) - bins[y]).sum(axis=1)
+                near = full[x] | full[y] | (
+                    (100 + percent) * apart <= (100 - percent) * (n[x] + n[y]))
+                x, y = id_[x[near]], id_[y[near]]
+                out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+            away += 1
+        found = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])],
+                                          ["a", "b"])
+
+    kept = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = (pa.concat_tables([kept, t]) if kept is not None else t).combine_chunks()
+        if not len(t):
+            continue
+        # the last tile may go on in the next batch
+        same = np.ones(len(t), dtype=bool)
+        for k in ("h", "i", "j"):
+            column = t[k].to_numpy()
+            same &= column == column[-1]
+        last = len(t) - int(np.argmin(same[::-1])) if not same.all() else 0
+        if last:
+            yield of_tiles(t.slice(0, last))
+        kept = t.slice(last)
+    if kept is not None and len(kept):
+        yield of_tiles(kept)
+
+
+def rest_pairs(rows: DataFrame, heads: DataFrame, s: Similarity) -> DataFrame:
+    """All pairs of classes of different components in a group that pass the filters."""
+    percent = s.percent
+    blocks = F.ceil(F.col("members") / TILE_ROWS).cast("int")
+    own = rows.join(heads, "id").withColumn("blocks", blocks).withColumn(
+        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = dealt.select("h", F.least("block", "other").alias("i"),
+                         F.greatest("block", "other").alias("j"), "block", "id", "n", "at", "c",
+                         "bins")
+    sorted_ = tiles.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
+    return sorted_.mapInArrow(lambda batches: pairs_in_place(batches, percent),
+                              "a long, b long").distinct()
+
+
 def ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def across(met: DataFrame, labels: DataFrame, s: Similarity, star: bool) -> DataFrame:
-    """Pairs of classes of different components that share an n-gram.  With ``star`` only
-    one class of each component in a group, held against the group's best; else all."""
-    rows = met.select("h", "id", "n", "at").join(
-        labels.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        "h", "id", "n", "at", F.coalesce("component", "id").alias("c"))
-    mixed = rows.groupBy("h").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1")
-    rows = written(rows.join(mixed.select("h"), "h"), "jaccard-mixed")
-    if star:
-        best = F.min(F.struct("at", "n", "id", "c"))
-        one = rows.groupBy("h", "c").agg(best.alias("x")).select("h", "x.*")
-        top = rows.groupBy("h").agg(best.alias("y")).select(
-            "h", *[F.col(f"y.{c}").alias(f"b_{c}") for c in ("at", "n", "id", "c")])
-        met_ = one.select("h", *[F.col(c).alias(f"a_{c}") for c in ("at", "n", "id", "c")]).join(
-            top, "h").where((F.col("a_c") != F.col("b_c")) & may_pair("a_", "b_", s))
-    else:
-        a = rows.select("h", *[F.col(c).alias(f"a_{c}") for c in ("at", "n", "id", "c")])
-        b = rows.select("h", *[F.col(c).alias(f"b_{c}") for c in ("at", "n", "id", "c")])
-        met_ = a.join(b, "h").where((F.col("a_c") < F.col("b_c")) & may_pair("a_", "b_", s))
-    return met_.select(*ordered("a_id", "b_id")).distinct()
+def digest_of(text: str) -> Column:
+    return F.xxhash64(text_of(text))
 
 
 def id_of(doc_id: str, text: str) -> Column:
-    by_text = F.xxhash64(text_of(text)).bitwiseAND(F.lit(NO_DOC - 1)) + F.lit(NO_DOC)
+    by_text = digest_of(text).bitwiseAND(F.lit(NO_DOC - 1)) + F.lit(NO_DOC)
     return F.coalesce(F.col(doc_id).cast("long"), by_text)
 
 
-def grouped(docs: DataFrame, s: Similarity, doc_id: str, text: str,
-            working: list[str]) -> DataFrame:
-    """``docs`` with its id, the size of its set (long) and its component, under the names
-    ``working``."""
-    texts = docs.select(id_of(doc_id, text).alias("id"), text_of(text).alias("text"))
+def telling_ids(docs: DataFrame, doc_id: str, text: str, name: str) -> DataFrame:
+    """``docs`` with an id under ``name`` that no two different texts share: its own, or,
+    where rows of that id have different texts, one from id and text."""
+    keyed = docs.withColumn(name, id_of(doc_id, text))
+    texts = keyed.select(F.col(name).alias("_i"), digest_of(text).alias("_d")).groupBy("_i").agg(
+        F.min("_d").alias("_d0"), F.max("_d").alias("_d1")).where("_d0 <> _d1").select("_i")
+    if texts.isEmpty():
+        return keyed
+    own = F.xxhash64(name, text_of(text)).bitwiseAND(F.lit(NO_DOC - 1)) + F.lit(NO_DOC)
+    return keyed.join(texts, F.col(name) == F.col("_i"), "left").withColumn(
+        name, F.when(F.col("_i").isNotNull(), own).otherwise(F.col(name))).drop("_i")
+
+
+def grouped(docs: DataFrame, s: Similarity, id_: str, text: str, n: str,
+            component: str) -> DataFrame:
+    """``docs``, which has ids in ``id_``, with the size of its set (long) in ``n`` and its
+    component in ``component``."""
+    bounded_batches(docs.sparkSession)
+    texts = docs.select(F.col(id_).alias("id"), digest_of(text).alias("digest"),
+                        text_of(text).alias("text"))
     counts = sketch(texts.select("text"), s.words)
     sets = written(gram_sets(texts, counts, s), "jaccard-sets")
 
@@ -373,9 +498,10 @@ def grouped(docs: DataFrame, s: Similarity, doc_id: str, text: str,
         same, ["s1", "s2", "n"]).where("id <> rep").select(
         F.col("rep").alias("a"), F.col("id").alias("b")), "jaccard-members")
     met = written(meeting_rows(sets), "jaccard-met")
-    judge = Verifier(texts, sets.where("n > 0").select("id", "bins"), s)
+    heads = sets.where("n > 0").select("id", "bins")
+    judge = Verifier(texts.select("id", "text"), heads, s)
 
-    # every class against the pivot with which it shares most; across() leaves none out
+    # every class against the pivot with which it shares most; the rest leaves none out
     stars = met.where("id <> pivot").select(
         "id", "pivot", F.col("n").alias("a_n"), F.col("at").alias("a_at"),
         F.col("pn").alias("b_n"), F.col("pat").alias("b_at")).where(may_pair("a_", "b_", s))
@@ -383,16 +509,22 @@ def grouped(docs: DataFrame, s: Similarity, doc_id: str, text: str,
         F.count(F.lit(1)).alias("k")).select("id", "pivot", "k", *ordered("id", "pivot")))
     best = stars.groupBy("id").agg(F.max(F.struct("k", -F.col("pivot"), "a", "b")).alias("m"))
     links = judge.links(best.select("m.a", "m.b"))
-    for star in (True, False):
+    for rest in (False, True):
         labels = written(components(links.unionAll(members)), "jaccard-labels")
-        links = links.unionAll(judge.links(judge.possible(across(met, labels, s, star))))
+        rows = mixed_rows(met, labels)
+        links = links.unionAll(judge.links(
+            rest_pairs(rows, heads, s) if rest else judge.possible(star_pairs(rows, s))))
     labels = written(components(links.unionAll(members)), "jaccard-labels")
 
-    id_, n, component = working
-    rows = docs.select("*", id_of(doc_id, text).alias(id_),
-                       size_function(s)(text_of(text)).alias(n))
-    return rows.join(labels.select(F.col("node").alias(id_), F.col("component").alias(component)),
-                     id_, "left").withColumn(component, F.coalesce(component, id_))
+    # a row's size stands beside its id and text; rows that repeat both have one entry
+    sizes = sets.select("id", "digest", "n").distinct().join(
+        labels.select(F.col("node").alias("id"), "component"), "id", "left").select(
+        F.col("id").alias("_id"), F.col("digest").alias("_digest"),
+        F.col("n").cast("long").alias(n), F.coalesce("component", "id").alias(component))
+    # the digest is a column before the join, so that a caller without the text drops it there
+    own = unused(docs, ["set_digest"])[0]
+    return docs.withColumn(own, digest_of(text)).join(sizes, (F.col(id_) == F.col("_id")) & (
+        F.col(own) == F.col("_digest"))).drop("_id", "_digest", own)
 
 
 def unused(docs: DataFrame, names: list[str]) -> list[str]:
@@ -411,37 +543,25 @@ def similar_groups(docs: DataFrame, s: Similarity = Similarity(), doc_id: str =
     links."""
     names = carried(docs, ["n_shingles", "component_id"])
     id_, n, component = unused(docs, ["set_id", "set_size", "set_component"])
-    rows = grouped(docs, s, doc_id, text, [id_, n, component])
+    rows = grouped(docs.withColumn(id_, id_of(doc_id, text)), s, id_, text, n, component)
     return rows.select(*[F.col(f"`{c}`") for c in names], F.col(n).alias("n_shingles"),
                        F.when(F.col(component) < NO_DOC, F.col(component)).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, s: Similarity = Similarity(), doc_id: str = "doc_id",
                 text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their component; of several rows of that id one
-    with the largest set."""
-    id_, n, component = unused(docs, ["set_id", "set_size", "set_component"])
-    rows = grouped(docs, s, doc_id, text, [id_, n, component]).where(
+    """``docs`` with one row of each component, that of its smallest id; a row goes only for
+    a link or an equal text.  Rows that share an id and have different texts, like rows
+    without an id, are documents by their text, which come after those with an id."""
+    id_, n, component, rank = unused(docs, ["set_id", "set_size", "set_component", "set_rank"])
+    rows = grouped(telling_ids(docs, doc_id, text, id_), s, id_, text, n, component).where(
         F.col(id_) == F.col(component))
-    best = Window.partitionBy(id_).orderBy(F.desc(n), F.xxhash64(text))
-    rank = unused(docs, ["set_rank"])[0]
-    return rows.withColumn(rank, F.row_number().over(best)).where(F.col(rank) == 1).select(
+    one = Window.partitionBy(id_).orderBy(F.xxhash64(*[
+        F.col(f"`{c}`").cast("string") for c in docs.columns]))
+    return rows.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).select(
         *[F.col(f"`{c}`") for c in docs.columns])
 
 
-def size_function(s: Similarity):
-    """An Arrow function from texts to the sizes of their sets."""
-    words = s.words
-
-    @F.arrow_udf("long")
-    def sizes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        hasher = Hasher(words)
-        for batch in batches:
-            yield pa.array([len(hasher.ngrams(t.as_py())) for t in batch], pa.int64())
-
-    return sizes
-
-
 def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return similar_groups(docs).select("doc_id", "n_shingles", "component_id")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrail.llm.byte_bpe import parts_of, rank_encoder
-from vitrail.llm.common import table, text_of, written
+from vitrail.llm.common import bounded_batches, table, text_of, written
 
 BUCKETS = 256
 #: Groups of large lengths, and the shares of the capacity from which a length is large:
@@ -304,6 +304,7 @@ def pack_documents(docs: DataFrame, ranks: str, pattern: str, special: dict[str,
                    doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset and,
     with ``keep_ids``, the ids."""
+    bounded_batches(docs.sparkSession)
     cut = piece_function(ranks, pattern, special, capacity, end_id, keep_ids)
     pieces = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                          F.explode(cut(text_of(text))).alias("p")).select("doc_id", "p.*")

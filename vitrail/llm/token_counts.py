@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrail.llm.common import carried, packed, table, text_of, unpacked
+from vitrail.llm.common import bounded_batches, carried, packed, table, text_of, unpacked
 
 #: Bytes of text in one encoder call, and parts whose lengths a task remembers.
 BATCH_BYTES = 1 << 20
@@ -85,6 +85,7 @@ def counter(model: str):
 def count_tokens(docs: DataFrame, model: str, limit: int = 4096,
                  text: str = "text") -> DataFrame:
     """``docs`` plus ``n_bytes`` (UTF-8), ``n_tokens`` and ``over_limit``."""
+    bounded_batches(docs.sparkSession)
     names = carried(docs, ["n_bytes", "n_tokens", "over_limit"])
     rows = docs.select(packed(names), text_of(text).alias("_text"))
     rows = rows.withColumn("_n", counter(model)("_text"))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from vitrail.llm.common import carried, packed, table, text_of, unpacked, written
+from vitrail.llm.common import bounded_batches, carried, packed, table, text_of, unpacked, written
 
 #: Pronouns of the second person in the four languages.
 SECOND_PERSON = ["you", "your", "yours", "yourself", "u", "ur", "du", "dich", "dir", "dein",
@@ -218,6 +218,7 @@ class ToxicityModel:
 
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """``docs`` plus ``score`` and ``predicted``."""
+        bounded_batches(docs.sparkSession)
         names = carried(docs, ["score", "predicted"])
         if self.trees is None:
             return docs.select(*[F.col(f"`{c}`") for c in names], F.lit(0.0).alias("score"),
@@ -262,6 +263,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, s: Settings, doc_id: str
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = PRODUCTION, doc_id: str = "doc_id",
         text: str = "text") -> ToxicityModel:
+    bounded_batches(docs.sparkSession)
     sample = training_sample(docs, labels, s, doc_id, text)
     seen = sample.groupBy("toxic", "fold").agg(F.count(F.lit(1)).alias("n"),
                                                F.max("weight").alias("w")).collect()
