@@ -41,7 +41,7 @@ def test_stages_take_effect(spark):
 
 def test_registry(spark):
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry())
-    assert numbers == list(range(1, 11)) and set(oracle_sql()) <= set(registry())
+    assert numbers == list(range(1, 14)) and set(oracle_sql()) <= set(registry())
     out = packing.op7_best_fit_packing(spark, SF001)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id",
                            "offset"]
