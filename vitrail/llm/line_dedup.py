@@ -11,8 +11,8 @@ task; the join that marks the lines can be split by adaptive execution.  Texts m
 
 Defined cases: a null or empty text is one empty line; rows that share a ``doc_id`` are
 one document when documents are counted, yet each row keeps its own text; rows with a null
-``doc_id`` count as one document that is smaller than all others; other columns pass
-through, and the added ones replace columns of the same name.
+``doc_id`` count as one document that is smaller than all others; a very long text is split
+whole, its lines being rows of their own; other columns pass through, and the added ones replace columns of the same name.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Defined cases: a null text has no words and fails the base rule; a null or unlis
 ``lang`` takes no part in the references, and with fewer than ``min_reference`` documents
 a language has no reference: such documents are held against the classes of all references
 but not against their words, which say nothing of another language; with no reference at
-all nothing is rejected beyond the base rule; repeated rows get equal verdicts; other columns
+all nothing is rejected beyond the base rule; a very long text is measured whole, in some
+200 bytes of its task's memory per word; repeated rows get equal verdicts; other columns
 pass through, and the added ones replace columns of the same name.
 """
 
@@ -158,11 +159,16 @@ def _expected(cells: int, n: Column) -> Column:
     return F.sqrt((cells - 1) / (8 * math.log(2) * F.greatest(n, F.lit(1))))
 
 
+#: Texts of up to 2 to this many words have windows that fit one number with their place.
+PACKED_BITS = 14
+
+
 def repeated_words(words: str) -> Column:
     """Words inside 3-word windows that occur twice or more in the array, counted once.
-    Windows meet by 64-bit hash within one text: the hash gives up as many low bits as the
-    window's position needs (at least 40 stay for a text of 16 million words), so that
-    plain numbers are sorted."""
+    Windows meet by 64-bit hash within one text.  In usual texts the hash gives up as many
+    low bits as the window's position needs (50 stay at least), so that plain numbers are
+    sorted; texts of more than ``2 ** PACKED_BITS`` words sort whole hashes beside their
+    positions."""
     w = F.col(words)
     hashes = F.transform(F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))),
                          lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
@@ -191,8 +197,17 @@ def _covered(text: Column) -> Column:
                                       lambda a, b: F.least(b - a, F.lit(3))),
                            F.lit(0).cast("long"), lambda s, x: s + x)
 
+    def twice_whole(p: Column) -> Column:
+        same = F.filter(p, lambda x, i: (x["x"] == F.get(p, i - 1)["x"])
+                        | (x["x"] == F.get(p, i + 1)["x"]))
+        return F.sort_array(F.transform(same, lambda x: x["at"]))
+
     lows = F.array(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
-    at = F.transform(F.transform(lows, packed), twice)[0]
+    short = F.transform(F.transform(lows, packed), twice)[0]
+    placed = F.sort_array(F.transform(h, lambda x, i: F.struct(
+        x.alias("x"), i.cast("long").alias("at"))))
+    long = F.transform(F.array(placed), twice_whole)[0]
+    at = F.when(bits <= PACKED_BITS, short).otherwise(long)
     return F.transform(F.array(at), span)[0]
 
 

@@ -1,12 +1,14 @@
 """Token counts: batch encoding inside Arrow functions that return lengths only.
 
-Texts are gathered into batches of about equal bytes and split at safe boundaries, so that
-neither one long text nor many short ones decide the size of an encoder call.  A boundary
+Texts are gathered into batches of about equal bytes (UTF-8) and split at safe boundaries,
+so that neither one long text nor many short ones decide the size of an encoder call.  A boundary
 is safe where the vocabulary cannot merge across it: a space after another character, as no
 piece has a space behind another character.  The parts are then encoded one by one and
-equal parts only once; the known lengths are held up to ``MEMORY`` parts per task.
+equal parts only once; the lengths of parts of up to ``KNOWN_CHARS`` characters are held
+until they make up ``MEMORY_BYTES`` per task.
 
-Defined cases: a null or empty text has no tokens; repeated rows are counted each; other
+Defined cases: a null or empty text has no tokens; a very long text is cut like others, and
+one without boundaries is one part; repeated rows are counted each; other
 columns pass through, and the added ones replace columns of the same name.
 """
 
@@ -21,9 +23,10 @@ from pyspark.sql import functions as F
 
 from vitrail.llm.common import bounded_batches, carried, packed, table, text_of, unpacked
 
-#: Bytes of text in one encoder call, and parts whose lengths a task remembers.
+#: Bytes of text in one encoder call.
 BATCH_BYTES = 1 << 20
-MEMORY = 300_000
+#: What a task remembers: short parts, at some 100 bytes beside their characters.
+KNOWN_CHARS, MEMORY_BYTES = 64, 32 << 20
 
 #: The sign that the vocabulary writes for a space (a fixed value of the file format).
 SPACE_SIGN = "▁"
@@ -45,11 +48,11 @@ def check_boundaries(pieces: list[str]) -> None:
 
 
 def by_bytes(texts: list[str | None], most: int = BATCH_BYTES) -> Iterator[list[str]]:
-    """Runs of texts of about ``most`` bytes; null is empty."""
+    """Runs of texts of about ``most`` bytes of UTF-8; null is empty."""
     run, held = [], 0
     for text in texts:
         run.append(text or "")
-        held += len(run[-1])
+        held += len(run[-1]) if run[-1].isascii() else len(run[-1].encode("utf-8", "replace"))
         if held >= most:
             yield run
             run, held = [], 0
@@ -68,15 +71,23 @@ def counter(model: str):
         encoder = sentencepiece.SentencePieceProcessor(model_file=model)
         check_boundaries([encoder.id_to_piece(i) for i in range(encoder.get_piece_size())])
         known: dict[str, int] = {}
+        held = 0
         for batch in batches:
             lengths = []
             for run in by_bytes(batch.to_pylist()):
                 parts = [parts_of(text) for text in run]
                 new = list({p for each in parts for p in each}.difference(known))
-                known.update(zip(new, map(len, encoder.encode(new, num_threads=1))))
+                found = dict(zip(new, map(len, encoder.encode(new, num_threads=1))))
+                known.update(found)
                 lengths += [sum(map(known.__getitem__, each)) for each in parts]
-                if len(known) > MEMORY:
+                for part in found:
+                    if len(part) > KNOWN_CHARS:
+                        del known[part]
+                    else:
+                        held += 100 + 4 * len(part)
+                if held > MEMORY_BYTES:
                     known.clear()
+                    held = 0
             yield pa.array(lengths, pa.int64())
 
     return count

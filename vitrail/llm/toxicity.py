@@ -10,8 +10,9 @@ that no row is judged by what has learned its own label by heart.  Every text is
 turned into the same dense features inside one Arrow function and scored by the trees in
 the JVM.
 
-Defined cases: null and empty texts have zero features and get the score of those; rows
-with a null ``doc_id`` are held out; repeated label rows count once, the larger label wins;
+Defined cases: null and empty texts have zero features and get the score of those; a very
+long text is measured whole, in a few bytes of memory for each of its own; rows with a null
+``doc_id`` are held out; repeated label rows count once, the larger label wins;
 with fewer than two rows of either label nothing can be learned and held against the rest,
 so that there is no model, a warning is given and all scores are 0; other columns pass
 through, and the added ones replace columns of the same name.

@@ -14,7 +14,9 @@ one request.
 Defined cases: a null html is an empty payload, a null url leaves the header out; rows with
 a null page id are written under an empty id and never are the response that others refer
 to, unless no other has one; rows that share a page id and a payload are of one type;
-control characters and spaces in URLs are percent-encoded; an empty table gives no records.
+control characters and spaces in URLs are percent-encoded; a very long payload is one
+record, which a task holds whole; extra columns are not read; an empty table gives no
+records.
 """
 
 from __future__ import annotations
@@ -45,13 +47,26 @@ INDEX = ("file string, offset long, length long, record_type string, record_id s
 RECORD = INDEX + ", payload binary"
 
 
+#: Schemes of Hadoop's connectors and the names of the same stores here (fixed values).
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+
+
 def shared_store(uri: str):
-    """The file system and path of a folder that driver and executors share."""
+    """The file system and path of a folder that driver and executors share.  Archives are
+    byte streams that rows point into, which Spark's sources can't write, so they go through
+    pyarrow's file systems: local and mounted paths, ``s3`` (also as ``s3a``), ``gs``,
+    ``abfs(s)`` and, where every executor has libhdfs, ``hdfs`` and ``viewfs``.  Any other
+    scheme raises before anything is written."""
     from pyarrow import fs
 
     if "://" not in uri:
         uri = "file://" + re.sub(r"^file:", "", uri)
-    return fs.FileSystem.from_uri(uri)
+    scheme, rest = uri.split("://", 1)
+    try:
+        return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
+    except pa.ArrowInvalid as unknown:
+        raise ValueError(f"archives can't be kept under {scheme}://; set spark.checkpoint.dir "
+                         "to a path, s3a, gs, abfs or hdfs") from unknown
 
 
 # ------------------------------------------------------------------ writing
