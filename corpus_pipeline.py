@@ -4,6 +4,12 @@ Toxic documents go, then those that fail the quality rules; lines that many docu
 stay in one of them; of each group of near copies one document stays; what is left is
 tokenised and packed into sequences.  ``ORACLE_SQL`` is None, as SQL can express neither
 the trees nor the tokens.
+
+Defined cases: a null text is empty, and an empty text has too few words for the quality
+rules; without labels of both kinds no document is toxic; repeated rows are one document
+from the fourth stage on, while documents that share an id and differ in their texts stay
+apart; where a stage leaves nothing, the later ones return no rows; columns beyond those of
+``documents`` are dropped by the first stage; very long texts are handled whole.
 """
 
 from __future__ import annotations
