@@ -58,9 +58,9 @@ FEATURES = ["hit_density", "hit_weight", "distinct_hits", "near_you", "you_densi
 class Settings:
     max_training: int = 15_000  # labelled rows learned from, at most
     folds: int = 3              # of the cross-fitting
-    min_support: int = 6        # toxic documents that show a lexicon entry
+    min_support: int = 6        # toxic documents that show a lexicon entry, at least
+    min_share: float = 0.002    # and of all toxic ones learned from
     min_precision: float = 0.8  # share of toxic ones among the documents that show it
-    max_entries: int = 500      # entries of the lexicon, at most
     reach: int = 3              # words between a hit and a second-person pronoun
     trees: int = 20
     depth: int = 3
@@ -115,15 +115,15 @@ def _but(counts: str, left_out: int | None) -> Column:
 
 def learn_lexicon(counts: DataFrame, n: dict[int, int], weight: dict[int, float], s: Settings,
                   left_out: int | None = None) -> dict[str, float]:
-    """Entries with their log odds, at most ``max_entries``, from :func:`term_counts`
-    without the fold ``left_out``; ``n`` rows of each label are in the other folds."""
+    """Entries with their log odds from :func:`term_counts` without the fold ``left_out``;
+    ``n`` rows of each label are in the other folds.  All that have the support enter; the
+    rows learned from, and the share of them that must show an entry, bound their number."""
     found = counts.select("term", _but("t", left_out).alias("t"), _but("c", left_out).alias("c"))
     toxic, clean = weight[1] * F.col("t"), weight[0] * F.col("c")
-    found = found.where((F.col("t") >= s.min_support)
+    found = found.where((F.col("t") >= max(s.min_support, math.ceil(s.min_share * n[1])))
                         & (toxic >= s.min_precision * (toxic + clean)))
-    top = found.orderBy(F.desc("t"), F.length("term"), "term").limit(s.max_entries).collect()
     lexicon: dict[str, float] = {}
-    for r in sorted(top, key=lambda r: (len(r["term"].rstrip("*")), r["term"])):
+    for r in sorted(found.collect(), key=lambda r: (len(r["term"].rstrip("*")), r["term"])):
         # a word or a longer beginning of a known beginning adds nothing
         if not any(r["term"][:k] + "*" in lexicon for k in BEGINNINGS
                    if len(r["term"].rstrip("*")) >= k and r["term"] != r["term"][:k] + "*"):
