@@ -541,10 +541,11 @@ FROM lineitem GROUP BY 1, 2
 
 
 PIC_CLUSTERS = """
-WITH b AS (SELECT min(c_custkey) AS low, count(*) // 4 AS cut FROM customer),
-c AS (SELECT c_custkey AS id, CASE WHEN c_custkey < low + cut THEN low ELSE low + cut END AS cluster
-      FROM customer, b)
-SELECT id, cluster, id || ' -> ' || cluster AS text FROM c
+WITH c AS (SELECT c_custkey AS id, row_number() OVER (ORDER BY c_custkey) - 1 AS at,
+                  count(*) OVER () // 4 AS cut FROM customer),
+n AS (SELECT id, (SELECT min(f.id) FROM c f WHERE (f.at < f.cut) = (c.at < c.cut)) AS cluster
+      FROM c)
+SELECT id, cluster, id || ' -> ' || cluster AS text FROM n
 """
 
 EDGES_DROPPED = """
