@@ -363,12 +363,21 @@ def meeting_rows(sets: DataFrame) -> DataFrame:
 
 
 def mixed_rows(met: DataFrame, labels: DataFrame) -> DataFrame:
-    """(h, id, n, at, c) of the groups that hold classes of different components."""
+    """(h, id, n, at, c, members) of the groups that hold classes of different components.
+
+    Of n-grams with the same members (by 128 bits of their ids) only the first one counts:
+    the order of n-grams is the same for all, so it is the first that any two of the members
+    share in that group of n-grams, which is where the positional filter is at its widest."""
     rows = met.select("h", "id", "n", "at").join(
         labels.select(F.col("node").alias("id"), "component"), "id", "left").select(
         "h", "id", "n", "at", F.coalesce("component", "id").alias("c"))
-    mixed = rows.groupBy("h").agg(F.min("c").alias("c0"), F.max("c").alias("c1"),
-                                  F.count(F.lit(1)).alias("members")).where("c0 <> c1")
+    mixed = rows.groupBy("h").agg(
+        F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("members"),
+        F.bit_xor(F.xxhash64("id")).alias("x1"),
+        F.bit_xor(F.xxhash64(F.lit("members"), "id")).alias("x2"),
+        F.sum(F.col("at").cast("long")).alias("place")).where("c0 <> c1")
+    first = Window.partitionBy("x1", "x2", "members").orderBy("place", "h")
+    mixed = mixed.withColumn("_r", F.row_number().over(first)).where("_r = 1")
     return written(rows.join(mixed.select("h", "members"), "h"), "jaccard-mixed")
 
 
