@@ -526,7 +526,8 @@ def _gmm_moments() -> str:
     cols = LINEITEM_FEATURES
     return " UNION ALL ".join(
         f"SELECT CAST({i} AS INTEGER) AS i, CAST({j} AS INTEGER) AS j, "
-        f"CAST(0 AS DOUBLE) AS mean_off, round(covar_pop({a}, {b}) "
+        f"{sig(f'avg({a})', 8)} AS mean_i, {sig(f'var_pop({a})', 8)} AS var_i, "
+        f"round(covar_pop({a}, {b}) "
         f"/ (stddev_pop({a}) * stddev_pop({b})), 4) AS cov_ij FROM lineitem"
         for i, a in enumerate(cols) for j, b in enumerate(cols))
 
