@@ -15,9 +15,11 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle, inheritable_thread_target
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark import RDD, SparkContext, StorageLevel, cloudpickle, inheritable_thread_target
+from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans
+from pyspark.ml.common import _py2java
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Matrices, Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -235,15 +237,118 @@ def crosstab(assigned: DataFrame, cluster_col: str, label: str,
     return grid.select("cluster", *cols)
 
 
+#: Bytes of one block of points of a mixture: what a step holds stays in a core's cache.
+MIXTURE_BLOCK = 64 << 10
+_EPS = float(np.finfo(float).eps)
+
+
+def _point_blocks(rows: DataFrame, features: str, dims: int) -> RDD:
+    """The vectors as blocks of doubles (dims x points), dealt evenly over the cores."""
+    size = max(1, MIXTURE_BLOCK // (8 * dims))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+            yield pa.record_batch([pa.array(
+                [points[i:i + size].T.tobytes() for i in range(0, len(points), size)],
+                pa.binary())], ["block"])
+
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
+    blocks = rows.select(vector_to_array(features).alias("x")).mapInArrow(pack, "block binary")
+    return blocks.repartition(parts).rdd.map(lambda r: bytes(r[0]))
+
+
+def _densities(covs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per covariance the matrix that whitens a difference from the mean and the logarithm of
+    the density there; directions without variance take no part."""
+    roots, logs = [], []
+    for cov in covs:
+        values, vectors = np.linalg.eigh(cov)
+        there = values > _EPS * values.max() * len(values)
+        if not there.any():
+            raise ValueError("a component of the mixture has no variance")
+        roots.append(np.where(there, 1 / np.sqrt(np.where(there, values, 1)), 0)[:, None] * vectors.T)
+        logs.append(-0.5 * (len(values) * np.log(2 * np.pi) + np.log(values[there]).sum()))
+    return np.array(roots), np.array(logs)
+
+
+def _expectation(blocks: Iterator[bytes], weights: np.ndarray, means: np.ndarray,
+                 roots: np.ndarray, logs: np.ndarray):
+    """Over the points of some blocks: the log likelihood, and per component the sums of the
+    shares, of the differences from its mean and of their products."""
+    k, dims = means.shape
+    likelihood, s0, s1, s2 = 0.0, np.zeros(k), np.zeros((k, dims)), np.zeros((k, dims, dims))
+    for block in blocks:
+        off = np.frombuffer(block).reshape(dims, -1) - means[:, :, None]
+        white = roots @ off
+        white *= white
+        share = white.sum(axis=1)
+        share *= -0.5
+        share += logs[:, None]
+        np.exp(share, out=share)
+        share *= weights[:, None]
+        share += _EPS
+        total = share.sum(axis=0)
+        share /= total
+        likelihood += float(np.log(total).sum())
+        np.multiply(off, share[:, None, :], out=white)
+        s0 += share.sum(axis=1)
+        s1 += white.sum(axis=2)
+        s2 += white @ off.transpose(0, 2, 1)
+    return likelihood, s0, s1, s2
+
+
+def _mixture_model(start, estimator, weights: np.ndarray, means: np.ndarray, covs: np.ndarray):
+    """Spark's model of these components, with the parameters of ``estimator``."""
+    sc = SparkContext._active_spark_context
+    ml = sc._jvm.org.apache.spark.ml
+    kinds = ml.stat.distribution.MultivariateGaussian
+    gaussians = sc._gateway.new_array(kinds, len(weights))
+    shares = sc._gateway.new_array(sc._gateway.jvm.double, len(weights))
+    for i, (w, m, c) in enumerate(zip(weights, means, covs)):
+        shares[i] = float(w)
+        gaussians[i] = kinds(_py2java(sc, Vectors.dense(m)), _py2java(
+            sc, Matrices.dense(len(m), len(m), c.ravel().tolist())))
+    model = GaussianMixtureModel(ml.clustering.GaussianMixtureModel(start.uid, shares, gaussians))
+    return estimator._copyValues(model._resetUid(start.uid))
+
+
 def gaussian_mixture(data: DataFrame, k: int = 6, max_iter: int = 100, tol: float = 1e-3,
                      seed: int = 0, features: str = "features"):
-    """H4: Gaussian mixture by EM (the RDD API's defaults: 100 iterations, tol 1e-3)."""
-    cached = data.select(features).persist()
+    """H4: Gaussian mixture by EM (the RDD API's defaults: 100 iterations, tol 1e-3), as
+    Spark's estimator fits it, and as its model.
+
+    The components the steps begin from are those of the estimator, which also checks the
+    vectors.  The points are then kept as blocks of doubles (8 bytes a component), and a
+    step takes a block as matrix products; what reaches the driver is, per part, k x d x d
+    sums.  Sums are taken of differences from the means, so that nothing cancels."""
+    estimator = GaussianMixture(k=k, maxIter=0, tol=tol, seed=seed, featuresCol=features)
+    rows = data.select(features).persist()
     try:
-        return GaussianMixture(k=k, maxIter=max_iter, tol=tol, seed=seed,
-                               featuresCol=features).fit(cached)
+        start = estimator.fit(rows)
+        weights = np.array(start.weights)
+        means = np.array([g.mean.toArray() for g in start.gaussians])
+        covs = np.array([g.cov.toArray() for g in start.gaussians])
+        blocks = _point_blocks(rows, features, means.shape[1]).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        blocks.count()  # fill the cache once, before the steps read it
     finally:
-        cached.unpersist()
+        rows.unpersist()
+    try:
+        likelihood, before, done = -sys.float_info.max, 0.0, 0
+        while done < max_iter and abs(likelihood - before) > tol:
+            now = (weights, means, *_densities(covs))
+            sums = blocks.mapPartitions(lambda part, now=now: [_expectation(part, *now)]).collect()
+            before, (likelihood, s0, s1, s2) = likelihood, (sum(s) for s in zip(*sums))
+            move = s1 / s0[:, None]
+            weights, means = s0 / s0.sum(), means + move
+            covs = s2 / s0[:, None, None] - move[:, :, None] * move[:, None, :]
+            covs = (covs + covs.transpose(0, 2, 1)) / 2
+            done += 1
+    finally:
+        blocks.unpersist()
+    estimator.setMaxIter(max_iter)
+    return _mixture_model(start, estimator, weights, means, covs)
 
 
 def mixture_components(model) -> list[tuple[int, float, list[float], list[list[float]]]]:
