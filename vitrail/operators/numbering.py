@@ -82,16 +82,37 @@ def running_sums(df: DataFrame, order: Sequence[str], sums: dict[str, Column],
                     *[f"_{k}_{n}" for n in sums for k in "vb"])
 
 
+#: Rows of one part of a whole table: 100 to 200 MB where a task sorts them.
+PART_ROWS = 1 << 20
+
+
+def parts_for(rows: int, least: int) -> int:
+    """Into how many parts so many rows are dealt: tasks grow in number, not in size."""
+    return max(least, -(-rows // PART_ROWS))
+
+
+def _shuffle_parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def file_order(df: DataFrame) -> DataFrame:
     """``df`` (read from files, nothing else done to it) as a frame whose partitions follow
     the order of the lines: by path, then by place in the file.  Spark packs splits by size,
-    so partitions alone don't."""
+    so partitions alone don't.  Rows are counted first: by path (one row per file comes to
+    the driver), so that a row carries the number of its path instead of the path."""
     names = df.columns
-    placed = df.select("*", F.col("_metadata.file_path").alias("_path"),
+    path = F.col("_metadata.file_path")
+    sizes = df.select(path.alias("_path")).groupBy("_path").count().orderBy("_path").collect()
+    numbers = df.sparkSession.createDataFrame(
+        [(r["_path"], i) for i, r in enumerate(sizes)], "_path string, _file int")
+    placed = df.select("*", path.alias("_path"),
                        F.col("_metadata.file_block_start").alias("_start"),
                        F.monotonically_increasing_id().alias("_in_split"))
-    keys = ["_path", "_start", "_in_split"]
-    return placed.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*names)
+    # a left join, as a row must not be lost
+    placed = placed.join(F.broadcast(numbers), "_path", "left").drop("_path")
+    keys = ["_file", "_start", "_in_split"]
+    parts = parts_for(sum(r["count"] for r in sizes), _shuffle_parts(df))
+    return placed.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select(*names)
 
 
 def pair_rows(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -106,4 +127,7 @@ def pair_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     sizes = a.count(), b.count()
     if sizes[0] != sizes[1]:
         raise ValueError(f"frames of different length: {sizes[0]} and {sizes[1]} rows")
+    usual = _shuffle_parts(left)
+    if (parts := parts_for(sizes[0], usual)) > usual:
+        a, b = a.repartition(parts, "_n"), b.repartition(parts, "_n")
     return a.join(b, "_n").drop("_n")

@@ -321,8 +321,11 @@ def q_zip_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = li.select(*SPLIT_COLUMNS, F.col("l_linenumber").cast("string").alias("label"),
                        (F.floor((F.col("l_quantity") - 1) / 10) + 1).cast("string").alias("p"))
     paths = [scratch_path(spark, "zip"), scratch_path(spark, "zip")]
-    for path, column, files in zip(paths, ("label", "p"), (5, 3)):
-        scored.repartitionByRange(files, *keys).sortWithinPartitions(*keys).select(
+    rows = li.count()
+    for path, column, least, size in zip(paths, ("label", "p"), (5, 3), (1, 0.6)):
+        files = numbering.parts_for(int(size * rows), least)
+        scored.select(*SPLIT_COLUMNS, column).repartitionByRange(
+            files, *keys).sortWithinPartitions(*keys).select(
             F.col(column).alias("value")).write.text(path)
     labels, found = (numbering.file_order(spark.read.text(p)) for p in paths)
     paired = numbering.pair_rows(labels.withColumnRenamed("value", "label"),
