@@ -305,8 +305,8 @@ def q_libsvm_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         label, F.lit(" "), first, q, F.lit(" 2:"), F.when(key == 5, F.lit("x")).otherwise(d),
         F.lit("  "), third, t, F.when(key == 6, F.lit(" # of order six")).otherwise(F.lit(""))
     ).alias("value")).unionAll(spark.createDataFrame([("",), ("# no point",)], "value string"))
-    counts = points.libsvm_profile(points.tag_libsvm(lines)).first()  # one row
-    good = points.parse_libsvm(lines).select("label", vector_to_array("features").alias("x"))
+    counts = points.libsvm_profile(points.tag_libsvm(lines), with_size=True).first()  # one row
+    good = points.parse_libsvm(lines, counts["n_features"]).select("label", vector_to_array("features").alias("x"))
     return good.groupBy("label").agg(
         F.count(F.lit(1)).alias("n"), *[round_sig(F.sum(F.col("x")[i])).alias(f"x{i}")
                                         for i in range(3)]).select("*", *[

@@ -11,11 +11,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vitrail.sources.delimited import first_file_lines, read_lines
 
@@ -144,46 +144,55 @@ def tag_libsvm(lines: DataFrame, num_features: int | None = None) -> DataFrame:
 
     ``fault`` is NULL for a good line, else the first of: ``label`` is no number; a ``token``
     is not ``index:value`` with a whole number and a number; an ``index`` is below 1 or above
-    ``num_features``; a ``repeat``ed index; indices out of ``order``.  One narrow projection;
-    the line is split once, behind a generate."""
-    body = F.trim(F.regexp_replace("value", r"#.*$", ""))
-    parts = F.split(body, r"\s+")
-    pairs = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda t: F.struct(
-        F.substring_index(t, ":", 1).try_cast("int").alias("i"),
-        F.when(t.contains(":"), F.substring_index(t, ":", -1).try_cast("double")).alias("v"),
-        (F.size(F.split(t, ":")) == 2).alias("two")))
-    split = lines.select(F.inline(F.array(F.struct(
-        F.col("value"), F.length(body).alias("_n"),
-        F.get(parts, F.lit(0)).try_cast("double").alias("label"), pairs.alias("_p")))))
-    split = split.where("_n > 0")
-    at = F.transform("_p", lambda p: p["i"])
-    top = F.lit(num_features if num_features is not None else (1 << 31) - 1)
-    rising = F.zip_with(F.slice(at, 1, F.greatest(F.size(at) - 1, F.lit(0))),
-                        F.slice(at, 2, F.greatest(F.size(at) - 1, F.lit(0))), lambda a, b: a < b)
+    ``num_features``; a ``repeat``ed index; indices out of ``order``.  Narrow projections; the
+    line is split once, and each token once, behind generates."""
+    body = F.trim(F.when(F.contains("value", F.lit("#")), F.regexp_replace(
+        "value", r"#.*$", "")).otherwise(F.col("value")))
+    cut = lines.select("value", F.explode(F.array(body)).alias("_b")).where(F.length("_b") > 0)
+    cut = cut.select("value", F.explode(F.array(F.split("_b", r"\s+"))).alias("_t"))
+    pairs = F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0)))
+    read = cut.select(F.inline(F.array(F.struct(
+        F.col("value"), F.get("_t", F.lit(0)).try_cast("double").alias("label"),
+        F.transform(pairs, lambda t: F.substring_index(t, ":", 1)).try_cast(
+            "array<int>").alias("_at"),
+        F.transform(pairs, lambda t: F.when(
+            # what is after the only colon
+            t.contains(":") & (F.substring_index(t, ":", 2) == t),
+            F.substring_index(t, ":", -1))).try_cast("array<double>").alias("values")))))
+    top = num_features if num_features is not None else (1 << 31) - 1
     fault = (F.when(F.col("label").isNull(), "label")
-             .when(F.exists("_p", lambda p: ~p["two"] | p["i"].isNull() | p["v"].isNull()), "token")
-             .when(F.exists(at, lambda i: (i < 1) | (i > top)), "index")
-             .when(F.size(F.array_distinct(at)) < F.size(at), "repeat")
-             .when(F.exists(rising, lambda x: ~x), "order"))
-    return split.select("value", "label", F.transform(at, lambda i: i - 1).alias("indices"),
-                        F.transform("_p", lambda p: p["v"]).alias("values"),
-                        fault.alias("fault"))
+             .when(F.exists("_at", lambda i: i.isNull())
+                   | F.exists("values", lambda v: v.isNull()), "token")
+             .when((F.array_min("_at") < 1) | (F.array_max("_at") > top), "index")
+             .when(F.size(F.array_distinct("_at")) < F.size("_at"), "repeat")
+             .when(F.sort_array("_at") != F.col("_at"), "order"))
+    return read.select("value", "label", F.transform("_at", lambda i: i - 1).alias("indices"),
+                       "values", fault.alias("fault"))
 
 
-def libsvm_profile(tagged: DataFrame) -> DataFrame:
+def libsvm_profile(tagged: DataFrame, with_size: bool = False) -> DataFrame:
     """``(n_rows, n_label, n_token, n_index, n_repeat, n_order)``: good lines and those with
-    each fault, from one aggregate."""
-    return tagged.agg(F.count_if(F.col("fault").isNull()).alias("n_rows"), *[
-        F.count_if(F.col("fault") == f).alias(f"n_{f}") for f in LIBSVM_FAULTS])
+    each fault, from one aggregate; ``with_size`` adds ``n_features``, the largest index of
+    a good line (0 without any), which :func:`parse_libsvm` then need not look for."""
+    good = F.col("fault").isNull()
+    size = F.coalesce(F.max(F.when(good, F.array_max("indices"))) + 1, F.lit(0))
+    return tagged.agg(F.count_if(good).alias("n_rows"), *[
+        F.count_if(F.col("fault") == f).alias(f"n_{f}") for f in LIBSVM_FAULTS],
+        *([size.alias("n_features")] if with_size else []))
 
 
 def sparse_vector(indices: Column, values: Column, size: int) -> Column:
     """A sparse ML vector from its indices (ascending, from 0) and values.  The type can't be
-    cast to, but read: the vector goes through its JSON form, in the JVM."""
-    kind = T.StructType([T.StructField("v", VectorUDT())])
-    form = F.struct(F.struct(F.lit(0).alias("type"), F.lit(int(size)).alias("size"),
-                             indices.alias("indices"), values.alias("values")).alias("v"))
-    return F.from_json(F.to_json(form), kind)["v"]
+    cast to: an Arrow function hands the arrays back, as they are, under the vector's type."""
+
+    @F.arrow_udf(VectorUDT())
+    def vectors(places: pa.Array, numbers: pa.Array) -> pa.Array:
+        n = len(places)
+        return pa.StructArray.from_arrays(
+            [pa.repeat(pa.scalar(0, pa.int8()), n), pa.repeat(pa.scalar(size, pa.int32()), n),
+             places, numbers], ["type", "size", "indices", "values"])
+
+    return vectors(indices, values)
 
 
 def parse_libsvm(lines: DataFrame, num_features: int | None = None) -> DataFrame:
@@ -191,7 +200,7 @@ def parse_libsvm(lines: DataFrame, num_features: int | None = None) -> DataFrame
     ``num_features`` it is the largest index of a good line (one aggregate)."""
     good = tag_libsvm(lines, num_features).where(F.col("fault").isNull())
     if num_features is None:
-        num_features = (good.agg(F.max(F.array_max("indices"))).first()[0] or -1) + 1
+        num_features = good.agg(F.coalesce(F.max(F.array_max("indices")) + 1, F.lit(0))).first()[0]
     return good.select("label", sparse_vector(F.col("indices"), F.col("values"),
                                               num_features).alias("features"))
 
